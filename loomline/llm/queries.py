@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import chat_format, decontam, line_dedup, quality
+from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, quality
 from loomline.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = "<|im_end|><|im_start|>assistant ok"
@@ -38,11 +43,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=2)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op3_quality_rules, op4_decontamination, op9_line_dedup)
+    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op9_line_dedup)
 }
