@@ -77,4 +77,15 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
 FROM judged GROUP BY r
 """
 
-ORACLES: dict[str, str] = {"op2_chat_formatting": OP2, "op3_quality_rules": OP3, "op4_decontamination": OP4, "op9_line_dedup": OP9}
+OP10 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{NOT_SPACE}+') AS w FROM documents),
+wins AS (SELECT r, doc_id, i, w[i:i + 12] AS g FROM d, unnest(generate_series(1, len(w) - 12)) AS u(i) WHERE len(w) >= 13),
+late AS (SELECT r, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS least FROM wins) WHERE least < doc_id),
+gone AS (SELECT DISTINCT r, i + k AS i FROM late, unnest(generate_series(0, 12)) AS u(k)),
+words AS (SELECT r, i, w[i] AS x FROM d, unnest(generate_series(1, len(w))) AS u(i) WHERE len(w) > 0),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_chat_formatting": OP2, "op3_quality_rules": OP3, "op4_decontamination": OP4, "op9_line_dedup": OP9, "op10_substring_dedup": OP10}

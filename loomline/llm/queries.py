@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, quality
+from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, quality, substring_dedup
 from loomline.llm.common import table
 
 
@@ -53,6 +53,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("kept_sha256"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = substring_dedup.substring_dedup(docs)
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("clean_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op9_line_dedup)
+    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op9_line_dedup, op10_substring_dedup)
 }
