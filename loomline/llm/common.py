@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -13,6 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 #: The white space of every contract: space, and tab to carriage return.
 SPACE = b" \t\n\x0b\x0c\r"
 
+#: Text that one call of a map_text function gets at most, unless a row alone has more.
+SLICE_BYTES = 2_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,6 +39,19 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with up to SLICE_BYTES in a column, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and held + size > SLICE_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def map_text(
     df: DataFrame,
     fn: Callable[[list[bytes | None]], dict[str, list | pa.Array]],
@@ -55,7 +72,7 @@ def map_text(
     arrow = {f.name: to_arrow_type(f.dataType) for f in fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, wanted.index(column))):
             texts = batch.column(wanted.index(column)).cast(pa.binary()).to_pylist()
             out = fn(texts)
             cols = [batch.column(wanted.index(c)) for c in kept]
