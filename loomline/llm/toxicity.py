@@ -2,8 +2,8 @@
 
 A word's input is its embedding, if it is known, beside what a bidirectional GRU with attention
 pooling makes of its bytes; a second one pools the words of a window. Every text is
-scored whole, in windows of WINDOW words that overlap by a quarter, and its score is the
-highest of its windows.
+scored whole, in windows of WINDOW words that overlap by a quarter; a logistic
+regression on its three highest windows and their number gives its score.
 
 Training takes a bounded sample of labelled documents, at most SAMPLE of each label,
 the least by hash. A label belongs to a document, so training picks windows: of toxic
@@ -38,7 +38,9 @@ EMBEDDINGS, KNOWN = 8192, 4
 #: Part of the embeddings that training leaves out at each step.
 DROPPED = 0.3
 #: Labelled documents of each label that training takes at most: toxic, other.
-SAMPLE = (600, 1200)
+SAMPLE = (800, 1500)
+#: Part of the sample that the network doesn't learn from: it fits how windows make up a document's score.
+APART = 0.25
 ROUNDS = 8
 RATE = 0.01
 #: Rounds before which the sample's windows are scored anew, and the first that takes toxic windows by score.
@@ -157,7 +159,7 @@ def fresh(seed: int = 7, vocabulary: dict[bytes, int] | None = None) -> dict:
         params |= {f"{name}_x": draw(size, 6 * hidden), f"{name}_xb": np.zeros(6 * hidden, np.float32), f"{name}_f_u": draw(hidden, 3 * hidden), f"{name}_b_u": draw(hidden, 3 * hidden)}
         params |= {f"{name}_a": draw(2 * hidden, hidden), f"{name}_ab": np.zeros(hidden, np.float32), f"{name}_v": draw(hidden)}
     params["embed"][0] = 0
-    return params | {"out": draw(2 * HIDDEN), "out_b": np.full(1, -1.0, np.float32)}
+    return params | {"out": draw(2 * HIDDEN), "out_b": np.full(1, -1.0, np.float32), "doc": HIGHEST}
 
 
 class Network:
@@ -190,7 +192,7 @@ class Network:
 
     def gradients(self, words: list[bytes], at: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
         w = self.w
-        grads = {k: np.zeros_like(v) for k, v in w.items()}
+        grads = {k: np.zeros_like(v) for k, v in w.items() if k != "doc"}
         inputs = self.word_inputs(words, True)
         probs = self.windows(inputs, at, True)
         d = ((probs - labels) * weights / len(labels)).astype(np.float32)
@@ -274,7 +276,8 @@ class Scorer:
         return np.split(probs, np.cumsum(counts)[:-1])
 
     def scores(self, texts: list[list[bytes]]) -> list[float]:
-        return [float(p.max()) if len(p) else 0.0 for p in self.window_scores(texts)]
+        weights = self.net.w["doc"]
+        return [float(sigmoid(summary(p) @ weights)) if len(p) else 0.0 for p in self.window_scores(texts)]
 
 
 def features(word: bytes) -> tuple[bytes, ...]:
@@ -304,10 +307,12 @@ def vocabulary_of(docs: list[tuple[list[bytes], int]]) -> dict[bytes, int]:
 
 def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: int = ROUNDS) -> Model | None:
     """Parameters and vocabulary, or None without documents of both labels."""
+    rng = np.random.default_rng(seed)
     docs = [(t, y) for t, y in zip(texts, labels) if t]
+    docs = [docs[i] for i in rng.permutation(len(docs))]
+    apart, docs = docs[: int(APART * len(docs))], docs[int(APART * len(docs)) :]
     if len({y for _, y in docs}) < 2:
         return None
-    rng = np.random.default_rng(seed)
     vocabulary = vocabulary_of(docs)
     params = fresh(seed, vocabulary)
     odds = evidence(docs)
@@ -315,7 +320,7 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
     for text, y in docs:
         found = np.array([max((odds.get(f, 0.0) for f in features(w)), default=0.0) for w in text]) if y else None
         best.append(int(np.argmax([found[s : s + WINDOW].max() for s in spans(len(text))])) if y else -1)
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items() if k != "doc"}
     step, scored = 0, None
     for turn in range(rounds):
         if turn in MINED:
@@ -349,16 +354,32 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
                 m += 0.1 * (g - m)
                 v += 0.005 * (g * g - v)
                 params[k] -= RATE * (1 - turn / (rounds + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.995**step)) + 1e-8)
-    _calibrate(params, vocabulary, docs)
+    params["doc"] = _document_weights(Scorer((params, vocabulary)).window_scores([t for t, _ in apart]), np.array([y for _, y in apart], np.float64))
     return params, vocabulary
 
 
-def _calibrate(params: dict[str, np.ndarray], vocabulary: dict[bytes, int], docs: list[tuple[list[bytes], int]]) -> None:
-    """Shift all scores so that the threshold lies midway between the sample's hardest documents of either label."""
-    highest = np.array([p.max() for p in Scorer((params, vocabulary)).window_scores([t for t, _ in docs])], np.float64).clip(1e-6, 1 - 1e-6)
-    logits, y = np.log(highest / (1 - highest)), np.array([y for _, y in docs])
-    middle = (np.quantile(logits[y == 0], 0.995) + np.quantile(logits[y == 1], 0.01)) / 2
-    params["out_b"] += np.float32(np.log(THRESHOLD / (1 - THRESHOLD)) - middle)
+def summary(probs: np.ndarray) -> np.ndarray:
+    """What a document's score is made of: the log odds of its three highest windows (the lowest stands in for missing ones), its number of windows, and 1."""
+    top = np.sort(probs.astype(np.float64).clip(1e-6, 1 - 1e-6))[::-1][:3]
+    top = np.concatenate([top, np.full(3 - len(top), top[-1])])
+    return np.array([*np.log(top / (1 - top)), np.log(len(probs)), 1.0])
+
+
+#: Weights of summary() before any are fitted: the highest window counts alone.
+HIGHEST = np.array([1.0, 0, 0, 0, 0])
+
+
+def _document_weights(windows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Logistic regression of labels on summaries, drawn towards HIGHEST."""
+    w = HIGHEST.copy()
+    if len(y) == 0:
+        return w
+    x = np.stack([summary(p) for p in windows])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
+        pull = np.array([1.0, 1, 1, 1, 0.1])
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (p - y) + pull * (w - HIGHEST))
+    return w
 
 
 def held_out(doc: str):
