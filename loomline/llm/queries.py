@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, quality, substring_dedup, toxicity
+from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, pieces, quality, substring_dedup, toxicity
 from loomline.llm.common import table
 
 
@@ -48,6 +48,20 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, shingle=2)
 
 
+def op7_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = pieces.encode(docs)
+    return made.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        "score",
+        F.sha2(F.array_join("piece_ids", ","), 256).alias("pieces_sha256"),
+        F.size("n_best").cast("long").alias("n_segmentations"),
+        F.element_at("n_best", -1)["score"].alias("last_score"),
+        "decoded_same",
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
@@ -66,5 +80,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op8_toxicity, op9_line_dedup, op10_substring_dedup)
+    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op7_sentencepiece_nbest, op8_toxicity, op9_line_dedup, op10_substring_dedup)
 }
