@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, pieces, quality, substring_dedup, toxicity
+from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, pieces, quality, substring_dedup, suffix_dedup, toxicity
 from loomline.llm.common import table
 
 
@@ -48,6 +48,12 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, shingle=2)
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = suffix_dedup.suffix_dedup(docs)
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = pieces.encode(docs)
@@ -80,5 +86,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op7_sentencepiece_nbest, op8_toxicity, op9_line_dedup, op10_substring_dedup)
+    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op6_suffix_array_dedup, op7_sentencepiece_nbest, op8_toxicity, op9_line_dedup, op10_substring_dedup)
 }

@@ -126,4 +126,4 @@ def finish(data: bytes, words: list[bytes], removed: np.ndarray) -> tuple:
 
 def substring_dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, reference_words: int = REFERENCE_WORDS) -> DataFrame:
     """docs (as doc_id, text and the other columns) with n_words, n_removed and clean_text, the words left."""
-    return cut_repeats(docs, Words(window, gram), resolver(window, reference_words), finish, OUT, doc, text, same_doc=False)
+    return cut_repeats(docs, Words(window, gram), resolver(window, reference_words), finish, OUT, doc, text)

@@ -43,6 +43,7 @@ class Units:
 
     window: int
     gram: int  # units of an anchor's gram, a power of two
+    same_doc = False  # whether windows of the document itself count as earlier
 
     def read(self, data: bytes) -> tuple[object, np.ndarray]:
         """The text in units, and a 64-bit hash of each."""
@@ -52,8 +53,12 @@ class Units:
         """The text of units start to end."""
         raise NotImplementedError
 
-    def runs(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts and ends of the runs of windows with one anchor, and the anchors."""
+    def runs(self, hashes: np.ndarray, twice: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the runs of windows with one anchor, and the anchors.
+
+        twice: give a run whose anchor stands in it more than once two times; windows
+        of such a run may be equal.
+        """
         n = len(hashes) - self.window + 1
         if n <= 0:
             none = np.empty(0, np.int64)
@@ -69,8 +74,16 @@ class Units:
         if have < width:
             least = np.minimum(least[: have - width], least[width - have :])
         edges = np.flatnonzero(least[1:] != least[:-1]) + 1
-        starts = np.concatenate(([0], edges))
-        return starts, np.concatenate((edges, [n])), least[starts]
+        starts, ends = np.concatenate(([0], edges)), np.concatenate((edges, [n]))
+        anchors = least[starts]
+        if twice:
+            spans = ends - starts + width - 1
+            offsets = np.cumsum(spans) - spans
+            at = np.arange(int(spans.sum())) + np.repeat(starts - offsets, spans)
+            count = np.add.reduceat(grams[at] == np.repeat(anchors, spans), offsets, dtype=np.int32)
+            both = np.concatenate((np.arange(len(starts)), np.flatnonzero(count > 1)))
+            starts, ends, anchors = starts[both], ends[both], anchors[both]
+        return starts, ends, anchors
 
 
 def _ints(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -114,7 +127,7 @@ def _scan(units: Units, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             buckets = batch.column(0).to_pylist()
             for bucket, data in zip(buckets, batch.column(1).cast(pa.binary()).to_pylist()):
                 if data:
-                    anchors = units.runs(units.read(data)[1])[2]
+                    anchors = units.runs(units.read(data)[1], units.same_doc)[2]
                     if len(anchors):
                         held.setdefault(bucket, []).append(anchors)
                         count += len(anchors)
@@ -252,7 +265,7 @@ def covered(windows: np.ndarray, window: int) -> np.ndarray:
     return sums[np.minimum(at + 1, len(windows))] > sums[np.maximum(at - window + 1, 0)]
 
 
-def _apply(units: Units, finish: Finish, schema: pa.Schema, new: list[str], same_doc: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _apply(units: Units, finish: Finish, schema: pa.Schema, new: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         anchors = [x for x in told["anchors"].to_pylist() if x is not None]
         verdicts: dict[int, np.ndarray] = {}
@@ -270,7 +283,7 @@ def _apply(units: Units, finish: Finish, schema: pa.Schema, new: list[str], same
                 for start, end, _ in runs:
                     key = xxhash.xxh3_64_intdigest(units.piece(text, start, end + units.window - 1))
                     at = first.setdefault(key, (doc, start))
-                    if doc != at[0] or same_doc and start != at[1]:
+                    if doc != at[0] or units.same_doc and start != at[1]:
                         marked[start:end] = True  # an equal piece came before in this bucket
                     elif (verdict := verdicts.get(key)) is not None:
                         marked[start:end] = verdict
@@ -283,11 +296,8 @@ def _apply(units: Units, finish: Finish, schema: pa.Schema, new: list[str], same
     return run
 
 
-def cut_repeats(docs: DataFrame, units: Units, resolver: Resolver, finish: Finish, fields: list[T.StructField], doc: str, text: str, same_doc: bool) -> DataFrame:
-    """docs with fields: each text without the windows that occur earlier.
-
-    same_doc: whether windows of the document itself count as earlier.
-    """
+def cut_repeats(docs: DataFrame, units: Units, resolver: Resolver, finish: Finish, fields: list[T.StructField], doc: str, text: str) -> DataFrame:
+    """docs with fields: each text without the windows that occur earlier."""
     parts = shuffle_parts(docs.sparkSession)
     new = [f.name for f in fields]
     kept = [c for c in docs.columns if c.lower() not in {*(n.lower() for n in new), "bucket", "doc_id", "text"}]
@@ -305,4 +315,4 @@ def cut_repeats(docs: DataFrame, units: Units, resolver: Resolver, finish: Finis
     none = F.lit(None).cast("binary")
     told = repeated.select("bucket", "anchors", none.alias("keys"), none.alias("sizes"), none.alias("bits")).unionByName(found.select("bucket", none.alias("anchors"), "keys", "sizes", "bits"))
     schema = T.StructType([named.schema[c] for c in ("doc_id", "text", *kept)] + fields)
-    return by_bucket.cogroup(told.groupBy("bucket")).applyInArrow(_apply(units, finish, to_arrow_schema(schema), new, same_doc), schema)
+    return by_bucket.cogroup(told.groupBy("bucket")).applyInArrow(_apply(units, finish, to_arrow_schema(schema), new), schema)
