@@ -22,16 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Lineage cut by a reliable checkpoint in the folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it.
 
-    A folder is set here only where spark.checkpoint.dir is unset and none was
-    set before, as in tests.
+    One is made here only where spark.checkpoint.dir is unset and none was set
+    before, as in tests.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomline-checkpoint-"))
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loomline-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Lineage cut by a reliable checkpoint."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

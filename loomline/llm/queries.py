@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from loomline.llm import chat_format, decontam, html_extract, line_dedup, minhash, pieces, quality, substring_dedup, suffix_dedup, toxicity
 from loomline.llm.common import table
 
@@ -85,6 +86,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_removed", F.sha2("clean_text", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_chat_formatting, op3_quality_rules, op4_decontamination, op5_minhash_dedup, op6_suffix_array_dedup, op7_sentencepiece_nbest, op8_toxicity, op9_line_dedup, op10_substring_dedup)
-}
+OPERATORS = [
+    op1_html_extraction,
+    op2_chat_formatting,
+    op3_quality_rules,
+    op4_decontamination,
+    op5_minhash_dedup,
+    op6_suffix_array_dedup,
+    op7_sentencepiece_nbest,
+    op8_toxicity,
+    op9_line_dedup,
+    op10_substring_dedup,
+]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
