@@ -43,6 +43,8 @@ SAMPLE = (800, 1500)
 APART = 0.25
 ROUNDS = 8
 RATE = 0.01
+#: Steps of a round at least.
+LEAST_STEPS = 50
 #: Rounds before which the sample's windows are scored anew, and the first that takes toxic windows by score.
 MINED, BY_SCORE = (1, 3, 5), 3
 HELD_OUT = 1
@@ -337,7 +339,9 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
                 shift = int(rng.integers(-8, 9)) if y and 8 <= starts[s] < len(text) - WINDOW - 8 and turn < BY_SCORE - 1 else 0
                 picked.append((text[starts[s] + shift : starts[s] + shift + WINDOW], y))
         share = sum(y for _, y in picked) / len(picked)
-        for part in np.array_split(rng.permutation(len(picked)), max(1, len(picked) // 64)):
+        batches = max(1, len(picked) // 64)
+        passes = -(-LEAST_STEPS // batches)  # a small sample is passed several times a round
+        for part in (part for _ in range(passes) for part in np.array_split(rng.permutation(len(picked)), batches)):
             chosen = [picked[i] for i in part]
             ids: dict[bytes, int] = {}
             at = np.full((len(chosen), WINDOW), -1, np.int64)
