@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,8 @@ MANTISSA = 10
 ERRORS = 5
 #: Nodes of a band that are compared in one task's block.
 BLOCK = 2000
+#: Nodes whose ids are broadcast to fetch their texts at most (some 100 bytes each).
+BROADCAST_NODES = 500_000
 #: Words whose hash a task remembers.
 WORDS_HELD = 400_000
 
@@ -120,7 +123,7 @@ def least_estimate(similarity: int) -> float:
     return j - ERRORS * (j * (1 - j) / REGISTERS) ** 0.5
 
 
-NODE = [column("node", T.BinaryType()), column("n_shingles", T.LongType()), column("sketch", T.BinaryType())]
+NODE = [column("digest", T.BinaryType()), column("n_shingles", T.LongType()), column("sketch", T.BinaryType())]
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -129,7 +132,7 @@ def words_of(data: bytes | None) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, doc: str, text: str, shingle: int) -> DataFrame:
-    """(doc_id, node, n_shingles, sketch); node is a digest of the set, and null with the sketch where it is empty."""
+    """(doc_id, digest, n_shingles, sketch); the digest of the set is null with the sketch where it is empty."""
 
     def fn(texts: list[bytes | None]) -> dict[str, list]:
         hashes = WordHashes()
@@ -137,7 +140,7 @@ def sketches(docs: DataFrame, doc: str, text: str, shingle: int) -> DataFrame:
         for data in texts:
             h = shingle_hashes(words_of(data), shingle, hashes)
             out["n_shingles"].append(len(h))
-            out["node"].append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
+            out["digest"].append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
             out["sketch"].append(sketch(h).tobytes() if len(h) else None)
         return out
 
@@ -163,17 +166,19 @@ def may_link(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb", "na", "nb")
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold. texts: one text for each node that pairs name."""
-
-    def shingles(text: str) -> set:
-        w = words_of(text.encode())
-        return set(zip(*(w[i:] for i in range(shingle)))) if len(w) >= shingle else {tuple(w)}
+    """Pairs whose full shingle sets reach the threshold. texts: (node, packed), a row for each node that pairs name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def shingles(packed: bytes) -> set:
+            w = words_of(unpack(packed))
+            return set(zip(*(w[i:] for i in range(shingle)))) if len(w) >= shingle else {tuple(w)}
+
         last: tuple = (None, None)
         for batch in batches:
             good = []
@@ -185,9 +190,32 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int)
                 good.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}"))
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("packed").alias(f"t{x}"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def packed_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, packed): a compressed text of each wanted (node, digest, first_id).
+
+    docs has (doc_id, text). Few enough wanted nodes are broadcast; more are joined.
+    A repeated doc_id may have other texts too, so the digest decides.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, pack = WordHashes(), zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            nodes, packed = [], []
+            for node, digest, data in zip(*(batch.column(i).to_pylist() for i in (0, 1)), batch.column(2).cast(pa.binary()).to_pylist()):
+                if xxhash.xxh3_128_digest(shingle_hashes(words_of(data), shingle, hashes).tobytes()) == digest:
+                    nodes.append(node)
+                    packed.append(pack(data))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], names=["node", "packed"])
+
+    if wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    found = docs.join(wanted, F.expr("doc_id <=> first_id")).select("node", "digest", "text")
+    return found.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
 
 
 def open_pairs(rows: DataFrame, similarity: int, nearest: bool) -> DataFrame:
@@ -204,7 +232,7 @@ def open_pairs(rows: DataFrame, similarity: int, nearest: bool) -> DataFrame:
         if not out_at or len(group) < 2:
             return
         names = [r[1] for r in group]
-        roots = np.array([hash(r[2]) for r in group])
+        roots = np.array([r[2] for r in group])
         regs = np.stack([np.frombuffer(r[3], np.uint16) for r in group])
         sizes = np.array([r[4] for r in group])
         a, b = [], []
@@ -219,7 +247,7 @@ def open_pairs(rows: DataFrame, similarity: int, nearest: bool) -> DataFrame:
                 a.append(x)
                 b.append(y)
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
@@ -232,7 +260,7 @@ def open_pairs(rows: DataFrame, similarity: int, nearest: bool) -> DataFrame:
                 group.append(row[2:])
         yield from compare(group)
 
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -260,19 +288,18 @@ def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of docs."""
     made = cut(sketches(docs, doc, text, shingle))
-    nodes = cut(made.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles")))
+    sets = made.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
+    # The cut table has its rows in fixed places, so these numbers are the same whenever they are made.
+    nodes = cut(sets).withColumn("node", F.monotonically_increasing_id())
     banded = bands(nodes)
     heads = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1")
     shared = cut(banded.join(heads, "band"))
     pairs = shared.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    source = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
+    wanted = nodes.select("node", "digest", "first_id").join(shared.select("node").distinct(), "node")
+    texts = cut(packed_texts(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), wanted, shingle))
 
     def link(pairs: DataFrame) -> DataFrame:
-        likely = cut(may_link(pairs, nodes, similarity))
-        named = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", F.col("first_id").alias("doc_id")), "node")
-        # A repeated doc_id may carry other texts, so the digest is checked again.
-        found = source.join(named.withColumnRenamed("doc_id", "__id"), F.expr("doc_id <=> __id")).transform(lambda d: sketches_of(d, shingle))
-        return cut(confirmed(likely, found, shingle, similarity))
+        return cut(confirmed(may_link(pairs, nodes, similarity), texts, shingle, similarity))
 
     links = link(pairs)
     roots = cut(components(links))
@@ -283,21 +310,9 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", sh
             break
         links = links.unionByName(link(more))
         roots = cut(components(links))
-    of_node = nodes.select("node", "first_id").join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+    of_node = nodes.select("node", "digest", "first_id").join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     ids = of_node.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    component = of_node.join(ids, "root").select("node", "component_id")
-    out = made.select("doc_id", "node", "n_shingles").join(component, "node", "left")
-    alone = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    component = of_node.join(ids, "root").select("digest", "component_id")
+    out = made.select("doc_id", "digest", "n_shingles").join(component, "digest", "left")
+    alone = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", alone.alias("component_id"), alone.eqNullSafe(F.col("doc_id")).alias("kept"))
-
-
-def sketches_of(found: DataFrame, shingle: int) -> DataFrame:
-    """(node, text) of rows (doc_id, node, text) whose text has that node's set, one row a node."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            good = [xxhash.xxh3_128_digest(shingle_hashes(words_of(t), shingle, hashes).tobytes()) == n for n, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())]
-            yield batch.filter(pa.array(good, pa.bool_()))
-
-    return found.select("node", "text").mapInArrow(run, "node binary, text string").dropDuplicates(["node"])
