@@ -8,6 +8,8 @@ code points. Names follow what is computed, not how.
 from __future__ import annotations
 
 WS = r"[\p{Z}\x09-\x0D\x1C-\x1F\x85]"
+#: The same characters as a list: trimming by it stays in generated code.
+WS_CHARS = "".join(rf"\u{c:04X}" for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 WORD = r"[\p{L}\p{N}_]"
 TOKEN = rf"{WORD}+|[^\p{{L}}\p{{N}}_\p{{Z}}\x09-\x0D\x1C-\x1F\x85]"
 LINE_END = r"\r\n|[\x0A-\x0D\x1C-\x1E\x85\x{2028}\x{2029}]"
@@ -23,7 +25,7 @@ def text_lit(value: str) -> str:
 
 
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, r'^{WS}+|{WS}+$', '')"
+    return f"btrim({x}, '{WS_CHARS}')"
 
 
 def token_len(x: str) -> str:

@@ -34,7 +34,7 @@ def _constant(value) -> Column:
 def final_rows(filtered: DataFrame, selected: DataFrame, cfg: dict) -> DataFrame:
     """filtered with what selected knows of each source; a source it doesn't know has nulls."""
     known = selected.dropDuplicates(["source_id"]).select("source_id", "improvement", "score_greedy", "score_sample")
-    joined = filtered.join(known, "source_id", "left")
+    joined = filtered.drop("improvement", "score_greedy", "score_sample").join(known, "source_id", "left")
     names = versions()
     packages = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v).cast("string"))])
     teacher, metricx, filters = cfg["teacher"], cfg["metricx"], cfg["filters"]

@@ -19,6 +19,12 @@ def with_rule_reason(pairs: DataFrame, cfg: dict) -> DataFrame:
     return pairs.withColumn("reject_reason", F.when(reason != "pass", reason))
 
 
+def judge_reason(reply: str, fail_policy: str = "conservative") -> Column:
+    """Why the judge rejects a pair, from its reply; null where it passes."""
+    permissive = fail_policy == "permissive"
+    return F.when(~F.expr(X.judge_pass(reply, permissive)), F.expr(X.judge_reason(reply, permissive)))
+
+
 def with_judgement(pairs: DataFrame, replies: DataFrame, fail_policy: str = "conservative") -> DataFrame:
     """Pairs with the judge's reason where it rejects. replies: (source_id, reply), only of pairs that passed the rules."""
     permissive = fail_policy == "permissive"

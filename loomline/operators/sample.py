@@ -63,31 +63,29 @@ def stratified(segs: DataFrame, totals: dict[str, int], boundaries: list[int], q
 
     segs: (doc_ord, segment_type, segment_index, length_bucket_id, ...), one row a segment.
     """
-    made = None
-    for kind, total in totals.items():
-        own = segs.filter(F.col("segment_type") == kind)
-        each = quota_of(total, boundaries, quota)
-        part = _one_type(own, total, each, len(boundaries) - 1, reservoir, seed)
-        made = part if made is None else made.unionByName(part)
-    return made
-
-
-def _one_type(segs: DataFrame, total: int, quota: int, buckets: int, reservoir: int, seed: int) -> DataFrame:
     key = ["doc_ord", "segment_type", "segment_index"]
-    arrival = Window.orderBy("doc_ord", "segment_index")
-    by_bucket = Window.partitionBy("length_bucket_id").orderBy("doc_ord", "segment_index")
-    inside = segs.filter(F.col("length_bucket_id").between(0, buckets - 1))
-    heads = inside.withColumn("rank", F.row_number().over(by_bucket)).filter(F.col("rank") <= quota)
+    buckets = len(boundaries) - 1
+    total_of = F.expr("case segment_type " + " ".join(f"when {X.text_lit(k)} then {n}" for k, n in totals.items()) + " else 0 end")
+    quota_by = F.expr("case segment_type " + " ".join(f"when {X.text_lit(k)} then {quota_of(n, boundaries, quota)}" for k, n in totals.items()) + " else 0 end")
+    most, quotas = max(totals.values()), [quota_of(n, boundaries, quota) for n in totals.values()]
+    inside = segs.filter(F.col("length_bucket_id").between(0, buckets - 1) & (total_of > 0))
+    # Constant bounds on the ranks let each task drop rows before the shuffle; the types' own bounds follow.
+    by_bucket = Window.partitionBy("segment_type", "length_bucket_id").orderBy("doc_ord", "segment_index")
+    heads = inside.withColumn("rank", F.row_number().over(by_bucket)).filter((F.col("rank") <= max(quotas)) & (F.col("rank") <= quota_by))
     heads = heads.withColumn("spill", F.lit(0)).withColumn("place", F.col("length_bucket_id").cast("long"))
-    many = inside.groupBy("length_bucket_id").agg(F.count("*").alias("n")).agg(F.sum(F.greatest(F.lit(0), F.col("n") - quota))).first()[0] or 0
-    if many > reservoir:
-        spread = inside.withColumn("place", F.xxhash64(F.lit(seed), *key))
-        early = spread.withColumn("rank", F.row_number().over(Window.orderBy("place", *key))).filter(F.col("rank") <= quota * buckets + min(total, reservoir))
-    else:
-        early = inside.withColumn("place", F.lit(0).cast("long")).withColumn("rank", F.row_number().over(arrival)).filter(F.col("rank") <= quota * buckets + total)
+    counted = inside.groupBy("segment_type", "length_bucket_id").agg(F.count("*").alias("n"), F.first(quota_by).alias("quota"))
+    many = counted.groupBy("segment_type").agg(F.sum(F.greatest(F.lit(0), F.col("n") - F.col("quota"))).alias("n")).agg(F.max("n")).first()[0] or 0
+    place = F.xxhash64(F.lit(seed), *key) if many > reservoir else F.lit(0).cast("long")
+    reach = min(most, reservoir) if many > reservoir else most
+    by_type = Window.partitionBy("segment_type").orderBy("place", "doc_ord", "segment_index")
+    early = inside.withColumn("place", place).withColumn("rank", F.row_number().over(by_type)).filter(F.col("rank") <= max(quotas) * buckets + reach)
     overflow = early.join(heads.select(*key), key, "left_anti").withColumn("spill", F.lit(1)).select(*heads.columns)
-    final = Window.orderBy("spill", "place", "doc_ord", "segment_index")
-    return heads.unionByName(overflow).withColumn("sample_rank", F.row_number().over(final)).filter(F.col("sample_rank") <= total).drop("rank", "spill", "place")
+    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index")
+    both = heads.unionByName(overflow)
+    if many > reservoir:  # of the overflow no more than the reservoir holds
+        spilled = Window.partitionBy("segment_type", "spill").orderBy("place", "doc_ord", "segment_index")
+        both = both.withColumn("rank", F.row_number().over(spilled)).filter((F.col("spill") == 0) | (F.col("rank") <= reservoir))
+    return both.withColumn("sample_rank", F.row_number().over(final)).filter((F.col("sample_rank") <= most) & (F.col("sample_rank") <= total_of)).drop("rank", "spill", "place")
 
 
 def sampled_sources(segs: DataFrame, cfg: dict, lang: str) -> DataFrame:

@@ -32,9 +32,13 @@ def best_candidates(sources: DataFrame, candidates: DataFrame, score: str, top_k
     score: SQL over source_text and t for one translation's score. Candidates stay
     nested, so neither an explosion nor a second shuffle is needed.
     """
-    joined = candidates.filter(F.size("translations") > 0).join(sources.dropDuplicates(["source_id"]), "source_id")
-    ranked = joined.withColumn("ranked", F.expr(f"array_sort(transform(translations, (t, i) -> named_struct('score', {score}, 'i', i, 'translation', t)))"))
-    return _best(ranked, top_k)
+    return best_of(candidates.join(sources.dropDuplicates(["source_id"]), "source_id"), score, top_k)
+
+
+def best_of(rows: DataFrame, score: str, top_k: int = 1) -> DataFrame:
+    """The same of rows that have source_text and translations already; their other columns stay."""
+    ranked = rows.filter(F.size("translations") > 0).withColumn("ranked", F.expr(f"array_sort(transform(translations, (t, i) -> named_struct('score', {score}, 'i', i, 'translation', t)))"))
+    return _best(ranked.drop("translations"), top_k)
 
 
 def best_scored(sources: DataFrame, scored: DataFrame, top_k: int = 1) -> DataFrame:
@@ -45,10 +49,10 @@ def best_scored(sources: DataFrame, scored: DataFrame, top_k: int = 1) -> DataFr
 
 def _best(ranked: DataFrame, top_k: int) -> DataFrame:
     best = F.element_at("ranked", 1)
-    columns = ["source_id", "source_text", best["translation"].alias("target_text"), best["score"].alias("metricx_qe_score_best"), "madlad", "length_bucket_id", "segment_type"]
+    made = {"target_text": best["translation"], "metricx_qe_score_best": best["score"]}
     if top_k > 1:
-        columns.append(F.expr(f"transform(slice(ranked, 1, {top_k}), r -> named_struct('score', r.score, 'translation', r.translation))").alias("top_k"))
-    return ranked.select(*columns)
+        made["top_k"] = F.expr(f"transform(slice(ranked, 1, {top_k}), r -> named_struct('score', r.score, 'translation', r.translation))")
+    return ranked.withColumns(made).drop("ranked")
 
 
 def not_done(todo: DataFrame, *done: DataFrame, key: str = "source_id") -> DataFrame:

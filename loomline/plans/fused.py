@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions import text as X
-from loomline.operators import filters, sample, score, select, segment, teacher
-from loomline.plans.stages import prefiltered
+from loomline.operators import filters, sample, segment, select, teacher
 
 
-def fused(docs: DataFrame, cfg: dict, lang: str = "en") -> tuple[DataFrame, DataFrame]:
-    """(judged pairs, selected sources) of (doc_ord, doc_id, text)."""
+def fused(docs: DataFrame, cfg: dict, lang: str = "en") -> DataFrame:
+    """Judged pairs of (doc_ord, doc_id, text), with each source's scores and reject_reason.
+
+    Every step but the sample works on its row alone, so the plan has no join: a
+    source carries its translations, scores and verdicts along.
+    """
     sources = sample.sampled_sources(segment.segments(docs, cfg), cfg, lang)
-    texts = sources.select("source_id", F.expr(teacher.stub_greedy("source_text")).alias("greedy_text"), F.expr(teacher.stub_sample("source_text", "source_id")).alias("sample_text"))
-    selected = select.top_sources(prefiltered(sources, cfg, texts, score.dummy), cfg["data"]["target_examples_total"])
-    n = cfg["final_generation"]["num_candidates"]
-    candidates = selected.select("source_id", F.expr(teacher.stub_candidates("source_text", n)).alias("translations"))
-    best = select.best_candidates(selected, candidates, X.dummy_score("source_text", "t"))
-    ruled = filters.with_rule_reason(best, cfg)
-    passed, rejected = filters.split_rejected(ruled)
-    judged = filters.with_judgement(passed, passed.select("source_id", F.expr(teacher.stub_reply("source_id")).alias("reply")))
-    return judged.unionByName(rejected), selected
+    scored = sources.withColumns({"score_greedy": F.expr(X.dummy_score("source_text", teacher.stub_greedy("source_text"))), "score_sample": F.expr(X.dummy_score("source_text", teacher.stub_sample("source_text", "source_id")))})
+    selected = select.top_sources(scored.withColumn("improvement", F.expr("score_greedy - score_sample")), cfg["data"]["target_examples_total"])
+    candidates = selected.withColumn("translations", F.expr(teacher.stub_candidates("source_text", cfg["final_generation"]["num_candidates"])))
+    best = select.best_of(candidates, X.dummy_score("source_text", "t"))
+    ruled = filters.with_rule_reason(best, cfg).withColumn("reply", F.expr(teacher.stub_reply("source_id")))
+    return ruled.withColumn("reject_reason", F.coalesce("reject_reason", filters.judge_reason("reply"))).drop("reply")

@@ -158,19 +158,23 @@ def generate_candidates(run: Run) -> str:
     return run.added("generate_128", "candidates_128", rows, schemas.CANDIDATES)
 
 
+def _best_columns(best: DataFrame) -> DataFrame:
+    return best.select("source_id", "source_text", "target_text", "metricx_qe_score_best", "madlad", "length_bucket_id", "segment_type", *(["top_k"] if "top_k" in best.columns else []))
+
+
 def score_select_best(run: Run) -> str:
     sources = run.read("selected_sources", schemas.PREFILTERED)
     rows = run.first(run.own_shard(run.read("candidates_128", schemas.CANDIDATES)), "source_id")
     top_k = run.cfg["final_generation"]["store_top_k"]
     if run.cfg["metricx"]["backend"] == "dummy":
-        best = select.best_candidates(sources, rows, X.dummy_score("source_text", "t"), top_k)
+        best = _best_columns(select.best_candidates(sources, rows, X.dummy_score("source_text", "t"), top_k))
         return run.added("score_select_best", "selected_best", best, schemas.BEST)
     place = run.cfg["metricx"]["cache_db"]
     cache = run.spark.read.schema(schemas.CACHE).parquet(place) if corpus._exists(run.spark, f"{place}/_SUCCESS") else run.spark.createDataFrame([], schemas.CACHE)
     pairs = rows.join(sources.select("source_id", F.col("source_text").alias("source")), "source_id").select("source_id", "source", F.posexplode("translations").alias("i", "hypothesis"))
     scored, new = score.scored_with_cache(pairs, cache, score.scorer(run.cfg), score.scorer_id(run.cfg))
     new.write.mode("append").parquet(place)
-    best = select.best_scored(sources, scored.select("source_id", "i", F.col("hypothesis").alias("translation"), "score"), top_k)
+    best = _best_columns(select.best_scored(sources, scored.select("source_id", "i", F.col("hypothesis").alias("translation"), "score"), top_k))
     return run.added("score_select_best", "selected_best", best, schemas.BEST)
 
 

@@ -317,9 +317,8 @@ def export_final(spark, sf_dir):
 
 def pipeline_end_to_end(spark, sf_dir):
     """A whole run as one plan: documents to accepted and rejected pairs."""
-    judged, selected = fused(documents(spark, sf_dir), SMALL)
-    known = selected.select("source_id", "improvement")
-    return judged.join(known, "source_id", "left").select("source_id", "source_text", "target_text", "metricx_qe_score_best", "improvement", "segment_type", F.col("length_bucket_id").cast("long").alias("length_bucket_id"), F.coalesce("reject_reason", F.lit("pass")).alias("reason"))
+    judged = fused(documents(spark, sf_dir), SMALL)
+    return judged.select("source_id", "source_text", "target_text", "metricx_qe_score_best", "improvement", "segment_type", F.col("length_bucket_id").cast("long").alias("length_bucket_id"), F.coalesce("reject_reason", F.lit("pass")).alias("reason"))
 
 
 def resume_counts(spark, sf_dir):
