@@ -1,7 +1,7 @@
 """Line-first quality rules, in Spark SQL functions only.
 
 Each line of a text is judged alone: a line of prose ends in sentence punctuation
-(or is too short to need it), a navigation line is a row of labels with separators
+(or is too short to need it) and isn't strewn with symbols, a navigation line is a row of labels with separators
 between them, a boilerplate line has one of a few site phrases. Lines that fail go;
 a document that loses more than max_loss percent of its characters in words by
 that, or fails the base rules, is rejected.
@@ -27,6 +27,8 @@ SPACE = r"\x20\x09-\x0D"
 ENDS = r'[.!?:;,…。！？]["\x27)\]»“”’]*[\x20\x09-\x0D]*$'
 #: Label separators of menus, in runs of labels of up to three words.
 MENU = r"^[\x20\x09-\x0D]*[^|»›>•·]{1,30}([|»›>•·][\x20\x09-\x0D]*[^|»›>•·]{0,30}){3,}$"
+#: Runs of symbols; a line with one for every NOISE_WORDS words isn't prose.
+NOISE, NOISE_WORDS = r"[#$%&*]{2,}", 4
 BOILERPLATE = (
     r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie (policy|settings)|uses cookies|accept (all )?cookies"
     r"|enable javascript|javascript is (disabled|required)|lorem ipsum|click here to|sign up for our|subscribe to our|skip to (main )?content"
@@ -51,7 +53,9 @@ def repeated_words(words: str) -> str:
 
 def line_fails(line: str) -> str:
     prose = rf"regexp_count({line}, r'[^{SPACE}]+') >= {PROSE_WORDS}"
-    return rf"(({prose} and not {line} rlike r'{ENDS}') or {line} rlike r'{MENU}' or {line} rlike r'{BOILERPLATE}')"
+    words = rf"regexp_count({line}, r'[^{SPACE}]+')"
+    noise = f"{NOISE_WORDS} * regexp_count({line}, r'{NOISE}') >= {words}"
+    return rf"(({prose} and not {line} rlike r'{ENDS}') or {line} rlike r'{MENU}' or {line} rlike r'{BOILERPLATE}' or {noise})"
 
 
 def quality(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT, max_loss: int = MAX_LOSS) -> DataFrame:

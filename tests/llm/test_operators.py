@@ -110,11 +110,11 @@ def test_quality_counts(spark):
 
 def test_quality_lines(spark):
     prose = "This line of prose has more than a dozen words in it and it ends properly. " * 8
-    rows = [(1, prose), (2, f"Home | News | Sport | More\n{prose}\nAll rights reserved"), (3, "\n".join(["Home | News | Sport | Weather | Travel | Maps"] * 12))]
+    rows = [(1, prose), (2, f"Home | News | Sport | More\n{prose}\nAll rights reserved"), (3, "\n".join(["Home | News | Sport | Weather | Travel | Maps"] * 12)), (4, "These### words%%% are&&& all*** strewn$$$ with### symbols.%%% " * 9)]
     out = by_id(quality.quality(spark.createDataFrame(rows, "doc_id long, text string"), max_repeat=101))
     assert out[1]["kept"] and out[1]["clean_text"].strip() == prose.strip()
     assert out[2]["kept"] and out[2]["n_lines_failed"] == 2 and "rights" not in out[2]["clean_text"]
-    assert not out[3]["kept"]
+    assert not out[3]["kept"] and not out[4]["kept"]
 
 
 def plain_decontam(text, items, window):
@@ -261,6 +261,13 @@ def test_substring_dedup(spark, reference_words):
     assert substring_dedup.substring_dedup(docs.limit(0)).count() == 0
 
 
+def test_substring_words_and_white_space(spark):
+    w = [f"{'long' * (i % 6)}é{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, " ".join(w)), (2, "\n\t".join(w)), (3, "x " + "\r\n".join(w[:13]) + " \x0b"), (4, " ".join(w[1:13]))], "doc_id long, text string")
+    out = by_id(substring_dedup.substring_dedup(docs))
+    assert [(out[i]["n_words"], out[i]["n_removed"], out[i]["clean_text"]) for i in (1, 2, 3, 4)] == [(30, 0, " ".join(w)), (30, 30, ""), (14, 13, "x"), (12, 0, " ".join(w[1:13]))]
+
+
 def plain_suffix(rows, window):
     seen, out = set(), {}
     for i, t, *_ in sorted(rows):
