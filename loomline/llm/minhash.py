@@ -10,10 +10,10 @@ reach the threshold are compared on their full sets.
 Documents with one and the same set are one node. Candidates aren't all pairs of a
 band: each node is compared with the band's least node first; components of the
 confirmed links follow. Only where a band's nodes still stand in different
-components, those outside the band's largest component are compared with the rest,
-first each with its nearest, then each with all that the estimate allows. So a group
-of near copies costs about its size, and no link between components is lost within
-a band. Bands miss a pair at the threshold with probability under 1e-7.
+components, those outside the band's largest component are compared with all that
+the estimate allows, nearest first and no further once a link joins two components,
+in blocks of a bounded size. So a group of near copies costs about its size, and no
+link between components is lost within a band. Bands miss a pair at the threshold with probability under 1e-7.
 
 Defined cases: null or empty text has no shingles, is its own component and kept; a
 text with fewer words than a shingle has its whole sequence as one shingle; repeated
@@ -150,7 +150,7 @@ def sketches(docs: DataFrame, doc: str, text: str, shingle: int) -> DataFrame:
 def bands(nodes: DataFrame) -> DataFrame:
     count = REGISTERS // BAND
     keys = F.expr(f"transform(sequence(0, {count - 1}), i -> xxhash64(substring(sketch, i * {2 * BAND} + 1, {2 * BAND}), i))")
-    return nodes.select("node", F.explode(keys).alias("band"))
+    return nodes.select("node", F.posexplode(keys).alias("number", "band"))
 
 
 def may_link(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
@@ -218,34 +218,54 @@ def packed_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return found.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
 
 
-def open_pairs(rows: DataFrame, similarity: int, nearest: bool) -> DataFrame:
-    """Pairs of different components in one block of a band that the estimate allows.
+def settled_links(rows: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Confirmed links between components of one block of a band, as many as join them.
 
-    rows: (band, block, outside, node, root, sketch, n_shingles), blocks together and
-    sorted. A node outside the band's largest component is compared with all of
-    the block; nearest keeps its best partner only.
+    rows: (band, number, block, outside, node, root, sketch, n_shingles, packed), blocks
+    together and sorted. Each node outside the band's largest component meets the
+    nodes of other components that the estimate allows, the most alike first, on full
+    sets, until one joins them; then the rest of that component needs no comparison.
+    Two nodes are compared only in the first band that they share.
     """
     least = least_estimate(similarity)
+    width = REGISTERS // BAND
 
-    def compare(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-        out_at = [i for i, r in enumerate(group) if r[0]]
-        if not out_at or len(group) < 2:
+    def compare(number: int, group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        outside = [i for i, r in enumerate(group) if r[0]]
+        if not outside or len(group) < 2:
             return
-        names = [r[1] for r in group]
-        roots = np.array([r[2] for r in group])
         regs = np.stack([np.frombuffer(r[3], np.uint16) for r in group])
+        whole = regs.reshape(len(group), width, BAND)[:, :number]  # the bands before this one
         sizes = np.array([r[4] for r in group])
+        _, comp = np.unique([r[2] for r in group], return_inverse=True)
+        unpack = zstandard.ZstdDecompressor().decompress
+        sets: dict[int, set] = {}
+
+        def shingles(i: int) -> set:
+            if i not in sets:
+                w = words_of(unpack(group[i][5]))
+                sets[i] = set(zip(*(w[k:] for k in range(shingle)))) if len(w) >= shingle else {tuple(w)}
+            return sets[i]
+
         a, b = [], []
-        for i in out_at:
-            est = estimate(regs, regs[i], sizes, sizes[i])
-            est[roots == roots[i]] = -1
-            found = np.flatnonzero(est >= least)
-            if nearest and len(found):
-                found = found[[est[found].argmax()]]
-            for j in found.tolist():
-                x, y = sorted((names[i], names[j]))
-                a.append(x)
-                b.append(y)
+        for i in outside:
+            ahead = np.flatnonzero((comp != comp[i]) & (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])))
+            if number and len(ahead):
+                ahead = ahead[~(whole[ahead] == whole[i]).all(2).any(1)]
+            if not len(ahead):
+                continue
+            est = estimate(regs[ahead], regs[i], sizes[ahead], sizes[i])
+            x = None
+            for j in ahead[np.argsort(-est, kind="stable")][: int((est >= least).sum())].tolist():
+                if comp[j] == comp[i]:
+                    continue
+                x = shingles(i) if x is None else x
+                y = shingles(j)
+                both = len(x & y)
+                if 100 * both >= similarity * (len(x) + len(y) - both):
+                    comp[comp == comp[j]] = comp[i]
+                    a.append(group[i][1])
+                    b.append(group[j][1])
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -254,35 +274,39 @@ def open_pairs(rows: DataFrame, similarity: int, nearest: bool) -> DataFrame:
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
             for row in zip(*cols):
-                if row[:2] != at:
-                    yield from compare(group)
-                    at, group = row[:2], []
-                group.append(row[2:])
-        yield from compare(group)
+                if row[:3] != at:
+                    if at is not None:
+                        yield from compare(at[1], group)
+                    at, group = row[:3], []
+                group.append(row[3:])
+        if at is not None:
+            yield from compare(at[1], group)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long")
 
 
-def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Bands that still hold several components, as open_pairs takes them.
+def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Bands that still hold several components, as settled_links takes them.
 
     The largest component of a band is dealt over blocks; every node outside it
     meets each of them. Counts are aggregated before the shuffle.
     """
-    rooted = banded.join(links, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    rooted = banded.join(links, "node", "left").select("band", "number", "node", F.coalesce("root", "node").alias("root"))
     held = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
     mixed = held.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots")).filter("roots > 1 and all > 2")
     placed = rooted.join(mixed.select("band", F.col("top.root").alias("top"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")), "band")
     outside = F.col("root") != F.col("top")
     dealt = placed.select(
         "band",
+        "number",
         "node",
         "root",
         outside.alias("outside"),
         F.explode(F.when(outside, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))).alias("block"),
     )
-    with_sketch = dealt.join(nodes.select("node", "sketch", "n_shingles"), "node")
-    return with_sketch.select("band", "block", "outside", "node", "root", "sketch", "n_shingles").repartition("band", "block").sortWithinPartitions("band", "block")
+    full = dealt.join(nodes.select("node", "sketch", "n_shingles"), "node").join(texts, "node")
+    wanted = full.select("band", "number", "block", "outside", "node", "root", "sketch", "n_shingles", "packed")
+    return wanted.repartition("band", "block").sortWithinPartitions("band", "number", "block", "node")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -303,13 +327,10 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", sh
 
     links = link(pairs)
     roots = cut(components(links))
-    crowded = shared.filter("n > 2").select("band", "node")
-    for nearest in (True, False):
-        more = cut(open_pairs(_blocks(crowded, nodes, roots), similarity, nearest))
-        if more.isEmpty():
-            break
-        links = links.unionByName(link(more))
-        roots = cut(components(links))
+    crowded = shared.filter("n > 2").select("band", "number", "node")
+    more = cut(settled_links(_blocks(crowded, nodes, roots, texts), shingle, similarity).distinct())
+    if not more.isEmpty():
+        roots = cut(components(links.unionByName(more)))
     of_node = nodes.select("node", "digest", "first_id").join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     ids = of_node.groupBy("root").agg(F.min("first_id").alias("component_id"))
     component = of_node.join(ids, "root").select("digest", "component_id")
