@@ -221,7 +221,9 @@ class Batch:
         unit_at, end_at = np.nonzero(on.T)
         flat = starts[unit_at] + end_at - 1
         chosen = ids[via[end_at, unit_at], flat].tolist()
-        for k in np.flatnonzero(np.array(chosen) < 0).tolist():
+        unknown_at = np.flatnonzero(np.array(chosen) < 0).tolist()
+        mixed = {int(unit_at[k]) for k in unknown_at}  # units with ids of bytes among those of pieces
+        for k in unknown_at:
             char = chr(chars[flat[k]])
             chosen[k] = tuple(self.v.bytes[b] for b in char.encode()) if self.v.bytes else (self.v.unknown,)
         bounds = np.concatenate(([0], np.cumsum(on.sum(0)))).tolist()
@@ -229,7 +231,7 @@ class Batch:
         out = []
         for u, (score, loss) in enumerate(zip(final.tolist(), (final - second).tolist())):
             path = chosen[bounds[u] : bounds[u + 1]]
-            flat_path = tuple(path) if all(type(x) is int for x in path) else tuple(y for x in path for y in ((x,) if type(x) is int else x))
+            flat_path = tuple(y for x in path for y in ((x,) if type(x) is int else x)) if u in mixed else tuple(path)
             out.append((flat_path, score, loss))
         return out
 
@@ -295,9 +297,8 @@ class Segmenter:
         found = list(map(self.held.get, units))
         if None in found:
             found = [f or self.unit(u) for f, u in zip(found, units)]
-        parts = [f[0] for f in found]
-        score = float(sum([f[1] for f in found]))
-        losses = [f[2] for f in found]
+        parts, scores, losses = zip(*found) if found else ((), (), ())
+        score = float(sum(scores))
         combined: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
         for loss, i in heapq.nsmallest(self.n - 1, zip(losses, range(len(losses)))):
             if loss == float("inf"):
