@@ -19,12 +19,13 @@ columns named like a result column are replaced.
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from loomline.llm.automaton import SuffixAutomaton
-from loomline.llm.common import column
-from loomline.llm.minhash import WordHashes
+from loomline.llm.common import SPACE, column
+from loomline.llm.minhash import mix
 from loomline.llm.windows import Units, cut_repeats
 
 WINDOW = 13
@@ -32,22 +33,47 @@ GRAM = 4
 REFERENCE_WORDS = 60_000
 
 
+_SPACE = np.isin(np.arange(256), np.frombuffer(SPACE, np.uint8))
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text, and 64-bit hashes of their bytes, eight at a time."""
+    a = np.frombuffer(data + b" " * 8, np.uint8)
+    space = _SPACE[a]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edges = np.concatenate(([0], edges))
+    starts, ends = edges[::2], edges[1::2]
+    sizes = ends - starts
+    eight = np.ndarray((len(a) - 7,), "<u8", a, strides=(1,))
+    hashes = mix((eight[starts] & _MASK[np.minimum(sizes, 8)]) + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    at, more = 8, np.flatnonzero(sizes > 8)
+    while len(more):
+        part = eight[starts[more] + at] & _MASK[np.minimum(sizes[more] - at, 8)]
+        hashes[more] = mix(hashes[more] * np.uint64(0xD6E8FEB86659FD93) + part)
+        at += 8
+        more = more[sizes[more] > at]
+    return starts, ends, hashes
+
+
 class Words(Units):
+    """Words as places in the text; a piece is the text from its first word to its last."""
+
     def __init__(self, window: int, gram: int):
         self.window, self.gram = window, gram
-        self.hashes = None
 
-    def __getstate__(self) -> dict:
-        return {"window": self.window, "gram": self.gram, "hashes": None}
+    def read(self, data: bytes) -> tuple[tuple[bytes, np.ndarray, np.ndarray], np.ndarray]:
+        starts, ends, hashes = word_hashes(data)
+        return (data, starts, ends), hashes
 
-    def read(self, data: bytes) -> tuple[list[bytes], np.ndarray]:
-        if self.hashes is None:
-            self.hashes = WordHashes()
-        words = data.split()
-        return words, np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
+    def piece(self, units: tuple[bytes, np.ndarray, np.ndarray], start: int, end: int) -> bytes:
+        data, starts, ends = units
+        return data[starts[start] : ends[end - 1]]
 
-    def piece(self, units: list[bytes], start: int, end: int) -> bytes:
-        return b" ".join(units[start:end])
+    def key(self, units: object, hashes: np.ndarray, start: int, end: int) -> int:
+        """By words, so that white space between them doesn't matter."""
+        return xxhash.xxh3_64_intdigest(hashes[start:end].tobytes())
 
 
 def matching(reference: list[tuple[int, list[int]]], streamed: list[tuple[int, list[int]]], window: int) -> list[np.ndarray]:
@@ -88,7 +114,7 @@ def resolver(window: int, reference_words: int):
         def settle() -> None:
             ids: dict[bytes, int] = {}
             rows = sorted(block, key=lambda i: int(docs[i]))
-            seqs = {i: [ids.setdefault(w, len(ids)) for w in texts[i].split(b" ")] for i in rows}
+            seqs = {i: [ids.setdefault(w, len(ids)) for w in texts[i].split()] for i in rows}
             pairs = [(int(docs[i]), seqs[i]) for i in rows]
             least = None
             part: list[tuple[int, list[int]]] = []
@@ -105,7 +131,7 @@ def resolver(window: int, reference_words: int):
 
         for a, b in zip(bounds, bounds[1:]):
             block += range(a, b)
-            held += sum(texts[i].count(b" ") + 1 for i in range(a, b))
+            held += sum(len(texts[i]) for i in range(a, b)) // 6  # some six bytes a word
             if held >= reference_words:
                 settle()
                 block, held = [], 0
@@ -119,7 +145,8 @@ def resolver(window: int, reference_words: int):
 OUT = [column("n_words", T.LongType()), column("n_removed", T.LongType()), column("clean_text", T.StringType())]
 
 
-def finish(data: bytes, words: list[bytes], removed: np.ndarray) -> tuple:
+def finish(data: bytes, units: object, removed: np.ndarray) -> tuple:
+    words = data.split()
     kept = words if not removed.any() else [w for w, gone in zip(words, removed.tolist()) if not gone]
     return len(words), int(removed.sum()), b" ".join(kept).decode("utf-8")
 

@@ -53,6 +53,10 @@ class Units:
         """The text of units start to end."""
         raise NotImplementedError
 
+    def key(self, units: object, hashes: np.ndarray, start: int, end: int) -> int:
+        """64 bits that tell pieces of units start to end apart."""
+        return xxhash.xxh3_64_intdigest(self.piece(units, start, end))
+
     def runs(self, hashes: np.ndarray, twice: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the runs of windows with one anchor, and the anchors.
 
@@ -168,8 +172,8 @@ class Bucket:
         self.texts = docs["text"].cast(pa.binary())
         self.anchors = np.sort(np.frombuffer(b"".join(anchors), np.uint64))
 
-    def documents(self) -> Iterator[tuple[int, int, bytes, object, int, list[tuple[int, int, int]]]]:
-        """(row, doc_id, data, units, number of units, [(start, end, anchor)])."""
+    def documents(self) -> Iterator[tuple[int, int, bytes, object, np.ndarray, list[tuple[int, int, int]]]]:
+        """(row, doc_id, data, units, their hashes, [(start, end, anchor)])."""
         for row in self.order.tolist():
             data = self.texts[row].as_py() or b""
             units, hashes = self.units.read(data)
@@ -180,29 +184,29 @@ class Bucket:
                 runs = list(zip(starts[hit].tolist(), ends[hit].tolist(), found[hit].tolist()))
             else:
                 runs = []
-            yield row, int(self.ids[row]), data, units, len(hashes), runs
+            yield row, int(self.ids[row]), data, units, hashes, runs
 
 
-PIECES = "shard int, bucket int, anchors binary, docs binary, starts binary, sizes binary, texts binary"
+PIECES = "shard int, bucket int, anchors binary, keys binary, docs binary, starts binary, sizes binary, texts binary"
 
 
 def _pieces(units: Units, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, repeated: pa.Table) -> pa.Table:
-        out: dict[int, tuple[list, list, list, list]] = {}
+        out: dict[int, tuple[list, ...]] = {}
         if repeated.num_rows and docs.num_rows:
             bucket = Bucket(units, docs, repeated["anchors"].to_pylist())
             seen: set[int] = set()
-            for _, doc, _, text, _, runs in bucket.documents():
+            for _, doc, _, text, hashes, runs in bucket.documents():
                 for start, end, anchor in runs:
-                    piece = units.piece(text, start, end + units.window - 1)
-                    key = xxhash.xxh3_64_intdigest(piece)
+                    key = units.key(text, hashes, start, end + units.window - 1)
                     if key not in seen:
                         seen.add(key)
-                        a, d, s, t = out.setdefault(anchor % shards, ([], [], [], []))
+                        a, k, d, s, t = out.setdefault(anchor % shards, ([], [], [], [], []))
                         a.append(anchor)
+                        k.append(key)
                         d.append(doc)
                         s.append(start)
-                        t.append(piece)
+                        t.append(units.piece(text, start, end + units.window - 1))
         number = docs["bucket"][0].as_py() if docs.num_rows else -1
         rows = list(out.items())
         packed = lambda i, kind: pa.array([np.array(v[i], kind).tobytes() for _, v in rows], pa.binary())
@@ -211,10 +215,11 @@ def _pieces(units: Units, shards: int) -> Callable[[pa.Table, pa.Table], pa.Tabl
                 "shard": pa.array([k for k, _ in rows], pa.int32()),
                 "bucket": pa.array([number] * len(rows), pa.int32()),
                 "anchors": packed(0, np.uint64),
-                "docs": packed(1, np.int64),
-                "starts": packed(2, np.int64),
-                "sizes": pa.array([np.array([len(t) for t in v[3]], np.int64).tobytes() for _, v in rows], pa.binary()),
-                "texts": pa.array([b"".join(v[3]) for _, v in rows], pa.binary()),
+                "keys": packed(1, np.uint64),
+                "docs": packed(2, np.int64),
+                "starts": packed(3, np.int64),
+                "sizes": pa.array([np.array([len(t) for t in v[4]], np.int64).tobytes() for _, v in rows], pa.binary()),
+                "texts": pa.array([b"".join(v[4]) for _, v in rows], pa.binary()),
             },
         )
 
@@ -237,7 +242,7 @@ def _resolve(resolver: Resolver) -> Callable[[pa.Table], pa.Table]:
         texts = [blob[e - n : e] for e, n in zip(ends[order].tolist(), sizes[order].tolist())]
         del blob
         found = resolver(anchors[order], docs[order], starts[order], texts)
-        keys = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
+        keys = _joined(table["keys"], np.uint64)[order]
         bucket = bucket[order]
         out = {"bucket": [], "keys": [], "sizes": [], "bits": []}
         by = np.argsort(bucket, kind="stable")
@@ -276,12 +281,13 @@ def _apply(units: Units, finish: Finish, schema: pa.Schema, new: list[str]) -> C
                 verdicts.update(zip(np.frombuffer(keys, np.uint64).tolist(), np.split(all_bits, np.cumsum(n)[:-1])))
         out: list = [None] * docs.num_rows
         first: dict[int, tuple[int, int]] = {}
-        for row, doc, data, text, count, runs in Bucket(units, docs, anchors).documents():
+        for row, doc, data, text, hashes, runs in Bucket(units, docs, anchors).documents():
+            count = len(hashes)
             removed = np.zeros(count, bool)
             if runs:
                 marked = np.zeros(count - units.window + 1, bool)
                 for start, end, _ in runs:
-                    key = xxhash.xxh3_64_intdigest(units.piece(text, start, end + units.window - 1))
+                    key = units.key(text, hashes, start, end + units.window - 1)
                     at = first.setdefault(key, (doc, start))
                     if doc != at[0] or units.same_doc and start != at[1]:
                         marked[start:end] = True  # an equal piece came before in this bucket
