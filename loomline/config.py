@@ -10,7 +10,7 @@ from loomline.functions.text import ERROR_SUBSTRINGS
 
 # The defaults that runs are configured against.
 DEFAULTS: dict[str, Any] = {
-    "run": {"out_dir": "./runs/exp001", "seed": 1234, "log_level": "INFO", "log_every": 10000},
+    "run": {"out_dir": "./runs/exp001", "seed": 1234, "log_level": "INFO", "log_file": None, "log_every": 10000},
     "data": {
         "path": None,
         "madlad_dataset": "allenai/MADLAD-400",

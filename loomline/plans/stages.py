@@ -34,7 +34,7 @@ class Run:
     def __init__(self, spark: SparkSession, cfg: dict, options: Options | None = None):
         self.spark, self.cfg, self.options = spark, cfg, options or Options()
         self.folder = cfg["run"]["out_dir"].rstrip("/")
-        self.log = logger(cfg["run"]["log_level"])
+        self.log = logger(cfg["run"]["log_level"], cfg["run"]["log_file"])
 
     def path(self, name: str, sharded: bool = False) -> str:
         path = f"{self.folder}/{name}.jsonl"
