@@ -1,9 +1,9 @@
 """Stratified quota sampling of segments by length bucket.
 
 A bucket keeps its first quota segments by arrival; a segment type that has fewer than
-its total then takes overflow in arrival order. All windows are bounded by a rank, so
-each task sends on at most as many rows as the bound before anything is shuffled:
-the size of the corpus never reaches one task. Beyond a reservoir's capacity the
+its total then takes overflow in arrival order. Quantiles of arrival first drop the
+documents that come too late for any place, and all windows are bounded by a rank, so
+what is shuffled follows the sample's size and not the corpus's. Beyond a reservoir's capacity the
 overflow is a uniform sample by hash instead of the first arrivals.
 """
 
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomline.functions import text as X
 
@@ -29,10 +30,14 @@ def targets(pool: int, blob_ratio: float, blobs: bool) -> dict[str, int]:
 
 
 def with_length(segs: DataFrame, cfg: dict) -> DataFrame:
-    """length and length_bucket_id by the configured measure."""
+    """length and length_bucket_id by the configured measure.
+
+    The count comes out of a generator of one row: a filter on it or on the bucket would
+    else be pushed below it, with the count in each of the bucket's bounds.
+    """
     measure = cfg["bucketing"]["measure"]
     if measure == "approx_tokens":
-        measured = segs.withColumn("length", F.expr(X.token_len("source_text")))
+        measured = segs.select("*", F.expr(f"inline(array(named_struct('length', {X.token_len('source_text')})))"))
     elif measure == "tokenizer":
         measured = segs.withColumn("length", tokenizer_length(cfg["bucketing"]["tokenizer_name"])("source_text"))
     else:
@@ -65,29 +70,72 @@ def stratified(segs: DataFrame, totals: dict[str, int], boundaries: list[int], q
     """
     key = ["doc_ord", "segment_type", "segment_index"]
     buckets = len(boundaries) - 1
-    total_of = F.expr("case segment_type " + " ".join(f"when {X.text_lit(k)} then {n}" for k, n in totals.items()) + " else 0 end")
-    quota_by = F.expr("case segment_type " + " ".join(f"when {X.text_lit(k)} then {quota_of(n, boundaries, quota)}" for k, n in totals.items()) + " else 0 end")
-    most, quotas = max(totals.values()), [quota_of(n, boundaries, quota) for n in totals.values()]
+    quotas = {kind: quota_of(n, boundaries, quota) for kind, n in totals.items()}
+    by_kind = lambda values: F.expr("case segment_type " + " ".join(f"when {X.text_lit(k)} then {n}" for k, n in values.items()) + " else 0 end")
+    total_of, quota_by = by_kind(totals), by_kind(quotas)
+    most, widest = max(totals.values()), max(quotas.values())
     inside = segs.filter(F.col("length_bucket_id").between(0, buckets - 1) & (total_of > 0))
-    # Constant bounds on the ranks let each task drop rows before the shuffle; the types' own bounds follow.
+    counts, spots = _arrivals(inside)
+    overflows = {k: sum(max(0, n - quotas[k]) for (kind, _), n in counts.items() if kind == k) for k in totals}
+    spread = max(overflows.values(), default=0) > reservoir
+
+    first = _up_to(inside, spots, {at: quotas[at[0]] for at in counts}, counts)
     by_bucket = Window.partitionBy("segment_type", "length_bucket_id").orderBy("doc_ord", "segment_index")
-    heads = inside.withColumn("rank", F.row_number().over(by_bucket)).filter((F.col("rank") <= max(quotas)) & (F.col("rank") <= quota_by))
+    heads = first.withColumn("rank", F.row_number().over(by_bucket)).filter((F.col("rank") <= widest) & (F.col("rank") <= quota_by))
     heads = heads.withColumn("spill", F.lit(0)).withColumn("place", F.col("length_bucket_id").cast("long"))
-    counted = inside.groupBy("segment_type", "length_bucket_id").agg(F.count("*").alias("n"), F.first(quota_by).alias("quota"))
-    many = counted.groupBy("segment_type").agg(F.sum(F.greatest(F.lit(0), F.col("n") - F.col("quota"))).alias("n")).agg(F.max("n")).first()[0] or 0
-    place = F.xxhash64(F.lit(seed), *key) if many > reservoir else F.lit(0).cast("long")
-    reach = min(most, reservoir) if many > reservoir else most
+
+    reach = widest * buckets + (min(most, reservoir) if spread else most)
+    if spread:
+        placed = inside.withColumn("place", F.xxhash64(F.lit(seed), *key))
+        all_of = {k: sum(n for (kind, _), n in counts.items() if kind == k) for k in totals}
+        # Hashes are uniform, so a share of them holds about that share of the rows: twice what is needed, or all.
+        shares = {k: min(1.0, 2 * reach / max(1, n) + 1e-6) for k, n in all_of.items()}
+        early = placed.filter(F.pmod("place", F.lit(1 << 40)) < by_kind({k: int(v * (1 << 40)) for k, v in shares.items()})) if min(shares.values()) < 0.5 else placed
+        early = early.withColumn("place", F.pmod("place", F.lit(1 << 40)))
+    else:
+        early = _up_to(inside, spots, {at: reach for at in counts}, counts).withColumn("place", F.lit(0).cast("long"))
     by_type = Window.partitionBy("segment_type").orderBy("place", "doc_ord", "segment_index")
-    early = inside.withColumn("place", place).withColumn("rank", F.row_number().over(by_type)).filter(F.col("rank") <= max(quotas) * buckets + reach)
+    early = early.withColumn("rank", F.row_number().over(by_type)).filter(F.col("rank") <= reach)
     overflow = early.join(heads.select(*key), key, "left_anti").withColumn("spill", F.lit(1)).select(*heads.columns)
-    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index")
     both = heads.unionByName(overflow)
-    if many > reservoir:  # of the overflow no more than the reservoir holds
+    if spread:  # of the overflow no more than the reservoir holds
         spilled = Window.partitionBy("segment_type", "spill").orderBy("place", "doc_ord", "segment_index")
         both = both.withColumn("rank", F.row_number().over(spilled)).filter((F.col("spill") == 0) | (F.col("rank") <= reservoir))
+    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index")
     return both.withColumn("sample_rank", F.row_number().over(final)).filter((F.col("sample_rank") <= most) & (F.col("sample_rank") <= total_of)).drop("rank", "spill", "place")
 
 
+#: Quantiles of arrival that are taken of each bucket, and their accuracy.
+QUANTILES, ACCURACY = 200, 10_000
+
+
+def _arrivals(segs: DataFrame) -> tuple[dict, dict]:
+    """Rows of each (type, bucket), and quantiles of doc_ord where it is a number: a row a bucket, whatever the corpus."""
+    numeric = isinstance(segs.schema["doc_ord"].dataType, T.NumericType)
+    at = F.array(*[F.lit((i + 1) / QUANTILES) for i in range(QUANTILES)])
+    quantiles = F.percentile_approx("doc_ord", at, ACCURACY) if numeric else F.lit(None)
+    rows = segs.groupBy("segment_type", "length_bucket_id").agg(F.count("*").alias("n"), quantiles.alias("q")).collect()
+    counts = {(r["segment_type"], r["length_bucket_id"]): r["n"] for r in rows}
+    return counts, {(r["segment_type"], r["length_bucket_id"]): r["q"] for r in rows if r["q"] is not None}
+
+
+def _up_to(segs: DataFrame, spots: dict, need: dict, counts: dict) -> DataFrame:
+    """segs without documents that come after the first need rows of their bucket for certain.
+
+    A quantile's rank is off by 1 / ACCURACY of the rows at most, so one a step
+    beyond what is needed holds enough; no rank is decided here.
+    """
+    bounds = {}
+    for at, n in counts.items():
+        step = -(-need[at] * QUANTILES // n) + 1 + QUANTILES // 100
+        if at in spots and step <= QUANTILES // 2:
+            bounds[at] = spots[at][step - 1]
+    if not bounds:
+        return segs
+    arms = " ".join(f"when segment_type = {X.text_lit(kind)} and length_bucket_id = {bucket} then doc_ord <= {value}" for (kind, bucket), value in bounds.items())
+    return segs.filter(F.expr(f"case {arms} else true end"))
+
+
 def sampled_sources(segs: DataFrame, cfg: dict, lang: str) -> DataFrame:
     """The table of sampled sources."""
     blob = cfg["final_generation"]["blob"]

@@ -49,6 +49,25 @@ def test_quota_and_spill(spark):
     assert spilled[:4] == [0, 1, 5, 6] and len(set(spilled)) == 6
 
 
+@pytest.mark.parametrize("reservoir", [100_000, 50])
+def test_late_documents_are_dropped_unseen(spark, reservoir):
+    """A corpus much larger than the sample: the quantiles prune, and the rows are those of a plain sort."""
+    segs = spark.range(40_000).select(
+        ((F.col("id") * 7919) % 40_000).alias("doc_ord"), F.expr("if(id % 3 = 0, 'blob', 'sentence')").alias("segment_type"), F.lit(0).alias("segment_index"), F.expr("cast(id % 5 = 0 as int)").alias("length_bucket_id")
+    )
+    got = sample.stratified(segs, {"sentence": 300, "blob": 100}, [0, 5, 10], 60, reservoir).toPandas()
+    rows = segs.toPandas().sort_values("doc_ord")
+    for kind, total in (("sentence", 300), ("blob", 100)):
+        own = rows[rows.segment_type == kind]
+        heads = [d for b in (0, 1) for d in own[own.length_bucket_id == b].doc_ord.head(60)]
+        found = got[got.segment_type == kind].sort_values("sample_rank").doc_ord.tolist()
+        if reservoir == 50:
+            assert found[: len(heads)] == heads[:total] and len(found) == min(total, len(heads) + 50) and len(set(found)) == len(found)
+        else:
+            rest = [d for d in own.doc_ord if d not in set(heads)]
+            assert found == (heads + rest)[:total]
+
+
 def test_top_sources_ties(spark):
     rows = [(f"s{i}", float(i % 3), i % 2) for i in range(9)]
     scored = spark.createDataFrame(rows, "source_id string, improvement double, length_bucket_id int")
