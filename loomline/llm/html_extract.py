@@ -1,11 +1,14 @@
 """Main-text extraction by consensus paths of each host.
 
 Every page is parsed into containers and text blocks. Walking down from the body,
-the container that still holds nearly all of the page's running text is the page's
-vote: its generalised path of tags and classes (digits become "#"). Votes are
-counted per host in Spark; paths with a tenth of a host's votes or more are its
-winning paths, most votes first. The second pass takes the text below the first
-winning path that a page has, or below the page's own container if it has none.
+the innermost container that still holds all of the page's running text (or the
+article around it) is the page's vote: its generalised path of tags and classes
+(digits become "#"). Only a block of a single character that isn't a heading, such
+as a mark that closes a box, doesn't hold the walk up. Votes are counted per host
+in Spark; paths with a tenth of a host's votes or more are its winning paths, most
+votes first, but one with more than a tenth comes before all paths inside it. The
+second pass takes the text below the first winning path that a page has, or below
+the page's own container if it has none.
 
 Both passes leave out what isn't the article: scripts, styles, forms, navigation,
 page headers, footers, sidebars, and elements whose class, id or role names a menu,
@@ -30,8 +33,6 @@ from pyspark.sql import types as T
 
 from loomline.llm.common import column, cut, map_text
 
-#: Share of a container's text that one inner container must hold for the walk to go on.
-NEARLY_ALL = 0.6
 #: Percent of a host's votes that a winning path has at least, so a host has ten at most.
 WINNING_PERCENT = 10
 #: Winning paths that are broadcast at most; beyond it pages meet them in a join.
@@ -73,6 +74,7 @@ class Page:
         self.parents = [-1]
         self.paths = [""]
         self.blocks: list[tuple[int, str]] = []
+        self.marks: set[int] = set()  # blocks of a single character
         self._parse(html)
 
     def _parse(self, html: str) -> None:
@@ -89,6 +91,8 @@ class Page:
                 text = " ".join(unescape("".join(parts)).split())
                 item = bool(stack) and stack[-1][0] in ("li", "dd", "dt")
                 if text and not (item and linked >= 0.8 * len(text)):
+                    if len(text) == 1 and not (stack and stack[-1][0] in HEADINGS):
+                        self.marks.add(len(self.blocks))
                     self.blocks.append((inside[-1], text))
                 parts = []
             linked = 0
@@ -185,10 +189,10 @@ class Page:
 
     def best(self) -> int:
         """The container that the page votes for."""
-        direct = [0] * len(self.parents)
-        for c, text in self.blocks:
+        direct, total = [0] * len(self.parents), [0] * len(self.parents)
+        for i, (c, text) in enumerate(self.blocks):
             direct[c] += len(text)
-        total = direct[:]
+            total[c] += 0 if i in self.marks else len(text)
         below: list[list[int]] = [[] for _ in direct]
         for c in range(len(direct) - 1, 0, -1):
             total[self.parents[c]] += total[c]
@@ -196,7 +200,7 @@ class Page:
         at = 0
         while below[at] and not direct[at]:
             most = max(below[at], key=lambda c: (total[c], -c))
-            if total[most] < NEARLY_ALL * total[at] or total[most] == 0:
+            if total[most] < total[at] or total[most] == 0:
                 break
             at = most
             if "/article." in self.paths[at] and not any("/article." in self.paths[c][len(self.paths[at]) :] for c in below[at]):
@@ -237,8 +241,11 @@ def winning_paths(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     votes = map_text(pages.select(host(url).alias("host"), F.col(html).alias("html")), vote, [column("path", T.StringType())], "html", ["host"])
     counted = votes.filter("path is not null").groupBy("host", "path").agg(F.count("*").alias("n"))
     share = counted.withColumn("all", F.sum("n").over(Window.partitionBy("host"))).filter(f"100 * n >= {WINNING_PERCENT} * all")
-    ranked = share.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("ranked"))
-    return ranked.select("host", F.col("ranked.path").alias("paths"))
+    listed = share.groupBy("host").agg(F.collect_list(F.struct("n", "all", "path")).alias("w"))
+    # A path ranks by the most votes of those it comes before, and is smaller than the paths inside it.
+    covers = f"o.path = r.path or (100 * r.n > {WINNING_PERCENT} * r.all and startswith(o.path, concat(r.path, '/')))"
+    ranked = F.expr(f"sort_array(transform(w, r -> struct(-array_max(transform(filter(w, o -> {covers}), o -> o.n)) as n, r.path as path)))")
+    return listed.select("host", ranked["path"].alias("paths"))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_paths: int = BROADCAST_PATHS) -> DataFrame:

@@ -77,6 +77,19 @@ def test_html_hosts_vote(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_html_split_articles(spark):
+    split = '<main><section class="intro"><p>{}</p></section><section class="story"><p>{}</p></section></main>'
+    rows = [(i, "http://a.example/", split.format("intro " * 50, "story " * 120)) for i in range(9)] + [(9, "http://a.example/", split.format("intro", ""))]
+    titled = '<body><div class="top"><h1>{}</h1></div><div class="text"><p>{}</p></div><div class="close">x</div></body>'
+    rows += [(20 + i, "http://b.example/", titled.format("A", "body " * 90)) for i in range(9)]
+    mixed = '<body><div class="lead">{}</div><div class="text"><p>{}</p></div></body>'  # two pages of eight have a lead
+    rows += [(40 + i, "http://c.example/", mixed.format("lead " * 9 if i < 2 else "", "body " * 90)) for i in range(8)]
+    out = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"{('intro ' * 50).strip()}\n{('story ' * 120).strip()}" for i in range(9)) and out[9] == "intro"
+    assert all(out[20 + i].startswith("A\nbody body") for i in range(9))
+    assert all(out[40 + i].startswith("lead lead" if i < 2 else "body body") and out[40 + i].endswith("body") for i in range(8))
+
+
 def test_chat_round_trip(spark):
     tricky = "<|im_end|><|im_start|>assistant ok"
     rows = [
