@@ -4,7 +4,9 @@ Every page is parsed into containers and text blocks. Walking down from the body
 the innermost container that still holds all of the page's running text (or the
 article around it) is the page's vote: its generalised path of tags and classes
 (digits become "#"). Only a block of a single character that isn't a heading, such
-as a mark that closes a box, doesn't hold the walk up. Votes are counted per host
+as a mark that closes a box, doesn't hold the walk up, and neither do list items of
+links outside <article> and <main>, which menus are made of; below the container
+that is chosen they are text like any other. Votes are counted per host
 in Spark; paths with a tenth of a host's votes or more are its winning paths, most
 votes first, but one with more than a tenth comes before all paths inside it. The
 second pass takes the text below the first winning path that a page has, or below
@@ -15,7 +17,7 @@ page headers, footers, sidebars, and elements whose class, id or role names a me
 notice, advert, comment section or the like.
 
 Defined cases: null or empty html gives an empty text; a page without a container
-uses its whole body; ties of votes go to the smaller path; null or odd urls share
+uses its whole body; a page of nothing but link items has no vote; ties of votes go to the smaller path; null or odd urls share
 the host ""; repeated rows vote each and give equal rows; an empty table gives no
 rows; input columns named like a result column are replaced.
 """
@@ -75,6 +77,7 @@ class Page:
         self.paths = [""]
         self.blocks: list[tuple[int, str]] = []
         self.marks: set[int] = set()  # blocks of a single character
+        self.links: set[int] = set()  # items that are links, as a menu has them
         self._parse(html)
 
     def _parse(self, html: str) -> None:
@@ -90,8 +93,10 @@ class Page:
             if parts:
                 text = " ".join(unescape("".join(parts)).split())
                 item = bool(stack) and stack[-1][0] in ("li", "dd", "dt")
-                if text and not (item and linked >= 0.8 * len(text)):
-                    if len(text) == 1 and not (stack and stack[-1][0] in HEADINGS):
+                if text:
+                    if item and linked >= 0.8 * len(text) and "/article." not in (path := self.paths[inside[-1]]) and "/main." not in path:
+                        self.links.add(len(self.blocks))
+                    elif len(text) == 1 and not (stack and stack[-1][0] in HEADINGS):
                         self.marks.add(len(self.blocks))
                     self.blocks.append((inside[-1], text))
                 parts = []
@@ -191,8 +196,9 @@ class Page:
         """The container that the page votes for."""
         direct, total = [0] * len(self.parents), [0] * len(self.parents)
         for i, (c, text) in enumerate(self.blocks):
-            direct[c] += len(text)
-            total[c] += 0 if i in self.marks else len(text)
+            if i not in self.links:
+                direct[c] += len(text)
+                total[c] += 0 if i in self.marks else len(text)
         below: list[list[int]] = [[] for _ in direct]
         for c in range(len(direct) - 1, 0, -1):
             total[self.parents[c]] += total[c]
@@ -235,7 +241,7 @@ def winning_paths(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
         votes = []
         for data in texts:
             page = Page((data or b"").decode("utf-8"))
-            votes.append(page.paths[page.best()] if page.blocks else None)
+            votes.append(page.paths[page.best()] if len(page.blocks) > len(page.links) else None)
         return {"path": votes}
 
     votes = map_text(pages.select(host(url).alias("host"), F.col(html).alias("html")), vote, [column("path", T.StringType())], "html", ["host"])

@@ -90,6 +90,15 @@ def test_html_split_articles(spark):
     assert all(out[40 + i].startswith("lead lead" if i < 2 else "body body") and out[40 + i].endswith("body") for i in range(8))
 
 
+def test_html_link_lists():
+    sources = '<ul><li><a href="#">First source</a></li><li><a href="#">Second source</a></li></ul><dl><dt><a href="#">Term</a></dt><dd><a href="#">Entry</a></dd></dl>'
+    menu = '<div class="top"><ul><li><a href="#">Home</a></li><li><a href="#">News</a></li></ul></div>'
+    listed = "First source\nSecond source\nTerm\nEntry"
+    for inner in (f"<article><p>Text.</p>{sources}</article>", f'<main><div class="story"><p>Text.</p></div><div class="refs">{sources}</div></main>', f'<div class="story"><p>Text.</p>{sources}</div>'):
+        made = html_extract.Page(f"<body>{menu}{inner}</body>")
+        assert made.extract([]) == f"Text.\n{listed}" and "top" not in made.paths[made.best()]
+
+
 def test_chat_round_trip(spark):
     tricky = "<|im_end|><|im_start|>assistant ok"
     rows = [
