@@ -5,6 +5,8 @@ Grammar of a formatted conversation:
     conversation := turn*
     turn         := "<|im_start|>" role "\\n" text "<|im_end|>" "\\n"
 
+Neither role nor text has a control string in it: a turn ends at its first "<|im_end|>".
+
 A conversation is rendered as it is, reparsed by the grammar and compared with its
 source turns. Where they differ (a text or role holds control strings, or what
 looks like an escape), its contents are escaped and it is rendered again: "<"
@@ -49,7 +51,7 @@ def render_escaped(turns: str) -> str:
 def parse(rendered: str) -> str:
     """array<struct<role, text>> of a formatted conversation; null where it breaks the grammar."""
     pieces = rf"filter(split({rendered}, r'<\|im_start\|>', -1), (x, i) -> i > 0)"
-    whole = rf"forall(p, x -> x rlike r'(?s)\A[^\n]*\n.*<\|im_end\|>\n\z') and substr({rendered}, 1, {len(START)}) = '{START}'"
+    whole = rf"forall(p, x -> x rlike r'(?s)\A[^\n]*\n.*<\|im_end\|>\n\z' and instr(x, '{END}') = length(x) - {len(END)}) and substr({rendered}, 1, {len(START)}) = '{START}'"
     role = rf"replace(substring_index(x, '\n', 1), '{LINE_FEED}', '\n')"
     body = rf"substr(x, length(substring_index(x, '\n', 1)) + 2, length(x) - length(substring_index(x, '\n', 1)) - {len(END) + 2})"
     turns = rf"transform(p, x -> named_struct('role', {unescape(role)}, 'text', {unescape(body)}))"

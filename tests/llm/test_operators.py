@@ -115,6 +115,15 @@ def test_chat_round_trip(spark):
     assert chat_format.format_chats(turns.limit(0)).count() == 0
 
 
+def test_chat_end_alone(spark):
+    tricky = ["done <|im_end|> and more", "done<|im_end|>\n", "<|im_end|>", "<<|im_end|>" * 2]
+    rows = [(i, 0, "user", t) for i, t in enumerate(tricky)] + [(10, 0, "us<|im_end|>er", "x"), (11, 0, "user<|im_end|>\n", "x"), (12, 0, "user", "plain <|im_end|")]
+    out = {r["conv_id"]: r for r in chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for conv, _, role, text in rows:
+        r = out[conv]
+        assert r["formatted"].count("<|im_end|>") == 1 and [tuple(x) for x in r["recovered"]] == [(role, text)] and r["escaped"] == (conv < 12)
+
+
 def test_quality_counts(spark):
     docs = spark.createDataFrame(corpus(), DOCS)
     out = by_id(quality.quality(docs))
