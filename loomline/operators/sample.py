@@ -5,6 +5,9 @@ its total then takes overflow in arrival order. Quantiles of arrival first drop
 documents that come too late for any place, and all windows are bounded by a rank, so
 what is shuffled follows the sample's size and not the corpus's. Beyond a reservoir's capacity the
 overflow is a uniform sample by hash instead of the first arrivals.
+
+Rows with a null doc_ord arrive first, in the order of segment_index and then of a hash of the
+row; quantiles don't tell them apart, so none of them is dropped unseen.
 """
 
 from __future__ import annotations
@@ -74,65 +77,72 @@ def stratified(segs: DataFrame, totals: dict[str, int], boundaries: list[int], q
     by_kind = lambda values: F.expr("case segment_type " + " ".join(f"when {X.text_lit(k)} then {n}" for k, n in values.items()) + " else 0 end")
     total_of, quota_by = by_kind(totals), by_kind(quotas)
     most, widest = max(totals.values()), max(quotas.values())
-    inside = segs.filter(F.col("length_bucket_id").between(0, buckets - 1) & (total_of > 0))
-    counts, spots = _arrivals(inside)
+    rest = [c for c in segs.columns if c not in key and not isinstance(segs.schema[c].dataType, T.MapType)]
+    tie = F.when(F.col("doc_ord").isNull(), F.xxhash64(F.lit(seed), *rest))  # documents without an id have equal keys
+    inside = segs.filter(F.col("length_bucket_id").between(0, buckets - 1) & (total_of > 0)).withColumn("tie", tie)
+    counts, spots, nulls = _arrivals(inside)
     overflows = {k: sum(max(0, n - quotas[k]) for (kind, _), n in counts.items() if kind == k) for k in totals}
     spread = max(overflows.values(), default=0) > reservoir
 
-    first = _up_to(inside, spots, {at: quotas[at[0]] for at in counts}, counts)
-    by_bucket = Window.partitionBy("segment_type", "length_bucket_id").orderBy("doc_ord", "segment_index")
+    first = _up_to(inside, spots, {at: quotas[at[0]] for at in counts}, counts, nulls)
+    by_bucket = Window.partitionBy("segment_type", "length_bucket_id").orderBy("doc_ord", "segment_index", "tie")
     heads = first.withColumn("rank", F.row_number().over(by_bucket)).filter((F.col("rank") <= widest) & (F.col("rank") <= quota_by))
     heads = heads.withColumn("spill", F.lit(0)).withColumn("place", F.col("length_bucket_id").cast("long"))
 
     reach = widest * buckets + (min(most, reservoir) if spread else most)
     if spread:
-        placed = inside.withColumn("place", F.xxhash64(F.lit(seed), *key))
+        placed = inside.withColumn("place", F.xxhash64(F.lit(seed), *key, "tie"))
         all_of = {k: sum(n for (kind, _), n in counts.items() if kind == k) for k in totals}
         # Hashes are uniform, so a share of them holds about that share of the rows: twice what is needed, or all.
         shares = {k: min(1.0, 2 * reach / max(1, n) + 1e-6) for k, n in all_of.items()}
         early = placed.filter(F.pmod("place", F.lit(1 << 40)) < by_kind({k: int(v * (1 << 40)) for k, v in shares.items()})) if min(shares.values()) < 0.5 else placed
         early = early.withColumn("place", F.pmod("place", F.lit(1 << 40)))
     else:
-        early = _up_to(inside, spots, {at: reach for at in counts}, counts).withColumn("place", F.lit(0).cast("long"))
-    by_type = Window.partitionBy("segment_type").orderBy("place", "doc_ord", "segment_index")
+        early = _up_to(inside, spots, {at: reach for at in counts}, counts, nulls).withColumn("place", F.lit(0).cast("long"))
+    by_type = Window.partitionBy("segment_type").orderBy("place", "doc_ord", "segment_index", "tie")
     early = early.withColumn("rank", F.row_number().over(by_type)).filter(F.col("rank") <= reach)
-    overflow = early.join(heads.select(*key), key, "left_anti").withColumn("spill", F.lit(1)).select(*heads.columns)
+    # Null ids are equal here, and of equal rows as many go as are heads.
+    copy = F.row_number().over(Window.partitionBy(*key, "tie").orderBy("rank"))
+    early, taken = early.withColumn("copy", copy), heads.withColumn("copy", copy).select(*key, "tie", "copy")
+    same = [early[c].eqNullSafe(taken[c]) for c in taken.columns]
+    overflow = early.join(taken, same, "left_anti").withColumn("spill", F.lit(1)).select(*heads.columns)
     both = heads.unionByName(overflow)
     if spread:  # of the overflow no more than the reservoir holds
-        spilled = Window.partitionBy("segment_type", "spill").orderBy("place", "doc_ord", "segment_index")
+        spilled = Window.partitionBy("segment_type", "spill").orderBy("place", "doc_ord", "segment_index", "tie")
         both = both.withColumn("rank", F.row_number().over(spilled)).filter((F.col("spill") == 0) | (F.col("rank") <= reservoir))
-    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index")
-    return both.withColumn("sample_rank", F.row_number().over(final)).filter((F.col("sample_rank") <= most) & (F.col("sample_rank") <= total_of)).drop("rank", "spill", "place")
+    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index", "tie")
+    return both.withColumn("sample_rank", F.row_number().over(final)).filter((F.col("sample_rank") <= most) & (F.col("sample_rank") <= total_of)).drop("rank", "spill", "place", "tie")
 
 
 #: Quantiles of arrival that are taken of each bucket, and their accuracy.
 QUANTILES, ACCURACY = 200, 10_000
 
 
-def _arrivals(segs: DataFrame) -> tuple[dict, dict]:
-    """Rows of each (type, bucket), and quantiles of doc_ord where it is a number: a row a bucket, whatever the corpus."""
+def _arrivals(segs: DataFrame) -> tuple[dict, dict, dict]:
+    """Rows of each (type, bucket), quantiles of doc_ord where it is a number, and rows where it is null: a row a bucket, whatever the corpus."""
     numeric = isinstance(segs.schema["doc_ord"].dataType, T.NumericType)
     at = F.array(*[F.lit((i + 1) / QUANTILES) for i in range(QUANTILES)])
     quantiles = F.percentile_approx("doc_ord", at, ACCURACY) if numeric else F.lit(None)
-    rows = segs.groupBy("segment_type", "length_bucket_id").agg(F.count("*").alias("n"), quantiles.alias("q")).collect()
-    counts = {(r["segment_type"], r["length_bucket_id"]): r["n"] for r in rows}
-    return counts, {(r["segment_type"], r["length_bucket_id"]): r["q"] for r in rows if r["q"] is not None}
+    rows = segs.groupBy("segment_type", "length_bucket_id").agg(F.count("*").alias("n"), quantiles.alias("q"), F.count_if(F.col("doc_ord").isNull()).alias("nulls")).collect()
+    at_of = lambda r: (r["segment_type"], r["length_bucket_id"])
+    return {at_of(r): r["n"] for r in rows}, {at_of(r): r["q"] for r in rows if r["q"] is not None}, {at_of(r): r["nulls"] for r in rows}
 
 
-def _up_to(segs: DataFrame, spots: dict, need: dict, counts: dict) -> DataFrame:
+def _up_to(segs: DataFrame, spots: dict, need: dict, counts: dict, nulls: dict) -> DataFrame:
     """segs without documents that come after the first need rows of their bucket for certain.
 
     A quantile's rank is off by 1 / ACCURACY of the rows at most, so one a step
-    beyond what is needed holds enough; no rank is decided here.
+    beyond what is needed holds enough; no rank is decided here. Quantiles are of the
+    rows that have a doc_ord, so need is counted in them, and rows without one all stay.
     """
     bounds = {}
     for at, n in counts.items():
-        step = -(-need[at] * QUANTILES // n) + 1 + QUANTILES // 100
+        step = -(-need[at] * QUANTILES // max(1, n - nulls[at])) + 1 + QUANTILES // 100
         if at in spots and step <= QUANTILES // 2:
             bounds[at] = spots[at][step - 1]
     if not bounds:
         return segs
-    arms = " ".join(f"when segment_type = {X.text_lit(kind)} and length_bucket_id = {bucket} then doc_ord <= {value}" for (kind, bucket), value in bounds.items())
+    arms = " ".join(f"when segment_type = {X.text_lit(kind)} and length_bucket_id = {bucket} then doc_ord is null or doc_ord <= {value}" for (kind, bucket), value in bounds.items())
     return segs.filter(F.expr(f"case {arms} else true end"))
 
 

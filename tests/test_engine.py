@@ -68,6 +68,19 @@ def test_late_documents_are_dropped_unseen(spark, reservoir):
             assert found == (heads + rest)[:total]
 
 
+@pytest.mark.parametrize("nulls", [20, 150, 39_000])
+def test_null_ids_are_sampled_alike(spark, monkeypatch, nulls):
+    """Rows without a doc_ord come first, each once, pruned or not."""
+    segs = spark.range(40_000).select(
+        F.expr(f"if(id < {nulls}, null, (id * 7919) % 40000)").alias("doc_ord"), F.lit("sentence").alias("segment_type"), F.expr("int(id % 2)").alias("segment_index"), F.expr("cast(id % 5 = 0 as int)").alias("length_bucket_id"), F.col("id").alias("n")
+    )
+    take = lambda: [r["n"] for r in sample.stratified(segs, {"sentence": 300}, [0, 5, 10], 60).orderBy("sample_rank").collect()]
+    pruned = take()
+    monkeypatch.setattr(sample, "_up_to", lambda segs, *a: segs)
+    assert take() == pruned and len(set(pruned)) == 300
+    assert sum(n < nulls for n in pruned) == min(nulls, 300) or nulls == 39_000 and sum(n < nulls for n in pruned[:120]) == 120
+
+
 def test_top_sources_ties(spark):
     rows = [(f"s{i}", float(i % 3), i % 2) for i in range(9)]
     scored = spark.createDataFrame(rows, "source_id string, improvement double, length_bucket_id int")
