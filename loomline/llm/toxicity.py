@@ -2,8 +2,9 @@
 
 A word's input is its embedding, if it is known, beside what a bidirectional GRU with attention
 pooling makes of its bytes; a second one pools the words of a window. Every text is
-scored whole, in windows of WINDOW words that overlap by a quarter; a logistic
-regression on its three highest windows and their number gives its score.
+scored in all windows of WINDOW words, one from each word on; a logistic
+regression on its three highest windows at least GAP words apart and the number of
+windows gives its score.
 
 Training takes a bounded sample of labelled documents, at most SAMPLE of each label,
 the least by hash. A label belongs to a document, so training picks windows: of toxic
@@ -30,7 +31,9 @@ from pyspark.sql import types as T
 
 from loomline.llm.common import column, map_text
 
-WINDOW, STEP = 32, 24
+WINDOW = 32
+#: Words between the starts of windows that count as different places of a text.
+GAP = 24
 WORD_BYTES = 16
 WORD_DIM, CHAR_DIM, CHAR_HIDDEN, HIDDEN = 12, 8, 8, 12
 #: Words with embeddings: the EMBEDDINGS most frequent of those in KNOWN sampled documents or more. All others are read by their bytes alone.
@@ -219,9 +222,18 @@ class Network:
         return grads
 
 
-def spans(n: int) -> list[int]:
-    """Starts of the windows over n words; the last ends with the text."""
-    return [0] if n <= WINDOW else [*range(0, n - WINDOW, STEP), n - WINDOW]
+def windows_of(n: int) -> int:
+    """Windows over n words: one from each word on, the last ends with the text."""
+    return max(1, n - WINDOW + 1) if n else 0
+
+
+def peaks(probs: np.ndarray, count: int) -> list[int]:
+    """The highest windows that start GAP words apart or more, highest first."""
+    left, out = probs.astype(np.float64), []
+    while len(out) < count and left.max() >= 0:
+        out.append(int(left.argmax()))
+        left[max(0, out[-1] - GAP + 1) : out[-1] + GAP] = -1
+    return out
 
 
 class Scorer:
@@ -261,20 +273,19 @@ class Scorer:
 
     def _scored(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         flat = self.rows_of([w for t in texts for w in t])
-        at, counts, base = [], [], 0
-        for text in texts:
-            n = len(text)
-            starts = spans(n) if n else []
-            counts.append(len(starts))
-            for s in starts:
-                row = np.full(WINDOW, -1, np.int64)
-                row[: min(WINDOW, n)] = flat[base + s : base + s + min(WINDOW, n)]
-                at.append(row)
-            base += n
-        if not at:
+        sizes = np.array([len(t) for t in texts])
+        counts = np.array([windows_of(n) for n in sizes.tolist()])
+        if not counts.any():
             return [np.empty(0, np.float32) for _ in texts]
-        rows = np.stack(at)
-        probs = np.concatenate([self.net.windows(self.inputs, rows[i : i + BATCH]) for i in range(0, len(rows), BATCH)])
+        begins = np.repeat(np.cumsum(sizes) - sizes, counts)
+        starts = begins + np.arange(len(begins)) - np.repeat(np.cumsum(counts) - counts, counts)
+        ends = np.repeat(np.cumsum(sizes), counts)
+        found = []
+        for i in range(0, len(starts), BATCH):
+            at = starts[i : i + BATCH, None] + np.arange(WINDOW)
+            inside = at < ends[i : i + BATCH, None]
+            found.append(self.net.windows(self.inputs, np.where(inside, flat[np.where(inside, at, 0)], -1)))
+        probs = np.concatenate(found)
         return np.split(probs, np.cumsum(counts)[:-1])
 
     def scores(self, texts: list[list[bytes]]) -> list[float]:
@@ -321,7 +332,7 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
     best: list[int] = []
     for text, y in docs:
         found = np.array([max((odds.get(f, 0.0) for f in features(w)), default=0.0) for w in text]) if y else None
-        best.append(int(np.argmax([found[s : s + WINDOW].max() for s in spans(len(text))])) if y else -1)
+        best.append(max(0, min(int(found.argmax()) - WINDOW // 2, len(text) - WINDOW)) if y else -1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items() if k != "doc"}
     step, scored = 0, None
     for turn in range(rounds):
@@ -329,15 +340,14 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
             scored = Scorer((params, vocabulary)).window_scores([t for t, _ in docs])
         picked: list[tuple[list[bytes], int]] = []
         for i, (text, y) in enumerate(docs):
-            starts = spans(len(text))
             if y:
                 some = {best[i] if turn < BY_SCORE else int(scored[i].argmax())}
             else:
-                hardest = [] if scored is None else scored[i].argsort()[::-1][:2].tolist()
-                some = {*hardest, int(rng.integers(len(starts)))}
+                hardest = [] if scored is None else peaks(scored[i], 2)
+                some = {*hardest, int(rng.integers(windows_of(len(text))))}
             for s in some:
-                shift = int(rng.integers(-8, 9)) if y and 8 <= starts[s] < len(text) - WINDOW - 8 and turn < BY_SCORE - 1 else 0
-                picked.append((text[starts[s] + shift : starts[s] + shift + WINDOW], y))
+                shift = int(rng.integers(-8, 9)) if y and 8 <= s < len(text) - WINDOW - 8 and turn < BY_SCORE - 1 else 0
+                picked.append((text[s + shift : s + shift + WINDOW], y))
         share = sum(y for _, y in picked) / len(picked)
         batches = max(1, len(picked) // 64)
         passes = -(-LEAST_STEPS // batches)  # a small sample is passed several times a round
@@ -363,8 +373,8 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
 
 
 def summary(probs: np.ndarray) -> np.ndarray:
-    """What a document's score is made of: the log odds of its three highest windows (the lowest stands in for missing ones), its number of windows, and 1."""
-    top = np.sort(probs.astype(np.float64).clip(1e-6, 1 - 1e-6))[::-1][:3]
+    """What a document's score is made of: the log odds of its three highest windows GAP words apart (the lowest stands in for missing ones), its number of windows, and 1."""
+    top = probs[peaks(probs, 3)].astype(np.float64).clip(1e-6, 1 - 1e-6)
     top = np.concatenate([top, np.full(3 - len(top), top[-1])])
     return np.array([*np.log(top / (1 - top)), np.log(len(probs)), 1.0])
 
@@ -379,10 +389,14 @@ def _document_weights(windows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     if len(y) == 0:
         return w
     x = np.stack([summary(p) for p in windows])
+    pull = np.array([1.0, 1, 1, 1, 0.1])
+    loss = lambda w: np.logaddexp(0, x @ w).sum() - y @ (x @ w) + 0.5 * (pull * (w - HIGHEST) ** 2).sum()
     for _ in range(30):
         p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
-        pull = np.array([1.0, 1, 1, 1, 0.1])
-        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (p - y) + pull * (w - HIGHEST))
+        step, size = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (p - y) + pull * (w - HIGHEST)), 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):  # a whole step may lead away
+            size /= 2
+        w -= size * step
     return w
 
 

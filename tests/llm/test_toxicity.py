@@ -64,3 +64,28 @@ def test_without_both_labels(spark):
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxicity(docs, labels).collect()} == {0.0}
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_every_window_is_scored():
+    """A passage scores alike wherever it stands: each window equals the same words scored alone."""
+    model = (toxicity.fresh(3), {})
+    words = [f"w{i}".encode() for i in range(100)]
+    [whole] = toxicity.Scorer(model).window_scores([words])
+    alone = toxicity.Scorer(model).window_scores([words[i : i + toxicity.WINDOW] for i in range(69)])
+    assert len(whole) == 69 and np.allclose(whole, np.concatenate(alone), atol=1e-6)
+    assert [len(p) for p in toxicity.Scorer(model).window_scores([[], words[:5], [], words[:33]])] == [0, 1, 0, 2]
+    assert toxicity.peaks(np.array([0.1, 0.9, 0.8] + [0.2] * 30 + [0.5]), 3) == [1, 33]
+
+
+def test_document_weights_settle():
+    """Documents that their windows tell apart far off: whole Newton steps run away here."""
+    rng = np.random.default_rng(4)
+    y = np.array([0, 0, 0, 0, 1] * 80, np.float64)
+    windows = [np.clip(rng.beta(0.05, 3, 250), 1e-7, 1) for _ in y]
+    for p, toxic in zip(windows, y):
+        p[rng.integers(250)] = 0.999999 if toxic and rng.random() < 0.9 else p.max()
+    w = toxicity._document_weights(windows, y)
+    x = np.stack([toxicity.summary(p) for p in windows])
+    pull = np.array([1.0, 1, 1, 1, 0.1])
+    p = 1 / (1 + np.exp(-(x @ w)))
+    assert np.abs(x.T @ (p - y) + pull * (w - toxicity.HIGHEST)).max() < 1e-3
