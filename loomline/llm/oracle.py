@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from loomline.llm import quality
 
+#: A row of labels as one pattern, which DuckDB's automaton reads without recursion.
+MENU = r"^[\x20\x09-\x0D]*[^|»›>•·]{1,30}([|»›>•·][\x20\x09-\x0D]*[^|»›>•·]{0,30}){3,}$"
+
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -39,7 +42,7 @@ rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, unnest([0, 1, 2]) AS u(
 lines AS (SELECT r, x FROM d, unnest(string_split(t, chr(10))) AS u(x) WHERE regexp_matches(x, '{NOT_SPACE}')),
 judged AS (
   SELECT r, x, (len(regexp_extract_all(x, '{NOT_SPACE}+')) >= {quality.PROSE_WORDS} AND NOT regexp_matches(x, '{quality.ENDS}'))
-    OR regexp_matches(x, '{quality.MENU}') OR regexp_matches(x, '{quality.BOILERPLATE}')
+    OR regexp_matches(x, '{MENU}') OR regexp_matches(x, '{quality.BOILERPLATE}')
     OR {quality.NOISE_WORDS} * len(regexp_extract_all(x, '{quality.NOISE}')) >= len(regexp_extract_all(x, '{NOT_SPACE}+')) AS fails FROM lines),
 l AS (SELECT r, count(*) - count(DISTINCT x) AS dup, sum(length(regexp_replace(x, '{SPACE}', '', 'g'))) FILTER (NOT fails) AS good FROM judged GROUP BY r),
 m AS (

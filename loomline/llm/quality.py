@@ -7,8 +7,9 @@ a document that loses more than max_loss percent of its characters in words by
 that, or fails the base rules, is rejected.
 
 Defined cases: null text is empty; an empty text has no words and fails the base
-rules; repeated rows are judged alike; input columns named like a result column are
-replaced; an empty table gives no rows.
+rules; repeated rows are judged alike, so there are no ties; input columns named like
+a result column are replaced; an empty table gives no rows; a line or text of any
+length is judged whole, in time n log n and without recursion.
 """
 
 from __future__ import annotations
@@ -23,16 +24,22 @@ MAX_LOSS = 50
 PROSE_WORDS = 12
 
 SPACE = r"\x20\x09-\x0D"
+#: The same as an SQL string.
+WHITE = r"' \t\n\u000B\u000C\r'"
 #: What may stand at the end of a line of prose: sentence ends, then closing quotes and brackets.
 ENDS = r'[.!?:;,…。！？]["\x27)\]»“”’]*[\x20\x09-\x0D]*$'
-#: Label separators of menus, in runs of labels of up to three words.
-MENU = r"^[\x20\x09-\x0D]*[^|»›>•·]{1,30}([|»›>•·][\x20\x09-\x0D]*[^|»›>•·]{0,30}){3,}$"
+#: Label separators of menus, how many a menu has at least, and how long its labels are at most.
+SEPARATORS, LABELS, LABEL_CHARS = "|»›>•·", 3, 30
 #: Runs of symbols; a line with one for every NOISE_WORDS words isn't prose.
 NOISE, NOISE_WORDS = r"[#$%&*]{2,}", 4
+#: Site phrases in English, German, French and Spanish, at the start of a word.
 BOILERPLATE = (
-    r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie (policy|settings)|uses cookies|accept (all )?cookies"
+    r"(?i)(^|[^a-z])(all rights reserved|privacy policy|terms of (use|service)|cookie (policy|settings)|uses cookies|accept (all )?cookies"
     r"|enable javascript|javascript is (disabled|required)|lorem ipsum|click here to|sign up for our|subscribe to our|skip to (main )?content"
-    r"|(log|sign) in to (comment|continue)|share (this )?on (facebook|twitter))"
+    r"|(log|sign) in to (comment|continue)|share (this )?on (facebook|twitter)"
+    r"|alle rechte vorbehalten|datenschutzerkl|nutzungsbedingungen|verwendet cookies|alle cookies akzeptieren|javascript aktivieren|zum inhalt springen|newsletter abonnieren"
+    r"|tous droits r|politique de confidentialit|conditions d.utilisation|utilise des cookies|accepter (tous )?les cookies|activer javascript|aller au contenu|se connecter pour"
+    r"|todos los derechos reservados|pol.tica de privacidad|condiciones de uso|utiliza cookies|aceptar (todas )?las cookies|activar javascript|ir al contenido|iniciar sesi.n para)"
 )
 OUT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text", "n_lines_failed")
 
@@ -51,11 +58,16 @@ def repeated_words(words: str) -> str:
     return f"if(size({words}) < 3, 0, {covered})"
 
 
+def menu(line: str) -> str:
+    """Labels with separators between them. They are split, since a repeated group of java.util.regex recurses for every label."""
+    bare = rf"length(trim(leading {WHITE} from y)) <= {LABEL_CHARS}"
+    labels = let("p", f"split({line}, '[{SEPARATORS}]', -1)", f"size(p) > {LABELS} and length(p[0]) > 0 and forall(p, y -> {bare})")
+    return f"(length({line}) - length(translate({line}, '{SEPARATORS}', '')) >= {LABELS} and {labels})"
+
+
 def line_fails(line: str) -> str:
-    prose = rf"regexp_count({line}, r'[^{SPACE}]+') >= {PROSE_WORDS}"
-    words = rf"regexp_count({line}, r'[^{SPACE}]+')"
-    noise = f"{NOISE_WORDS} * regexp_count({line}, r'{NOISE}') >= {words}"
-    return rf"(({prose} and not {line} rlike r'{ENDS}') or {line} rlike r'{MENU}' or {line} rlike r'{BOILERPLATE}' or {noise})"
+    judged = rf"(n >= {PROSE_WORDS} and not {line} rlike r'{ENDS}') or {NOISE_WORDS} * regexp_count({line}, r'{NOISE}') >= n or {menu(line)} or {line} rlike r'{BOILERPLATE}'"
+    return let("n", rf"regexp_count({line}, r'[^{SPACE}]+')", judged)
 
 
 def quality(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT, max_loss: int = MAX_LOSS) -> DataFrame:
@@ -73,8 +85,7 @@ def quality(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, max
         rf"filter(split(__t, '\n', -1), x -> x rlike r'[^{SPACE}]')",
         f"named_struct('dup', cast(size(l) - size(array_distinct(l)) as long), 'all', size(l), 'good', filter(l, x -> not {line_fails('x')}))",
     )
-    spaces = r"' \t\n\u000B\u000C\r'"
-    chars = lambda x: rf"cast(length(translate({x}, {spaces}, '')) as long)"
+    chars = lambda x: rf"cast(length(translate({x}, {WHITE}, '')) as long)"
     measured = named.select(
         *[F.col(f"`{c}`") for c in kept],
         F.expr(counts).alias("__c"),

@@ -148,6 +148,18 @@ def test_quality_lines(spark):
     assert not out[3]["kept"] and not out[4]["kept"]
 
 
+def test_quality_long_lines(spark):
+    """Lines of very many labels, words and ends, and a menu's edges, as the rules' patterns read them."""
+    edges = ["a|b|c|d", "a|b|c", "|a|b|c", " |a|b|c", f"{'x' * 30}|b|c|d", f"{'x' * 31}|b|c|d", f"  {'x' * 30}|b|c|{' ' * 40}{'y' * 30}", f"a|b|c|{'y' * 29}  ", "a|||", "a › b » c · d • e", "a > b > c > d\r"]
+    rows = [(i, text) for i, text in enumerate(["a|" * 100_000, "word " * 1_000_000, "." * 300_000 + "x", "x | " * 50_000 + "end.", *edges, edges[0]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = by_id(quality.quality(docs))
+    assert out[0]["n_lines_failed"] == 1 and out[1]["n_words"] == 1_000_000 and out[2]["n_words"] == 1
+    pattern = re.compile(r"[\x20\x09-\x0D]*[^|»›>•·]{1,30}([|»›>•·][\x20\x09-\x0D]*[^|»›>•·]{0,30}){3,}")
+    for i, text in rows[4:]:
+        assert (out[i]["n_lines_failed"] == 1) == bool(pattern.fullmatch(text)), text
+
+
 def plain_decontam(text, items, window):
     clean = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
     w = clean(text)
