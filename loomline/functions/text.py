@@ -45,15 +45,38 @@ def split_sentences(x: str) -> str:
     return _stripped(rf"split({x}, r'(?<=[.!?]){WS}+', -1)")
 
 
+def let(name: str, value: str, body: str) -> str:
+    """body with name standing for value, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+#: Elements that a fold marks before it puts the marks away.
+PART = 1000
+
+
+def runs(sizes: str, goes_on: str, more: str) -> str:
+    """SQL for array<struct<first, last>>: where runs of elements begin and end, by their sizes from 1 on.
+
+    An element of size k joins a run of size h if goes_on holds, and makes it more. A
+    fold copies its state at each step, so it marks no more than PART elements at a
+    time, a letter each, and arrays of any length cost little over their length.
+    """
+    on = f"a.h > 0 and {goes_on.format(h='a.h', k='k')}"
+    inner = f"aggregate(slice(z, b * {PART} + 1, {PART}), named_struct('m', '', 'h', o.h), (a, k) -> if({on}, named_struct('m', concat(a.m, '0'), 'h', {more.format(h='a.h', k='k')}), named_struct('m', concat(a.m, '1'), 'h', k)), a -> named_struct('m', concat(o.m, a.m), 'h', a.h))"
+    marks = f"aggregate(sequence(0, (size(z) - 1) div {PART}), named_struct('m', '', 'h', 0), (o, b) -> {inner}, o -> split(o.m, ''))"
+    firsts = f"filter(sequence(0, size(z) - 1), i -> get(m, i) = '1')"
+    found = let("m", marks, let("f", firsts, "transform(f, (x, j) -> named_struct('first', x, 'last', coalesce(get(f, j + 1), size(z)) - 1))"))
+    return let("z", sizes, f"if(size(z) = 0, cast(array() as array<struct<first: int, last: int>>), {found})")
+
+
+def run_text(parts: str, run: str) -> str:
+    return f"array_join(slice({parts}, {run}.first + 1, {run}.last - {run}.first + 1), ' ')"
+
+
 def merge_short(parts: str, min_chars: int) -> str:
     """Join a part under min_chars with those behind it, by one space, until it is long enough."""
-    start = "named_struct('done', cast(array() as array<string>), 'held', '')"
-    step = (
-        f"(a, x) -> case when a.held = '' then named_struct('done', a.done, 'held', x) "
-        f"when length(a.held) < {min_chars} then named_struct('done', a.done, 'held', concat(a.held, ' ', x)) "
-        f"else named_struct('done', array_append(a.done, a.held), 'held', x) end"
-    )
-    return f"aggregate({parts}, {start}, {step}, a -> if(a.held = '', a.done, array_append(a.done, a.held)))"
+    found = runs("transform(p, x -> length(x))", f"{{h}} < {min_chars}", "{h} + 1 + {k}")
+    return let("p", parts, f"transform({found}, r -> {run_text('p', 'r')})")
 
 
 def has_html(x: str) -> str:

@@ -25,15 +25,8 @@ def segments_of(column: str, is_list: bool, seg: dict) -> str:
 
 def blobs_of(segments: str, max_tokens: int) -> str:
     """SQL for array<struct<text, first, last>>: runs of segments of at most max_tokens, a longer segment alone."""
-    numbered = f"transform({segments}, (x, i) -> named_struct('s', x, 'i', i, 'k', {X.token_len('x')}))"
-    blob = "named_struct('text', array_join(c.held, ' '), 'first', c.first, 'last', {last})"
-    start = "named_struct('done', cast(array() as array<struct<text: string, first: int, last: int>>), 'held', cast(array() as array<string>), 'n', 0, 'first', 0, 'last', -1)"
-    step = (
-        f"(c, x) -> if(size(c.held) > 0 and c.n + x.k > {max_tokens}, "
-        f"named_struct('done', array_append(c.done, {blob.format(last='x.i - 1')}), 'held', array(x.s), 'n', x.k, 'first', x.i, 'last', x.i), "
-        f"named_struct('done', c.done, 'held', array_append(c.held, x.s), 'n', c.n + x.k, 'first', c.first, 'last', x.i))"
-    )
-    return f"aggregate({numbered}, {start}, {step}, c -> if(size(c.held) > 0, array_append(c.done, {blob.format(last='c.last')}), c.done))"
+    found = X.runs(f"transform(s, x -> {X.token_len('x')})", f"{{h}} + {{k}} <= {max_tokens}", "{h} + {k}")
+    return X.let("s", segments, f"transform({found}, r -> named_struct('text', {X.run_text('s', 'r')}, 'first', r.first, 'last', r.last))")
 
 
 def segment_arrays(docs: DataFrame, cfg: dict) -> DataFrame:
