@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -57,18 +60,28 @@ def slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Give memory that is free back to the machine: a reused worker keeps it from one operator to the next otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_text(
     df: DataFrame,
     fn: Callable[[list[bytes | None]], dict[str, list | pa.Array]],
     fields: list[T.StructField],
     column: str = "text",
     keep: list[str] | None = None,
+    state: dict | None = None,
 ) -> DataFrame:
     """Add columns computed from one text column, batch by batch, without a shuffle.
 
     fn gets the UTF-8 bytes of the column (None for null) and returns a value
     per row for each of fields. An input column with the name of a new one is
-    replaced; names are compared as Spark resolves them, without case.
+    replaced; names are compared as Spark resolves them, without case. state is what
+    fn keeps from call to call; it is cleared when a task ends.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
@@ -77,17 +90,31 @@ def map_text(
     arrow = {f.name: to_arrow_type(f.dataType) for f in fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, wanted.index(column))):
-            texts = batch.column(wanted.index(column)).cast(pa.binary()).to_pylist()
-            out = fn(texts)
-            cols = [batch.column(wanted.index(c)) for c in kept]
-            for name, kind in arrow.items():
-                value = out[name]
-                cols.append(value if isinstance(value, pa.Array) else pa.array(value, kind))
-            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *arrow])
+        try:
+            for batch in (part for whole in batches for part in slices(whole, wanted.index(column))):
+                texts = batch.column(wanted.index(column)).cast(pa.binary()).to_pylist()
+                out = fn(texts)
+                cols = [batch.column(wanted.index(c)) for c in kept]
+                for name, kind in arrow.items():
+                    value = out[name]
+                    cols.append(value if isinstance(value, pa.Array) else pa.array(value, kind))
+                yield pa.RecordBatch.from_arrays(cols, names=[*kept, *arrow])
+        finally:
+            if state is not None:
+                state.clear()
+            batch = texts = out = cols = value = None
+            release()
 
     return df.select(*[f"`{c}`" for c in wanted]).mapInArrow(run, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while (name := f"__{name}").lower() in have:
+        pass
+    return name
+
+
 def column(name: str, kind: T.DataType) -> T.StructField:
     return T.StructField(name, kind, True)

@@ -1,16 +1,20 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word's input is its embedding, if it is known, beside what a bidirectional GRU with attention
-pooling makes of its bytes; a second one pools the words of a window. Every text is
-scored in all windows of WINDOW words, one from each word on; a logistic
-regression on its three highest windows at least GAP words apart and the number of
-windows gives its score.
+A word's input is the sum of the embeddings of itself and its starts, as far as they are known,
+beside what a bidirectional GRU with attention pooling makes of its bytes; a second GRU reads the words. Every text is scored in all
+windows of WINDOW words, one from each word on: attention pools the states of a
+window's words, and overlapping windows share the states, which are made once for
+each span of SPAN words. Sums along a span give every window's pooled value, so a
+window costs a few additions. A logistic regression on the three highest windows at
+least GAP words apart, the mean of all and their number gives the text's score.
 
 Training takes a bounded sample of labelled documents, at most SAMPLE of each label,
-the least by hash. A label belongs to a document, so training picks windows: of toxic
+the least by hash. A label belongs to a document, so training picks windows, read with
+up to CONTEXT words on either side: of toxic
 documents those with the words or word starts that toxic documents have most over
 others, later the ones that score highest, of other documents the hardest and some
-at random, and repeats that for some rounds. Documents whose crc32 leaves HELD_OUT are
+at random, and repeats that for some rounds. Toxic documents without a telling word
+are left out as mislabelled until one of their windows scores a half. Documents whose crc32 leaves HELD_OUT are
 never learnt from.
 
 Defined cases: null and empty texts score 0; labels that are null, or whose document
@@ -32,12 +36,18 @@ from pyspark.sql import types as T
 from loomline.llm.common import column, map_text
 
 WINDOW = 32
+#: Words that are read together, and how many of them lie before and behind a window in training.
+SPAN, CONTEXT = 128, 16
 #: Words between the starts of windows that count as different places of a text.
 GAP = 24
 WORD_BYTES = 16
 WORD_DIM, CHAR_DIM, CHAR_HIDDEN, HIDDEN = 12, 8, 8, 12
-#: Words with embeddings: the EMBEDDINGS most frequent of those in KNOWN sampled documents or more. All others are read by their bytes alone.
-EMBEDDINGS, KNOWN = 8192, 4
+#: Words and word starts with embeddings: the EMBEDDINGS most frequent of those in KNOWN sampled documents or more. All others are read by their bytes alone.
+EMBEDDINGS, KNOWN = 16_384, 4
+#: Bytes of a word's starts.
+STARTS = (4, 5, 6, 7)
+#: Log odds that the most telling word of a toxic document has at least. Those without are taken as mislabelled until a window scores a half, unless they are more than DOUBTED of all.
+EVIDENT, DOUBTED = 3.0, 0.25
 #: Part of the embeddings that training leaves out at each step.
 DROPPED = 0.3
 #: Labelled documents of each label that training takes at most: toxic, other.
@@ -52,8 +62,8 @@ LEAST_STEPS = 50
 MINED, BY_SCORE = (1, 3, 5), 3
 HELD_OUT = 1
 THRESHOLD = 0.7
-#: Words whose input a scoring task remembers, and windows that it scores at a time.
-WORDS_HELD, BATCH = 60_000, 1024
+#: Words whose input a scoring task remembers, and spans that it reads at a time.
+WORDS_HELD, BATCH = 150_000, 512
 
 TOKEN = re.compile(rb"[0-9A-Za-z_\x80-\xff]+")
 PIECE = re.compile(rb"(?s).{1,%d}" % WORD_BYTES)
@@ -123,14 +133,19 @@ class Pooled:
         self.w, self.name, self.h = params, name, hidden
         self.fore, self.back = Gru(params, f"{name}_f", hidden), Gru(params, f"{name}_b", hidden)
 
-    def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = False) -> np.ndarray:
-        """x: (steps, rows, 6 * hidden); mask: (steps, rows, 1). The backward half reads from the end."""
+    def states(self, x: np.ndarray, mask: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """States, and the attention's hidden layer and scores. x: (steps, rows, 6 * hidden); mask: (steps, rows, 1). The backward half reads from the end."""
         w, k = self.w, 3 * self.h
         f = self.fore.forward(x[:, :, :k], mask, keep)
         b = self.back.forward(x[::-1, :, k:], mask[::-1], keep)[::-1]
         hs = np.concatenate([f, b], 2)
         a = np.tanh(hs @ w[f"{self.name}_a"] + w[f"{self.name}_ab"])
-        s = a @ w[f"{self.name}_v"] + (mask[:, :, 0] - 1) * 1e4
+        return hs, a, a @ w[f"{self.name}_v"]
+
+    def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = False, pool: np.ndarray | None = None) -> np.ndarray:
+        """The states under pool (steps, rows), or all under mask, by attention."""
+        hs, a, s = self.states(x, mask, keep)
+        s = s + ((mask[:, :, 0] if pool is None else pool) - 1) * 1e4
         s = np.exp(s - s.max(0))
         p = (s / s.sum(0))[:, :, None]
         if keep:
@@ -167,39 +182,81 @@ def fresh(seed: int = 7, vocabulary: dict[bytes, int] | None = None) -> dict:
     return params | {"out": draw(2 * HIDDEN), "out_b": np.full(1, -1.0, np.float32), "doc": HIGHEST}
 
 
+class Known:
+    """The words and word starts that have embeddings."""
+
+    def __init__(self, vocabulary: dict[bytes, int]):
+        self.words = vocabulary
+        starts = sorted((self._key(f[1:], len(f) - 1), i) for f, i in vocabulary.items() if f[:1] == b"^")
+        self.keys, self.ids = np.array([k for k, _ in starts], np.uint64), np.array([i for _, i in starts], np.int64)
+
+    @staticmethod
+    def _key(start: bytes, size: int) -> int:
+        return int.from_bytes(start[:size], "little") | size << 56
+
+    def ids_of(self, words: list[bytes], eight: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Ids of each word and its starts; eight holds the words' first eight bytes."""
+        out = np.zeros((len(words), 1 + len(STARTS)), np.int64)
+        out[:, 0] = np.fromiter((self.words.get(x, 0) for x in words), np.int64, len(words))
+        for k, size in enumerate(STARTS, 1) if len(self.keys) else ():
+            key = eight & np.uint64((1 << 8 * size) - 1) | np.uint64(size << 56)
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[:, k] = np.where((self.keys[at] == key) & (sizes > size), self.ids[at], 0)
+        return out
+
+
 class Network:
-    def __init__(self, params: dict[str, np.ndarray], vocabulary: dict[bytes, int], drop: np.random.Generator | None = None):
-        self.w, self.vocabulary, self.drop = params, vocabulary, drop
+    def __init__(self, params: dict[str, np.ndarray], vocabulary: dict[bytes, int] | Known, drop: np.random.Generator | None = None):
+        self.w, self.drop = params, drop
+        self.known = vocabulary if isinstance(vocabulary, Known) else Known(vocabulary)
         self.chars, self.words = Pooled(params, "c", CHAR_HIDDEN), Pooled(params, "w", HIDDEN)
 
-    def word_inputs(self, words: list[bytes], keep: bool = False) -> np.ndarray:
-        """Projected inputs of distinct words."""
+    def vectors(self, words: list[bytes], keep: bool = False) -> np.ndarray:
+        """What distinct words are to the second network."""
         w = self.w
-        size = max(map(len, words))
-        at = np.frombuffer(b"".join(x.ljust(size, b"\0") for x in words), np.uint8).reshape(len(words), size).T
-        mask = (np.arange(size)[:, None] < np.fromiter(map(len, words), np.int64, len(words))).astype(np.float32)[:, :, None]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        size = max(8, int(sizes.max()))
+        rows = np.frombuffer(b"".join(x.ljust(size, b"\0") for x in words), np.uint8).reshape(len(words), size)
+        ids = self.known.ids_of(words, np.ascontiguousarray(rows[:, :8]).view(np.uint64)[:, 0], sizes)
+        at = rows.T[: sizes.max()]
+        mask = (np.arange(len(at))[:, None] < sizes).astype(np.float32)[:, :, None]
         pooled = self.chars.forward((w["chars"] @ w["c_x"] + w["c_xb"])[at], mask, keep)
-        ids = np.fromiter((self.vocabulary.get(x, 0) for x in words), np.int64, len(words))
         if self.drop is not None:
-            ids[self.drop.random(len(ids)) < DROPPED] = 0
-        x = np.concatenate([w["embed"][ids], pooled], 1)
+            ids[self.drop.random(ids.shape) < DROPPED] = 0
+        x = np.concatenate([w["embed"][ids].sum(1), pooled], 1)
         if keep:
             self.saved = (at, ids, x)
-        return x @ w["w_x"] + w["w_xb"]
+        return x
+
+    def word_inputs(self, words: list[bytes], keep: bool = False) -> np.ndarray:
+        """Projected inputs of distinct words."""
+        return self.vectors(words, keep) @ self.w["w_x"] + self.w["w_xb"]
 
-    def windows(self, inputs: np.ndarray, at: np.ndarray, keep: bool = False) -> np.ndarray:
-        """Probabilities of windows (rows, steps) of rows of inputs; -1 is padding."""
+    def windows(self, inputs: np.ndarray, at: np.ndarray, keep: bool = False, pool: np.ndarray | None = None) -> np.ndarray:
+        """Probabilities of one window a row of at (rows, steps), which are rows of inputs; -1 is padding. pool: the window's places, all by default."""
         mask = (at.T >= 0).astype(np.float32)[:, :, None]
-        pooled = self.words.forward(inputs[np.maximum(at.T, 0)], mask, keep)
+        pooled = self.words.forward(inputs[np.maximum(at.T, 0)], mask, keep, None if pool is None else pool.T)
         if keep:
             self.pooled = pooled
         return sigmoid(pooled @ self.w["out"] + self.w["out_b"])
 
-    def gradients(self, words: list[bytes], at: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
+    def all_windows(self, vectors: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Probabilities (rows, steps) of the windows from every place of the spans at on; a window ends where its span's words do."""
+        steps, rows = at.shape[1], len(at)
+        mask = (at.T >= 0).astype(np.float32)[:, :, None]
+        hs, _, s = self.words.states(vectors[np.maximum(at.T, 0)] @ self.w["w_x"] + self.w["w_xb"], mask)
+        weight = np.exp((s - s.max(0)).astype(np.float64)) * mask[:, :, 0]
+        value = weight * (hs @ self.w["out"])
+        end = np.minimum(np.arange(steps) + WINDOW, steps)
+        sums = [np.concatenate([np.zeros((1, rows)), np.cumsum(x, 0)]) for x in (value, weight)]
+        value, weight = (x[end] - x[:-1] for x in sums)
+        return sigmoid(value / np.maximum(weight, 1e-300) + self.w["out_b"]).T
+
+    def gradients(self, words: list[bytes], at: np.ndarray, labels: np.ndarray, weights: np.ndarray, pool: np.ndarray | None = None) -> dict[str, np.ndarray]:
         w = self.w
         grads = {k: np.zeros_like(v) for k, v in w.items() if k != "doc"}
         inputs = self.word_inputs(words, True)
-        probs = self.windows(inputs, at, True)
+        probs = self.windows(inputs, at, True, pool)
         d = ((probs - labels) * weights / len(labels)).astype(np.float32)
         grads["out"] += self.pooled.T @ d
         grads["out_b"] += d.sum()
@@ -211,7 +268,7 @@ class Network:
         grads["w_x"] += x.T @ dproj
         grads["w_xb"] += dproj.sum(0)
         dx = dproj @ w["w_x"].T
-        np.add.at(grads["embed"], ids, dx[:, :WORD_DIM])
+        np.add.at(grads["embed"], ids, dx[:, None, :WORD_DIM])
         grads["embed"][0] = 0
         dc = self.chars.backward(np.ascontiguousarray(dx[:, WORD_DIM:]), grads)
         per_char = np.zeros((256, dc.shape[2]), np.float32)
@@ -242,20 +299,18 @@ class Scorer:
     def __init__(self, model: Model):
         self.net = Network(*model)
         self.rows: dict[bytes, int] = {}
-        self.inputs = np.empty((WORDS_HELD, 6 * HIDDEN), np.float32)
+        self.vectors = np.empty((0, WORD_DIM + 2 * CHAR_HIDDEN), np.float32)
 
     def rows_of(self, words: list[bytes]) -> np.ndarray:
         rows = self.rows
-        if missing := [w for w in dict.fromkeys(words) if w not in rows]:
-            if len(rows) + len(missing) > len(self.inputs):
+        if missing := {w for w in words if w not in rows}:
+            if len(rows) + len(missing) > WORDS_HELD:
                 rows.clear()
-                missing = list(dict.fromkeys(words))
-                if len(missing) > len(self.inputs):
-                    self.inputs = np.empty((len(missing), self.inputs.shape[1]), np.float32)
-            for i in range(0, len(missing), 4096):
-                part = missing[i : i + 4096]
-                self.inputs[len(rows) : len(rows) + len(part)] = self.net.word_inputs(part)
-                rows.update(zip(part, range(len(rows), len(rows) + len(part))))
+                missing = set(words)
+            ordered = sorted(missing, key=len)  # words of a length together need little padding
+            made = [self.net.vectors(ordered[i : i + 4096]) for i in range(0, len(ordered), 4096)]
+            self.vectors = np.concatenate([self.vectors[: len(rows)], *made])
+            rows.update(zip(ordered, range(len(rows), len(rows) + len(ordered))))
         return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
 
     def window_scores(self, texts: list[list[bytes]]) -> list[np.ndarray]:
@@ -275,17 +330,22 @@ class Scorer:
         flat = self.rows_of([w for t in texts for w in t])
         sizes = np.array([len(t) for t in texts])
         counts = np.array([windows_of(n) for n in sizes.tolist()])
-        if not counts.any():
-            return [np.empty(0, np.float32) for _ in texts]
-        begins = np.repeat(np.cumsum(sizes) - sizes, counts)
-        starts = begins + np.arange(len(begins)) - np.repeat(np.cumsum(counts) - counts, counts)
-        ends = np.repeat(np.cumsum(sizes), counts)
-        found = []
-        for i in range(0, len(starts), BATCH):
-            at = starts[i : i + BATCH, None] + np.arange(WINDOW)
-            inside = at < ends[i : i + BATCH, None]
-            found.append(self.net.windows(self.inputs, np.where(inside, flat[np.where(inside, at, 0)], -1)))
-        probs = np.concatenate(found)
+        step = SPAN - WINDOW + 1  # a span's windows that no other span has
+        spans = -(-counts // step)
+        first = np.arange(spans.sum()) - np.repeat(np.cumsum(spans) - spans, spans)
+        begins = np.repeat(np.cumsum(sizes) - sizes, spans) + first * step
+        lengths = np.minimum(np.repeat(np.cumsum(sizes), spans) - begins, SPAN)
+        have = np.minimum(np.repeat(counts, spans) - first * step, step)
+        place = np.cumsum(have) - have
+        probs = np.empty(int(have.sum()), np.float32)
+        order = np.argsort(-lengths, kind="stable")
+        for i in range(0, len(order), BATCH):
+            rows = order[i : i + BATCH]
+            at = begins[rows, None] + np.arange(lengths[rows[0]])
+            inside = np.arange(lengths[rows[0]]) < lengths[rows, None]
+            found = self.net.all_windows(self.vectors, np.where(inside, flat[np.where(inside, at, 0)], -1))
+            wanted = np.arange(found.shape[1]) < have[rows, None]
+            probs[(place[rows, None] + np.arange(found.shape[1]))[wanted]] = found[wanted]
         return np.split(probs, np.cumsum(counts)[:-1])
 
     def scores(self, texts: list[list[bytes]]) -> list[float]:
@@ -294,15 +354,15 @@ class Scorer:
 
 
 def features(word: bytes) -> tuple[bytes, ...]:
-    """A word and its starts, each told apart."""
-    return (word, *(b"^" + word[:n] for n in (4, 5, 6) if len(word) > n))
+    """A word and its starts, each told apart; a start that is the word itself is empty."""
+    return (word, *(b"^" + word[:n] if len(word) > n else b"" for n in STARTS))
 
 
 def evidence(docs: list[tuple[list[bytes], int]]) -> dict[bytes, float]:
     """Log odds of words and word starts, by documents of either label that have them."""
     count: dict[bytes, list[int]] = {}
     for text, y in docs:
-        for f in {f for w in set(text) for f in features(w)}:
+        for f in {f for w in set(text) for f in features(w) if f}:
             count.setdefault(f, [0, 0])[y] += 1
     toxic = sum(y for _, y in docs)
     ratio = max(1, len(docs) - toxic) / max(1, toxic)
@@ -312,8 +372,8 @@ def evidence(docs: list[tuple[list[bytes], int]]) -> dict[bytes, float]:
 def vocabulary_of(docs: list[tuple[list[bytes], int]]) -> dict[bytes, int]:
     seen: dict[bytes, int] = {}
     for text, _ in docs:
-        for w in set(text):
-            seen[w] = seen.get(w, 0) + 1
+        for f in {f for w in set(text) for f in features(w) if f}:
+            seen[f] = seen.get(f, 0) + 1
     known = sorted((w for w, n in seen.items() if n >= KNOWN), key=lambda w: (-seen[w], w))[:EMBEDDINGS]
     return {w: i for i, w in enumerate(known, 1)}
 
@@ -327,39 +387,49 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
     if len({y for _, y in docs}) < 2:
         return None
     vocabulary = vocabulary_of(docs)
+    known = Known(vocabulary)
     params = fresh(seed, vocabulary)
     odds = evidence(docs)
     best: list[int] = []
+    evident: list[bool] = []
     for text, y in docs:
-        found = np.array([max((odds.get(f, 0.0) for f in features(w)), default=0.0) for w in text]) if y else None
+        found = np.array([max(odds.get(f, 0.0) for f in features(w)) for w in text]) if y else None
         best.append(max(0, min(int(found.argmax()) - WINDOW // 2, len(text) - WINDOW)) if y else -1)
+        evident.append(not y or bool(found.max() >= EVIDENT))
+    if evident.count(False) > DOUBTED * sum(y for _, y in docs):
+        evident = [True] * len(docs)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items() if k != "doc"}
     step, scored = 0, None
     for turn in range(rounds):
         if turn in MINED:
             scored = Scorer((params, vocabulary)).window_scores([t for t, _ in docs])
-        picked: list[tuple[list[bytes], int]] = []
+        picked: list[tuple[list[bytes], int, int]] = []  # words with their context, where the window starts, the label
         for i, (text, y) in enumerate(docs):
             if y:
+                if not (evident[i] or turn >= BY_SCORE and scored[i].max() >= 0.5):
+                    continue
                 some = {best[i] if turn < BY_SCORE else int(scored[i].argmax())}
             else:
                 hardest = [] if scored is None else peaks(scored[i], 2)
                 some = {*hardest, int(rng.integers(windows_of(len(text))))}
             for s in some:
                 shift = int(rng.integers(-8, 9)) if y and 8 <= s < len(text) - WINDOW - 8 and turn < BY_SCORE - 1 else 0
-                picked.append((text[s + shift : s + shift + WINDOW], y))
-        share = sum(y for _, y in picked) / len(picked)
+                start = max(0, s + shift - CONTEXT)
+                picked.append((text[start : s + shift + WINDOW + CONTEXT], s + shift - start, y))
+        share = sum(y for _, _, y in picked) / len(picked)
         batches = max(1, len(picked) // 64)
         passes = -(-LEAST_STEPS // batches)  # a small sample is passed several times a round
         for part in (part for _ in range(passes) for part in np.array_split(rng.permutation(len(picked)), batches)):
             chosen = [picked[i] for i in part]
             ids: dict[bytes, int] = {}
-            at = np.full((len(chosen), WINDOW), -1, np.int64)
-            for row, (window, _) in enumerate(chosen):
-                at[row, : len(window)] = [ids.setdefault(w, len(ids)) for w in window]
-            y = np.array([y for _, y in chosen], np.float32)
+            at = np.full((len(chosen), WINDOW + 2 * CONTEXT), -1, np.int64)
+            pool = np.zeros(at.shape, np.float32)
+            for row, (words, start, _) in enumerate(chosen):
+                at[row, : len(words)] = [ids.setdefault(w, len(ids)) for w in words]
+                pool[row, start : min(start + WINDOW, len(words))] = 1
+            y = np.array([y for _, _, y in chosen], np.float32)
             weights = np.where(y > 0, min(4.0, 0.5 / max(share, 0.01)), 1.0).astype(np.float32)
-            grads = Network(params, vocabulary, rng).gradients(list(ids), at, y, weights)
+            grads = Network(params, known, rng).gradients(list(ids), at, y, weights, pool)
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
             step += 1
             for k, g in grads.items():
@@ -373,14 +443,14 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 7, rounds: in
 
 
 def summary(probs: np.ndarray) -> np.ndarray:
-    """What a document's score is made of: the log odds of its three highest windows GAP words apart (the lowest stands in for missing ones), its number of windows, and 1."""
-    top = probs[peaks(probs, 3)].astype(np.float64).clip(1e-6, 1 - 1e-6)
-    top = np.concatenate([top, np.full(3 - len(top), top[-1])])
+    """What a document's score is made of: the log odds of its three highest windows GAP words apart (the lowest stands in for missing ones) and of its mean window, its number of windows, and 1."""
+    top = probs[peaks(probs, 3)].astype(np.float64)
+    top = np.concatenate([top, np.full(3 - len(top), top[-1]), [probs.mean(dtype=np.float64)]]).clip(1e-6, 1 - 1e-6)
     return np.array([*np.log(top / (1 - top)), np.log(len(probs)), 1.0])
 
 
 #: Weights of summary() before any are fitted: the highest window counts alone.
-HIGHEST = np.array([1.0, 0, 0, 0, 0])
+HIGHEST = np.array([1.0, 0, 0, 0, 0, 0])
 
 
 def _document_weights(windows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
@@ -389,7 +459,7 @@ def _document_weights(windows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     if len(y) == 0:
         return w
     x = np.stack([summary(p) for p in windows])
-    pull = np.array([1.0, 1, 1, 1, 0.1])
+    pull = np.array([1.0, 1, 1, 1, 1, 0.1])
     loss = lambda w: np.logaddexp(0, x @ w).sum() - y @ (x @ w) + 0.5 * (pull * (w - HIGHEST) ** 2).sum()
     for _ in range(30):
         p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
@@ -427,7 +497,7 @@ def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text", thr
         scores = [0.0] * len(texts) if state["scorer"] is None else state["scorer"].scores([tokens(t) for t in texts])
         return {"score": scores, "predicted": [int(s >= threshold) for s in scores]}
 
-    return map_text(docs, fn, OUT, text)
+    return map_text(docs, fn, OUT, text, state=state)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "toxic", sample: tuple[int, int] = SAMPLE) -> DataFrame:

@@ -67,16 +67,43 @@ def test_without_both_labels(spark):
 
 
 def test_every_window_is_scored():
-    """A passage scores alike wherever it stands: each window equals the same words scored alone."""
-    model = (toxicity.fresh(3), {})
-    words = [f"w{i}".encode() for i in range(100)]
-    [whole] = toxicity.Scorer(model).window_scores([words])
-    alone = toxicity.Scorer(model).window_scores([words[i : i + toxicity.WINDOW] for i in range(69)])
-    assert len(whole) == 69 and np.allclose(whole, np.concatenate(alone), atol=1e-6)
-    assert [len(p) for p in toxicity.Scorer(model).window_scores([[], words[:5], [], words[:33]])] == [0, 1, 0, 2]
+    """A window's score is the attention over its own words alone, whose states are read from its span."""
+    net = toxicity.Network(toxicity.fresh(3), {})
+    words = [f"w{i}".encode() for i in range(300)]
+    [whole] = toxicity.Scorer((net.w, {})).window_scores([words])
+    inputs, step = net.word_inputs(words), toxicity.SPAN - toxicity.WINDOW + 1
+    assert len(whole) == 269
+    for start in range(269):
+        first = start // step * step
+        at = np.arange(first, min(first + toxicity.SPAN, 300))[None]
+        pool = ((at >= start) & (at < start + toxicity.WINDOW)).astype(np.float32)
+        assert np.allclose(net.windows(inputs, at, pool=pool), whole[start], atol=1e-6)
+    assert [len(p) for p in toxicity.Scorer((net.w, {})).window_scores([[], words[:5], [], words[:33]])] == [0, 1, 0, 2]
     assert toxicity.peaks(np.array([0.1, 0.9, 0.8] + [0.2] * 30 + [0.5]), 3) == [1, 33]
 
 
+def test_texts_score_alike_in_any_company():
+    """Long, short and empty texts together score as they do alone."""
+    model = (toxicity.fresh(3), {})
+    texts = [[f"w{i * k}".encode() for i in range(n)] for k, n in enumerate((500, 0, 3, 128, 129, 40, 1))]
+    together = toxicity.Scorer(model).scores(texts)
+    assert np.allclose(together, [toxicity.Scorer(model).scores([t])[0] for t in texts], atol=1e-6)
+
+
+def test_held_out_recall_on_the_tables(spark):
+    """The registered query finds the held-out toxic documents and leaves others alone."""
+    from loomline.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = QUERIES["op8_toxicity"](spark, sf).collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    judged = [(labels[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    toxic, other = [p for y, p in judged if y == 1], [p for y, p in judged if y == 0]
+    assert sum(toxic) >= 0.85 * len(toxic) and sum(other) <= 0.02 * len(other)
+
+
 def test_document_weights_settle():
     """Documents that their windows tell apart far off: whole Newton steps run away here."""
     rng = np.random.default_rng(4)
@@ -86,6 +113,6 @@ def test_document_weights_settle():
         p[rng.integers(250)] = 0.999999 if toxic and rng.random() < 0.9 else p.max()
     w = toxicity._document_weights(windows, y)
     x = np.stack([toxicity.summary(p) for p in windows])
-    pull = np.array([1.0, 1, 1, 1, 0.1])
+    pull = np.array([1.0, 1, 1, 1, 1, 0.1])
     p = 1 / (1 + np.exp(-(x @ w)))
     assert np.abs(x.T @ (p - y) + pull * (w - toxicity.HIGHEST)).max() < 1e-3
