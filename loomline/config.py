@@ -10,7 +10,7 @@ from loomline.functions.text import ERROR_SUBSTRINGS
 
 # The defaults that runs are configured against.
 DEFAULTS: dict[str, Any] = {
-    "run": {"out_dir": "./runs/exp001", "seed": 1234, "log_level": "INFO", "log_file": None, "log_every": 10000},
+    "run": {"out_dir": "./runs/exp001", "seed": 1234, "log_level": "INFO", "log_file": None, "log_every": 10000, "commit_rows": 20000},
     "data": {
         "path": None,
         "madlad_dataset": "allenai/MADLAD-400",
@@ -20,7 +20,7 @@ DEFAULTS: dict[str, Any] = {
         "lang_map": {"kor": "ko", "eng": "en", "jpn": "ja", "cmn": "zh"},
         "target_examples_total": 10000,
         "sample_pool_size": 1000000,
-        "streaming": True,
+        "reader_options": {},
     },
     "segmentation": {"mode": "auto", "min_chars": 20, "max_chars": 5000, "merge_short": True, "allow_html": False},
     "bucketing": {
@@ -99,16 +99,28 @@ def resolved(cfg: dict, folder: Path) -> dict:
     return out
 
 
+#: What a run's settings have to be: where a value stands, whether it will do, and what it should be.
+CHECKS = (
+    (("bucketing", "boundaries"), lambda x: len(x) >= 2 and all(a <= b for a, b in zip(x, x[1:])), "two or more ascending numbers"),
+    (("final_generation", "num_candidates"), lambda x: x > 0, "positive"),
+    (("data", "sample_pool_size"), lambda x: x > 0, "positive"),
+    (("final_generation", "blob", "blob_ratio"), lambda x: 0 <= x <= 1, "from 0 to 1"),
+    (("run", "commit_rows"), lambda x: x > 0, "positive"),
+    (("teacher", "max_concurrency"), lambda x: x > 0, "positive"),
+)
+
+
 def check(cfg: dict) -> None:
-    edges = cfg["bucketing"]["boundaries"]
-    if list(edges) != sorted(edges) or len(edges) < 2:
-        raise ValueError("bucketing.boundaries must ascend")
-    if cfg["final_generation"]["num_candidates"] <= 0:
-        raise ValueError("final_generation.num_candidates must be positive")
-    if cfg["data"]["sample_pool_size"] <= 0:
-        raise ValueError("data.sample_pool_size must be positive")
-    if not 0 <= cfg["final_generation"]["blob"]["blob_ratio"] <= 1:
-        raise ValueError("final_generation.blob.blob_ratio must lie in 0 to 1")
+    """Fails with all settings that won't do."""
+    wrong = []
+    for place, good, what in CHECKS:
+        value = cfg
+        for key in place:
+            value = value[key]
+        if not good(value):
+            wrong.append(f"{'.'.join(place)} must be {what}, not {value}")
+    if wrong:
+        raise ValueError("; ".join(wrong))
 
 
 def dry_run(cfg: dict) -> dict:

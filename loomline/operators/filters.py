@@ -44,7 +44,11 @@ def reason_counts(judged: DataFrame) -> DataFrame:
     return judged.groupBy(F.coalesce("reject_reason", F.lit("pass")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+#: Quantiles of lengths that are reported.
+QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
 def length_distribution(pairs: DataFrame) -> DataFrame:
-    """Quantiles of both sides' lengths."""
-    at = F.array(*[F.lit(q) for q in (0.05, 0.25, 0.5, 0.75, 0.95)])
-    return pairs.agg(F.percentile_approx(F.length("source_text"), at).alias("source_chars"), F.percentile_approx(F.length("target_text"), at).alias("target_chars"))
+    """Exact quantiles of both sides' lengths, between neighbours in proportion. Lengths are counted before they are shuffled, so a task has a row for each length."""
+    at = F.array(*[F.lit(q) for q in QUANTILES])
+    return pairs.agg(F.percentile(F.length("source_text"), at).alias("source_chars"), F.percentile(F.length("target_text"), at).alias("target_chars"))

@@ -13,6 +13,7 @@ row; quantiles don't tell them apart, so none of them is dropped unseen.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,14 +49,14 @@ def with_length(segs: DataFrame, cfg: dict) -> DataFrame:
     return measured.withColumn("length_bucket_id", F.expr(X.bucket_of("length", cfg["bucketing"]["boundaries"])))
 
 
-def tokenizer_length(path: str):
-    """Token counts by a tokenizer file, loaded once a worker."""
+def tokenizer_length(name: str):
+    """Token counts by a tokenizer, loaded once a worker: a file's, or a model's by its name."""
 
     @F.pandas_udf("int")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(name) if os.path.exists(name) else Tokenizer.from_pretrained(name)
         for texts in batches:
             yield pd.Series([len(e.ids) for e in tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=False)])
 

@@ -147,8 +147,11 @@ def upserted(cache: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def scored_with_cache(pairs: DataFrame, cache: DataFrame, score: Scorer, scorer_id: str) -> tuple[DataFrame, DataFrame]:
-    """(pairs with score, new rows for the cache); each distinct unknown pair is scored once."""
+    """(pairs with score, new rows for the cache); each distinct unknown pair is scored once in each of the two.
+
+    A costly scorer's new rows are better written before they are joined, as a run's stages do.
+    """
     _, missing = split_known(pairs, cache, scorer_id)
-    new = missing.select(F.lit(scorer_id).alias("scorer_id"), "key", score(F.col("source"), F.col("hypothesis")).alias("score")).persist()
+    new = missing.select(F.lit(scorer_id).alias("scorer_id"), "key", score(F.col("source"), F.col("hypothesis")).alias("score"))
     table = upserted(cache, new).filter(F.col("scorer_id") == scorer_id).select("key", "score")
     return with_key(pairs).join(table, "key").drop("key"), new

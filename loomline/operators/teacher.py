@@ -1,8 +1,8 @@
 """Model calls: chat completions with retries, from tasks of Spark.
 
-A client lives as long as its partition; a batch's requests run in threads, as many at
-a time as concurrency allows. Calls aren't repeatable, so stages write what they get
-before anything else reads it.
+A client lives as long as its partition. Rows are dealt over no more tasks than requests may
+run at a time, and each task has its share of those in threads, so concurrency bounds the
+whole run. Calls aren't repeatable, so stages write what they get before anything else reads it.
 """
 
 from __future__ import annotations
@@ -134,32 +134,41 @@ def candidates_of(client: Client, messages: list[dict], n: int, params: Generati
     return [client.generate(messages, Generation(params.temperature, params.top_p, params.max_tokens, 1, s), f"{request_id}:{i}")[0] for i, s in enumerate(seeds)]
 
 
-def call_model(rows: DataFrame, make: ClientFactory, ask: Callable[[Client, list[dict], str], dict], schema: str, concurrency: int) -> DataFrame:
-    """ask's values for each row (source_id, messages), as rows of schema with source_id first."""
+#: A model's answer to a row, as some of its values.
+Ask = Callable[[Client, list[dict], str], dict]
+#: Rows that a thread has at a time: what a task holds, and loses if its executor is lost.
+ROWS_A_THREAD = 4
+
+
+def call_model(rows: DataFrame, make: ClientFactory, asks: list[Ask], schema: str, concurrency: int) -> DataFrame:
+    """What all asks say to each row (source_id, messages), as rows of schema with source_id first. A row's asks run beside each other."""
+    tasks = max(1, min(concurrency, rows.sparkSession.sparkContext.defaultParallelism))
+    threads = max(1, concurrency // tasks)
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
-        with ThreadPoolExecutor(max(1, concurrency)) as pool:
+        with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                asked = [(i, [{"role": m["role"], "content": m["content"]} for m in ms]) for i, ms in zip(batch["source_id"], batch["messages"])]
-                got = list(pool.map(lambda x: {"source_id": x[0], **ask(client, x[1], x[0])}, asked))
-                yield pd.DataFrame(got, columns=[c.split()[0] for c in schema.split(", ")])
+                for at in range(0, len(batch), threads * ROWS_A_THREAD):
+                    part = batch.iloc[at : at + threads * ROWS_A_THREAD]
+                    said = [[pool.submit(ask, client, [{"role": m["role"], "content": m["content"]} for m in ms], i) for ask in asks] for i, ms in zip(part["source_id"], part["messages"])]
+                    got = [{"source_id": i, **{k: v for one in own for k, v in one.result().items()}} for i, own in zip(part["source_id"], said)]
+                    yield pd.DataFrame(got, columns=names)
 
-    return rows.select("source_id", "messages").mapInPandas(run, schema)
+    return rows.select("source_id", "messages").repartition(tasks).mapInPandas(run, schema)
 
 
 def two_translations(sources: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame:
     """(source_id, greedy_text, sample_text)."""
     g, (src, tgt) = cfg["teacher"]["generation"], (cfg["data"]["src_lang"], cfg["data"]["tgt_lang"])
 
-    def ask(client: Client, messages: list[dict], source_id: str) -> dict:
-        def one(temperature: float, name: str) -> str:
-            return client.generate(messages, Generation(temperature, g["top_p"], g["max_tokens"], 1, g["seed"]), f"{source_id}:{name}")[0]
-
-        return {"greedy_text": one(g["greedy_temperature"], "greedy"), "sample_text": one(g["sample_temperature"], "sample")}
+    def one(temperature: float, name: str) -> Ask:
+        return lambda client, messages, source_id: {f"{name}_text": client.generate(messages, Generation(temperature, g["top_p"], g["max_tokens"], 1, g["seed"]), f"{source_id}:{name}")[0]}
 
     rows = sources.select("source_id", F.expr(prompts.translation_messages("source_text", src, tgt)).alias("messages"))
-    return call_model(rows, make, ask, "source_id string, greedy_text string, sample_text string", cfg["teacher"]["max_concurrency"])
+    asks = [one(g["greedy_temperature"], "greedy"), one(g["sample_temperature"], "sample")]
+    return call_model(rows, make, asks, "source_id string, greedy_text string, sample_text string", cfg["teacher"]["max_concurrency"])
 
 
 def many_candidates(sources: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame:
@@ -171,7 +180,7 @@ def many_candidates(sources: DataFrame, cfg: dict, make: ClientFactory) -> DataF
         return {"translations": candidates_of(client, messages, final["num_candidates"], params, final["strategy"], source_id, g.get("seed_step", 0))}
 
     rows = sources.select("source_id", F.expr(prompts.translation_messages("source_text", src, tgt)).alias("messages"))
-    return call_model(rows, make, ask, "source_id string, translations array<string>", max(1, cfg["teacher"]["max_concurrency"] // 4))
+    return call_model(rows, make, [ask], "source_id string, translations array<string>", max(1, cfg["teacher"]["max_concurrency"] // 4))
 
 
 def judge_replies(pairs: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame:
@@ -185,7 +194,7 @@ def judge_replies(pairs: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame
             return {"reply": None}
 
     rows = pairs.select("source_id", F.expr(prompts.judge_messages("source_text", "target_text", src, tgt)).alias("messages"))
-    return call_model(rows, make, ask, "source_id string, reply string", cfg["teacher"]["max_concurrency"])
+    return call_model(rows, make, [ask], "source_id string, reply string", cfg["teacher"]["max_concurrency"])
 
 
 # The stub is a stand-in without a model: its translations are expressions, so a whole run is one plan.

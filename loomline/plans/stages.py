@@ -61,11 +61,11 @@ class Run:
         return self.options.client == "stub"
 
     def keep(self, stage: str, path: str, rows: DataFrame, counts: dict | None = None, write: Callable[[DataFrame, str], None] | None = None) -> str:
-        """Write a stage's table whole, or resume: finished tables stay, incremental ones are added to by the caller."""
+        """Write a stage's table whole."""
         start, seen = time.time(), Observation(stage)
         observed = rows.observe(seen, F.count("*").alias("rows"))
         (write or sinks.write_jsonl)(observed, path)
-        self.stats(stage, {"rows": seen.get["rows"], "duration_s": round(time.time() - start, 3), **(counts or {})})
+        self.stats(stage, {"rows": seen.get["rows"], **_pace(seen.get["rows"], start), **(counts or {})})
         return path
 
     def stats(self, stage: str, values: dict) -> None:
@@ -82,16 +82,74 @@ class Run:
             return True
         raise FileExistsError(f"{path} exists: resume or overwrite")
 
-    def added(self, stage: str, name: str, rows: DataFrame, schema: str, done: tuple[str, ...] = ()) -> str:
-        """An incremental stage: with resume only sources without a row are computed and appended."""
-        path = self.path(name, True)
-        old = [p for p in (path, *done) if self.has(p)]
-        if not self.options.resume or self.options.overwrite:
-            if old and not self.options.overwrite:
-                raise FileExistsError(f"{path} exists: resume or overwrite")
-            return self.keep(stage, path, rows)
-        todo = select.not_done(rows, *[self.spark.read.schema(schema).json(p) for p in old])
-        return self.keep(stage, path, todo, write=lambda df, p: sinks.write_jsonl(df, p, append=True))
+    @property
+    def appends(self) -> bool:
+        return self.options.resume and not self.options.overwrite
+
+    def todo(self, rows: DataFrame, schema: str, *own: str) -> DataFrame:
+        """Of rows those of this shard that the stage's own tables don't have yet, and of these the first up to the limit: so a limited run goes on where the last one ended."""
+        rows, own = self.own_shard(rows), tuple(p for p in own if self.has(p))
+        if own and not (self.options.resume or self.options.overwrite):
+            raise FileExistsError(f"{own[0]} exists: resume or overwrite")
+        if self.appends:
+            rows = select.not_done(rows, *[self.spark.read.schema(schema).json(p) for p in own])
+        return self.first(rows, "source_id")
+
+    def added(self, stage: str, todo: DataFrame, make: Callable[[DataFrame], dict[str, DataFrame]]) -> None:
+        """An incremental stage, committed part by part, so an interrupted run loses one part at most and a resumed one does only what is missing.
+
+        make gives the rows of each table for a part of todo; the stage's own table is the last.
+        """
+        start, total = time.time(), todo.count()
+        size, every = self.cfg["run"]["commit_rows"], self.cfg["run"]["log_every"]
+        parts = max(1, -(-total // size))
+        counts: dict[str, int] = {}
+        logged = 0
+        for part in range(parts):
+            some = todo if parts == 1 else todo.filter(F.pmod(F.xxhash64("source_id"), F.lit(parts)) == part)
+            for path, rows in make(some).items():
+                seen = Observation()
+                sinks.write_jsonl(rows.observe(seen, F.count("*").alias("rows")), path, append=part > 0 or self.appends)
+                counts[path] = counts.get(path, 0) + seen.get["rows"]
+            done = total * (part + 1) // parts
+            if done - logged >= every or part == parts - 1:
+                self.log.info("%s: about %d of %d sources", stage, done, total)
+                logged = done
+        made = list(counts.values())
+        self.stats(stage, {"processed": total, "rows": made[-1], **({"rejected": made[0]} if len(made) > 1 else {}), "parts": parts, **_pace(total, start)})
+
+    def work(self, name: str, rows: DataFrame) -> DataFrame:
+        """rows written and read back: what a model says is asked for once, whatever reads it and whoever is lost."""
+        path = f"{self.folder}/work/{name}.shard{self.options.shard_id:02d}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def latest(self, name: str, schema: str) -> DataFrame:
+        """A table with the last row of each source: by the time of the file, then by its place."""
+        rows = self.read(name, schema)
+        at = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        return select.latest(rows.select("*", at.alias("__at")), "source_id", "__at").drop("__at")
+
+    def cache(self) -> DataFrame:
+        place = self.cfg["metricx"]["cache_db"]
+        known = self.spark.read.schema(schemas.CACHE).parquet(place) if corpus._exists(self.spark, f"{place}/_SUCCESS") else self.spark.createDataFrame([], schemas.CACHE)
+        return known.dropDuplicates(["scorer_id", "key"])  # shards may have scored the same
+
+    def scores(self, pairs: DataFrame) -> DataFrame:
+        """pairs (source, hypothesis, ...) with score; what the table of scores lacks is scored and added to it first."""
+        scorer, name = score.scorer(self.cfg), score.scorer_id(self.cfg)
+        if self.cfg["metricx"]["backend"] == "dummy":
+            return pairs.withColumn("score", scorer(F.col("source"), F.col("hypothesis")))
+        _, missing = score.split_known(pairs, self.cache(), name)
+        new = missing.select(F.lit(name).alias("scorer_id"), "key", scorer(F.col("source"), F.col("hypothesis")).alias("score"))
+        new.write.mode("append").parquet(self.cfg["metricx"]["cache_db"])
+        known = self.cache().filter(F.col("scorer_id") == name).select("key", "score")
+        return score.with_key(pairs).join(known, "key").drop("key")
+
+
+def _pace(rows: int, start: float) -> dict:
+    seconds = time.time() - start
+    return {"duration_s": round(seconds, 3), "rows_per_s": round(rows / max(seconds, 1e-3), 1)}
 
 
 def logger(level: str = "INFO", file_path: str | None = None) -> logging.Logger:
@@ -110,30 +168,36 @@ def sample_sources(run: Run) -> str:
     if run.ready(path):
         return path
     _, lang = config.languages(run.cfg)
-    docs = corpus.corpus_documents(corpus.read_corpus(run.spark, run.cfg["data"]["path"], lang, run.cfg["data"]["madlad_split"]))
+    data = run.cfg["data"]
+    docs = corpus.corpus_documents(corpus.read_corpus(run.spark, data["path"] or data["madlad_dataset"], lang, data["madlad_split"], data["reader_options"]))
     segs = segment.limited(segment.segments(docs, run.cfg, run.cfg["final_generation"]["blob"]["enabled"]), run.options.limit)
     blob = run.cfg["final_generation"]["blob"]
-    return run.keep("sample_sources", path, sample.sampled_sources(segs, run.cfg, lang), sample.targets(run.cfg["data"]["sample_pool_size"], blob["blob_ratio"], blob["enabled"]))
+    return run.keep("sample_sources", path, sample.sampled_sources(segs, run.cfg, lang), sample.targets(data["sample_pool_size"], blob["blob_ratio"], blob["enabled"]))
 
 
-def prefiltered(sources: DataFrame, cfg: dict, texts: DataFrame, scorer: score.Scorer) -> DataFrame:
-    """sources with both scores and the improvement. texts: (source_id, greedy_text, sample_text)."""
+def prefiltered(sources: DataFrame, cfg: dict, texts: DataFrame, scores: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """sources with both scores and the improvement. texts: (source_id, greedy_text, sample_text); scores adds score to (source, hypothesis, ...)."""
     both = sources.join(texts, "source_id")
-    scored = both.withColumn("score_greedy", scorer(F.col("source_text"), F.col("greedy_text"))).withColumn("score_sample", scorer(F.col("source_text"), F.col("sample_text")))
+    said = "inline(array(named_struct('greedy', true, 'hypothesis', greedy_text), named_struct('greedy', false, 'hypothesis', sample_text)))"
+    scored = scores(both.select("source_id", F.col("source_text").alias("source"), F.expr(said)))
+    by_kind = scored.groupBy("source_id").agg(F.max(F.when(F.col("greedy"), F.col("score"))).alias("score_greedy"), F.max(F.when(~F.col("greedy"), F.col("score"))).alias("score_sample"))
     stored = ["greedy_text", "sample_text"] if cfg["prefilter"]["store_translations"] else []
-    return scored.select("source_id", "source_text", "length_bucket_id", "segment_type", "madlad", "score_greedy", "score_sample", (F.col("score_greedy") - F.col("score_sample")).alias("improvement"), *stored)
+    columns = ["source_id", "source_text", "length_bucket_id", "segment_type", "madlad", "score_greedy", "score_sample", (F.col("score_greedy") - F.col("score_sample")).alias("improvement"), *stored]
+    return both.join(by_kind, "source_id").select(*columns)
 
 
 def prefilter_score(run: Run) -> str:
-    todo = run.first(run.own_shard(run.read("sampled_sources", schemas.SAMPLED)), "source_id")
-    if run.stub:
-        texts = todo.select("source_id", F.expr(teacher.stub_greedy("source_text")).alias("greedy_text"), F.expr(teacher.stub_sample("source_text", "source_id")).alias("sample_text"))
-    else:
-        old = run.path("prefilter_candidates", True)
-        if run.options.resume and run.has(old):  # before the model is asked
-            todo = select.not_done(todo, run.spark.read.schema(schemas.PREFILTERED).json(old))
-        texts = teacher.two_translations(todo, run.cfg, run.client())
-    return run.added("prefilter_score", "prefilter_candidates", prefiltered(todo, run.cfg, texts, score.scorer(run.cfg)), schemas.PREFILTERED)
+    path = run.path("prefilter_candidates", True)
+
+    def make(todo: DataFrame) -> dict[str, DataFrame]:
+        if run.stub:
+            texts = todo.select("source_id", F.expr(teacher.stub_greedy("source_text")).alias("greedy_text"), F.expr(teacher.stub_sample("source_text", "source_id")).alias("sample_text"))
+        else:
+            texts = run.work("translations", teacher.two_translations(todo, run.cfg, run.client()))
+        return {path: prefiltered(todo, run.cfg, texts, run.scores)}
+
+    run.added("prefilter_score", run.todo(run.read("sampled_sources", schemas.SAMPLED), schemas.PREFILTERED, path), make)
+    return path
 
 
 def select_sources(run: Run) -> str:
@@ -146,16 +210,15 @@ def select_sources(run: Run) -> str:
 
 
 def generate_candidates(run: Run) -> str:
-    todo = run.first(run.own_shard(run.read("selected_sources", schemas.PREFILTERED)), "source_id")
-    n = run.cfg["final_generation"]["num_candidates"]
-    if run.stub:
-        rows = todo.select("source_id", F.expr(teacher.stub_candidates("source_text", n)).alias("translations"))
-    else:
-        old = run.path("candidates_128", True)
-        if run.options.resume and run.has(old):
-            todo = select.not_done(todo, run.spark.read.schema(schemas.CANDIDATES).json(old))
-        rows = teacher.many_candidates(todo, run.cfg, run.client())
-    return run.added("generate_128", "candidates_128", rows, schemas.CANDIDATES)
+    path, n = run.path("candidates_128", True), run.cfg["final_generation"]["num_candidates"]
+
+    def make(todo: DataFrame) -> dict[str, DataFrame]:
+        if run.stub:
+            return {path: todo.select("source_id", F.expr(teacher.stub_candidates("source_text", n)).alias("translations"))}
+        return {path: teacher.many_candidates(todo, run.cfg, run.client())}
+
+    run.added("generate_128", run.todo(run.read("selected_sources", schemas.PREFILTERED), schemas.CANDIDATES, path), make)
+    return path
 
 
 def _best_columns(best: DataFrame) -> DataFrame:
@@ -163,40 +226,34 @@ def _best_columns(best: DataFrame) -> DataFrame:
 
 
 def score_select_best(run: Run) -> str:
-    sources = run.read("selected_sources", schemas.PREFILTERED)
-    rows = run.first(run.own_shard(run.read("candidates_128", schemas.CANDIDATES)), "source_id")
+    path, sources = run.path("selected_best", True), run.latest("selected_sources", schemas.PREFILTERED)
     top_k = run.cfg["final_generation"]["store_top_k"]
-    if run.cfg["metricx"]["backend"] == "dummy":
-        best = _best_columns(select.best_candidates(sources, rows, X.dummy_score("source_text", "t"), top_k))
-        return run.added("score_select_best", "selected_best", best, schemas.BEST)
-    place = run.cfg["metricx"]["cache_db"]
-    cache = run.spark.read.schema(schemas.CACHE).parquet(place) if corpus._exists(run.spark, f"{place}/_SUCCESS") else run.spark.createDataFrame([], schemas.CACHE)
-    pairs = rows.join(sources.select("source_id", F.col("source_text").alias("source")), "source_id").select("source_id", "source", F.posexplode("translations").alias("i", "hypothesis"))
-    scored, new = score.scored_with_cache(pairs, cache, score.scorer(run.cfg), score.scorer_id(run.cfg))
-    new.write.mode("append").parquet(place)
-    best = _best_columns(select.best_scored(sources, scored.select("source_id", "i", F.col("hypothesis").alias("translation"), "score"), top_k))
-    return run.added("score_select_best", "selected_best", best, schemas.BEST)
+
+    def make(todo: DataFrame) -> dict[str, DataFrame]:
+        if run.cfg["metricx"]["backend"] == "dummy":
+            return {path: _best_columns(select.best_candidates(sources, todo, X.dummy_score("source_text", "t"), top_k))}
+        pairs = todo.join(sources.select("source_id", F.col("source_text").alias("source")), "source_id").select("source_id", "source", F.posexplode("translations").alias("i", "hypothesis"))
+        scored = run.scores(pairs).select("source_id", "i", F.col("hypothesis").alias("translation"), "score")
+        return {path: _best_columns(select.best_scored(sources, scored, top_k))}
+
+    run.added("score_select_best", run.todo(run.latest("candidates_128", schemas.CANDIDATES), schemas.BEST, path), make)
+    return path
 
 
 def format_filter(run: Run) -> str:
-    done = tuple(p for p in (run.path("filtered", True), run.path("rejected", True)) if run.has(p))
-    if done and not (run.options.resume or run.options.overwrite):
-        raise FileExistsError(f"{done[0]} exists: resume or overwrite")
-    pairs = run.first(run.own_shard(run.read("selected_best", schemas.BEST)), "source_id")
-    if run.options.resume and not run.options.overwrite:
-        pairs = select.not_done(pairs, *[run.spark.read.schema(schemas.BEST).json(p) for p in done])
-    ruled = filters.with_rule_reason(pairs, run.cfg)
-    passed, rejected = filters.split_rejected(ruled)
+    kept, out = run.path("filtered", True), run.path("rejected", True)
     judge = run.cfg["filters"]["llm_judge"]
-    if judge["enabled"]:  # only pairs that the rules pass reach the model, and its answers are kept before two tables are made of them
-        replies = passed.select("source_id", F.expr(teacher.stub_reply("source_id")).alias("reply")) if run.stub else teacher.judge_replies(passed, run.cfg, run.client(judge["model"]))
-        judged = filters.with_judgement(passed, replies, judge["fail_policy"]).persist()
-        passed, also = filters.split_rejected(judged)
-        rejected = rejected.unionByName(also)
-    append = run.options.resume and not run.options.overwrite
-    write = lambda df, p: sinks.write_jsonl(df, p, append=append)
-    run.keep("rejected", run.path("rejected", True), rejected, write=write)
-    return run.keep("format_filter", run.path("filtered", True), passed, write=write)
+
+    def make(pairs: DataFrame) -> dict[str, DataFrame]:
+        passed, rejected = filters.split_rejected(filters.with_rule_reason(pairs, run.cfg))
+        if judge["enabled"]:  # only pairs that the rules pass reach the model
+            replies = passed.select("source_id", F.expr(teacher.stub_reply("source_id")).alias("reply")) if run.stub else run.work("judge_replies", teacher.judge_replies(passed, run.cfg, run.client(judge["model"])))
+            passed, also = filters.split_rejected(filters.with_judgement(passed, replies, judge["fail_policy"]))
+            rejected = rejected.unionByName(also)
+        return {out: rejected, kept: passed}
+
+    run.added("format_filter", run.todo(run.read("selected_best", schemas.BEST), schemas.BEST, kept, out), make)
+    return kept
 
 
 def export_final(run: Run) -> str:
@@ -204,7 +261,7 @@ def export_final(run: Run) -> str:
     path = f"{run.folder}/final.parquet" if fmt == "parquet" else run.path("final")
     if run.ready(path):
         return path
-    rows = export.final_rows(run.first(run.read("filtered", schemas.BEST), "source_id"), run.read("selected_sources", schemas.PREFILTERED), run.cfg)
+    rows = export.final_rows(run.first(run.read("filtered", schemas.BEST), "source_id"), run.latest("selected_sources", schemas.PREFILTERED), run.cfg)
     return run.keep("export", path, rows, {"format": fmt}, lambda df, p: sinks.write(df, p, fmt, run.cfg["export"]["parquet_compression"]))
 
 

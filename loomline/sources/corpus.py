@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ID_COLUMNS = ("doc_id", "document_id", "document_key", "id", "record_id")
 
@@ -42,9 +41,13 @@ def text_column(df: DataFrame) -> str | None:
 
 
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
-    """Rows numbered in file order. Only a corpus without ids needs it: it costs a pass that counts partitions."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
-    return df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(schema)
+    """Rows numbered in file order. Only a corpus without ids needs it: it costs a pass that counts the rows of each partition."""
+    row = F.monotonically_increasing_id()
+    sizes = df.select(F.shiftright(row, 33).alias("__part")).groupBy("__part").agg(F.count("*").alias("__rows"))
+    before = F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # a row a partition
+    firsts = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__first"))
+    numbered = df.withColumn("__row", row).withColumn("__part", F.shiftright("__row", 33)).join(F.broadcast(firsts), "__part")
+    return numbered.withColumn(name, F.expr("__first + (__row & 8589934591)")).drop("__row", "__part", "__first")
 
 
 def corpus_documents(df: DataFrame) -> DataFrame:

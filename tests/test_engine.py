@@ -259,3 +259,168 @@ def test_streamed_segments_equal_batch(spark, tmp_path, run_cfg):
     batch = sample.with_source_id(sample.with_length(segment.segments(corpus.corpus_documents(docs), run_cfg), run_cfg))
     assert sorted(r[0] for r in spark.read.parquet(out).select("source_id").collect()) == sorted(r[0] for r in batch.select("source_id").collect())
     assert streaming.bucket_counts(spark.read.parquet(out)).agg(F.sum("segments")).first()[0] == batch.count()
+
+
+def test_long_documents_in_linear_time(spark):
+    """Many lines in one document: runs over several blocks of marks equal a plain fold, in seconds."""
+    import time
+
+    lines = [f"{'w ' * (i % 7)}line {i}" for i in range(100_000)]
+    docs = spark.createDataFrame([(1, "1", "\n".join(lines))], "doc_ord long, doc_id string, text string")
+    cfg = config.merged(config.DEFAULTS, {"segmentation": {"min_chars": 15}, "final_generation": {"blob": {"blob_max_tokens": 40}}})
+    begun = time.time()
+    found = segment.segments(docs, cfg).orderBy("segment_type", "segment_index").collect()
+    assert time.time() - begun < 60
+    merged, held = [], ""
+    for x in (x.strip() for x in lines):
+        if held and len(held) < 15:
+            held += " " + x
+        else:
+            if held:
+                merged.append(held)
+            held = x
+    merged = [x for x in [*merged, held] if len(x) >= 15]
+    assert [r["source_text"] for r in found if r["segment_type"] == "sentence"] == merged
+    blobs, size = [], 0
+    for i, x in enumerate(merged):
+        n = len(x.split())
+        if blobs and size + n <= 40:
+            blobs[-1][1], size = i, size + n
+        else:
+            blobs.append([i, i])
+            size = n
+    assert [list(r["segment_span"]) for r in found if r["segment_type"] == "blob"] == blobs
+
+
+class Recorded:
+    """A client that notes each request in a folder, and fails from a number of them on."""
+
+    def __init__(self, folder: str, fails_from: int):
+        self.folder, self.fails_from = folder, fails_from
+
+    def generate(self, messages, params, request_id=None):
+        import os
+        import uuid
+
+        if len(os.listdir(self.folder)) >= self.fails_from:
+            raise RuntimeError("the server is gone")
+        with open(f"{self.folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(request_id)
+        return EchoClient().generate(messages, params, request_id)
+
+
+def test_a_killed_stage_goes_on(spark, run_cfg, tmp_path):
+    """Parts that were committed stay, and their sources aren't asked again."""
+    folder = tmp_path / "asked"
+    folder.mkdir()
+    cfg = config.merged(run_cfg, {"run": {"commit_rows": 8}})
+    run_stage(spark, cfg, "sample_sources")
+    out = f"{cfg['run']['out_dir']}/prefilter_candidates.jsonl"
+    with pytest.raises(Exception):
+        run_stage(spark, cfg, "prefilter_score", Options(client=lambda: Recorded(str(folder), 40)))
+    kept = {r["source_id"] for r in spark.read.schema(schemas.PREFILTERED).json(out).collect()}
+    assert 0 < len(kept) < 32
+    before = set(folder.iterdir())
+    run_stage(spark, cfg, "prefilter_score", Options(resume=True, client=lambda: Recorded(str(folder), 10_000)))
+    rows = [r["source_id"] for r in spark.read.schema(schemas.PREFILTERED).json(out).collect()]
+    assert len(rows) == len(set(rows)) == 32
+    later = [p.read_text().split(":")[0] for p in set(folder.iterdir()) - before]
+    assert len(later) == 2 * (32 - len(kept)) and not kept & set(later)
+
+
+def test_limited_runs_go_on(spark, run_cfg):
+    run_stage(spark, run_cfg, "sample_sources,prefilter_score,select_sources", Options(client="stub"))
+    for name, stage in (("candidates_128", "generate_128"), ("selected_best", "score_select_best"), ("filtered", "format_filter")):
+        counts = []
+        for _ in range(2):
+            run_stage(spark, run_cfg, stage, Options(limit=5, resume=True, client="stub"))
+            found = spark.read.json(f"{run_cfg['run']['out_dir']}/{name}.jsonl").select("source_id")
+            if name == "filtered":
+                found = found.unionByName(spark.read.schema(schemas.REJECTED).json(f"{run_cfg['run']['out_dir']}/rejected.jsonl").select("source_id"))
+            counts.append((found.count(), found.distinct().count()))
+        assert counts == [(5, 5), (10, 10)], stage
+    stats = json.loads(spark.read.text(f"{run_cfg['run']['out_dir']}/stats/format_filter.shard00").first()[0])["format_filter"]
+    assert stats["processed"] == 5 and stats["rows"] + stats["rejected"] == 5 and stats["rows_per_s"] > 0
+
+
+def test_scores_are_remembered(spark, run_cfg, tmp_path, monkeypatch):
+    """The prefilter and the selection ask the scorer for each distinct pair once, over runs."""
+    calls = tmp_path / "scored"
+    calls.mkdir()
+
+    def load():
+        def many(sources, hypotheses):
+            import uuid
+
+            (calls / uuid.uuid4().hex).write_text("\n".join(f"{len(s)} {len(h)}" for s, h in zip(sources, hypotheses)) + "\n")
+            return [float(abs(len(s) - len(h))) for s, h in zip(sources, hypotheses)]
+
+        return many
+
+    monkeypatch.setattr(score, "scorer", lambda cfg: score.by_model(load))
+    cfg = config.merged(run_cfg, {"metricx": {"backend": "hf"}})
+    run_stage(spark, cfg, "sample_sources,prefilter_score", Options(client="stub"))
+    scored = sum(len(p.read_text().splitlines()) for p in calls.iterdir())
+    assert 0 < scored <= 64
+    run_stage(spark, cfg, "prefilter_score", Options(overwrite=True, client="stub"))
+    assert sum(len(p.read_text().splitlines()) for p in calls.iterdir()) == scored
+    run_stage(spark, cfg, "select_sources,generate_128,score_select_best", Options(client="stub"))
+    assert spark.read.schema(schemas.BEST).json(f"{cfg['run']['out_dir']}/selected_best.jsonl").count() == 12
+
+
+def test_requests_at_a_time(spark, tmp_path):
+    """max_concurrency bounds the run, not each task."""
+    folder = str(tmp_path)
+
+    class Slow:
+        def generate(self, messages, params, request_id=None):
+            import os
+            import time
+            import uuid
+
+            name = f"{folder}/{uuid.uuid4().hex}"
+            open(name + ".open", "w").close()
+            with open(name + ".seen", "w") as f:
+                f.write(str(sum(x.endswith(".open") for x in os.listdir(folder))))
+            time.sleep(0.05)
+            os.remove(name + ".open")
+            return ["x"]
+
+    cfg = config.merged(config.DEFAULTS, {"teacher": {"max_concurrency": 3}})
+    sources = spark.range(60).selectExpr("cast(id as string) source_id", "'t' source_text").repartition(16)
+    assert teacher.two_translations(sources, cfg, Slow).count() == 60
+    assert max(int(p.read_text()) for p in tmp_path.glob("*.seen")) <= 3
+
+
+def test_last_row_of_a_source_counts(spark, tmp_path):
+    from loomline.plans.stages import Run
+
+    cfg = config.merged(config.DEFAULTS, {"run": {"out_dir": str(tmp_path)}})
+    (tmp_path / "t.jsonl").write_text('{"source_id": "a", "n": 1}\n{"source_id": "b", "n": 2}\n{"source_id": "a", "n": 3}\n')
+    assert {(r["source_id"], r["n"]) for r in Run(spark, cfg).latest("t", "source_id string, n int").collect()} == {("a", 3), ("b", 2)}
+
+
+def test_tokenizer_measure(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    made = Tokenizer(models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?"))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    made.save(str(tmp_path / "tokenizer.json"))
+    cfg = config.merged(config.DEFAULTS, {"bucketing": {"measure": "tokenizer", "tokenizer_name": str(tmp_path / "tokenizer.json"), "boundaries": [0, 2, 5]}})
+    segs = spark.createDataFrame([("a b c",), ("",), ("a",)], "source_text string")
+    assert sorted((r["length"], r["length_bucket_id"]) for r in sample.with_length(segs, cfg).collect()) == [(0, 0), (1, 0), (3, 1)]
+
+
+def test_reader_options_and_all_violations(spark, run_cfg, tmp_path):
+    (tmp_path / "docs.jsonl").write_text('{"doc_id": 1, "text": "A line that is long enough."} \n{"doc_id": 2, "text": broken\n')
+    cfg = config.merged(run_cfg, {"data": {"path": str(tmp_path / "docs.jsonl"), "reader_options": {"mode": "DROPMALFORMED"}}})
+    run_stage(spark, cfg, "sample_sources")
+    assert spark.read.schema(schemas.SAMPLED).json(f"{cfg['run']['out_dir']}/sampled_sources.jsonl").filter("segment_type = 'sentence'").count() == 1
+    with pytest.raises(ValueError, match="boundaries.*num_candidates.*sample_pool_size"):
+        config.check(config.merged(config.DEFAULTS, {"bucketing": {"boundaries": [5, 1]}, "final_generation": {"num_candidates": 0}, "data": {"sample_pool_size": 0}}))
+
+
+def test_ordinals_over_partitions(spark):
+    rows = spark.createDataFrame([(f"t{i}",) for i in range(100)], "text string").repartition(7)
+    got = corpus.with_ordinal(rows).collect()
+    assert sorted(r["ordinal"] for r in got) == list(range(100)) and [r["text"] for r in sorted(got, key=lambda r: r["ordinal"])] == [r["text"] for r in rows.collect()]
