@@ -14,14 +14,17 @@ or as the unknown piece where the vocabulary has no bytes.
 Defined cases: null is null throughout; an empty text has no pieces, score 0 and one
 segmentation; ties go to the longer last piece, then the earlier unit; the space
 mark in a text decodes as a space; repeated rows are encoded alike; an empty table
-gives no rows; input columns named like a result column are replaced.
+gives no rows; input columns named like a result column are replaced; a very long
+text without spaces is one unit, and takes time and memory in proportion to its length.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial
 from itertools import chain
 from pathlib import Path
 
@@ -37,8 +40,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 MARK = "▁"
 UNKNOWN = 10.0
-#: Units that a task remembers.
-UNITS_HELD = 300_000
+#: Units, and characters of them, that a task remembers.
+UNITS_HELD, CHARS_HELD = 150_000, 4_000_000
 
 
 class Vocabulary:
@@ -51,6 +54,7 @@ class Vocabulary:
         ids = range(sp.get_piece_size())
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.pieces = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in plain}
+        self.longest = max(map(len, self.pieces))
         self.bytes = {int(sp.id_to_piece(i)[3:-1], 16): i for i in ids if sp.is_byte(i)}
         self.unknown = sp.unk_id()
         self.penalty = min(s for _, s in self.pieces.values()) - UNKNOWN
@@ -84,37 +88,53 @@ class Vocabulary:
                 out.append((i, i + 1, ids, self.penalty))
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
+    def into(self, unit: str, end: int) -> Iterator[tuple[int, tuple[int, ...], float]]:
+        """(start, ids, score) of the edges that end at a place, longest first."""
+        for start in range(max(0, end - self.longest), end):
+            if (found := self.pieces.get(unit[start:end])) is not None:
+                yield start, (found[0],), found[1]
+        if unit[end - 1] not in self.pieces:
+            yield end - 1, tuple(self.bytes[b] for b in unit[end - 1].encode()) if self.bytes else (self.unknown,), self.penalty
+
+    def decode(self, ids: Iterable[int]) -> bytes:
         data = b"".join(map(self.out.__getitem__, ids))
         return data[1:] if data[:1] == b" " else data
 
 
-def forward(edges: list[tuple], size: int) -> tuple[list[float], list[tuple | None]]:
-    """Best score up to each place, and the edge that gives it."""
-    best, via = [float("-inf")] * (size + 1), [None] * (size + 1)
-    best[0] = 0.0
-    for e in edges:
-        i, j, _, score = e
+def forward(edges: list[tuple], size: int) -> list[float]:
+    """Best score up to each place."""
+    best = [0.0] + [float("-inf")] * size
+    for i, j, _, score in edges:
         if (total := best[i] + score) > best[j]:
-            best[j], via[j] = total, e
-    return best, via
+            best[j] = total
+    return best
+
 
+def backward(into: Callable[[int], Iterator[tuple]], best: Sequence[float], n: int) -> Iterator[tuple[float, list[int]]]:
+    """The n best segmentations from best to worst by A* from the end: what is left to the start costs best exactly.
 
-def backward(edges: list[tuple], best: list[float]) -> Iterator[tuple[float, tuple[int, ...]]]:
-    """All segmentations from best to worst by A* from the end: what is left to the start costs best exactly."""
-    into: list[list] = [[] for _ in best]
-    for i, j, ids, score in edges:
-        into[j].append((i, ids, score))
-    heap: list[tuple] = [(-best[-1], 0, len(best) - 1, 0.0, ())]
+    into gives (start, ids, score) of the edges that end at a place. Since the heuristic
+    is exact, each open state stands for a segmentation of its own with that very
+    score, so only as many states as segmentations are still wanted stay open. A state
+    points to the one that it came from; ids are put together for the winners alone.
+    """
+    open_: list[tuple] = [(-best[-1], 0, len(best) - 1, 0.0, None)]
     made = 0
-    while heap:
-        total, _, at, behind, ids = heapq.heappop(heap)
+    while open_ and n:
+        total, _, at, behind, came = heapq.heappop(open_)
         if at == 0:
+            n -= 1
+            ids: list[int] = []
+            while came is not None:
+                ids += came[0]
+                came = came[1]
             yield -total, ids
             continue
-        for start, piece, score in into[at]:
+        for start, piece, score in into(at):
             made += 1
-            heapq.heappush(heap, (-(best[start] + score + behind), made, start, score + behind, piece + ids))
+            heapq.heappush(open_, (-(best[start] + score + behind), made, start, score + behind, (piece, came)))
+        if len(open_) > n:
+            open_ = heapq.nsmallest(n, open_)
 
 
 class Batch:
@@ -127,11 +147,12 @@ class Batch:
     BASE = np.uint64(0x9E3779B97F4A7C15)
     BITS = 20
     LONGEST_UNIT = 48
+    BLOCK = 1 << 15
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         names = list(vocabulary.pieces)
-        self.longest = max(map(len, names))
+        self.longest = vocabulary.longest
         self.powers = self.BASE ** np.arange(self.longest + 1, dtype=np.uint64)
         chars = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
         sizes = np.array([len(n) for n in names])
@@ -170,70 +191,131 @@ class Batch:
             open_ = open_[(found[open_] < 0) & (self.piece[at] >= 0)]
         return found
 
-    def solve(self, units: list[str]) -> list[tuple[tuple[int, ...], float, float]]:
-        """For each unit (ids of the best, its score, what the second best loses); units longest first."""
+    def bytes_of(self, char: int) -> tuple[int, ...]:
+        """The ids of a character without a piece."""
+        return tuple(self.v.bytes[b] for b in chr(char).encode()) if self.v.bytes else (self.v.unknown,)
+
+    def solve(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of the best of each unit in a row, how many each has, its score, what the second best loses); units longest first.
+
+        The units that have a place stand in front, so places are slabs: the units'
+        first characters, then their second ones, and so on.
+        """
         sizes = np.array([len(u) for u in units])
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        top, total = int(sizes[0]), int(sizes.sum())
+        live = np.searchsorted(-sizes, -np.arange(1, top + 1), "right").tolist()  # units with a place
+        slab = np.concatenate(([0], np.cumsum(live))).tolist()
+        starts = np.cumsum(sizes) - sizes
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        total, top = len(chars), int(sizes[0])
-        place = np.arange(total) - np.repeat(starts, sizes)  # of each character in its unit
-        sums = self._sums(chars)
+        place = np.arange(total) - np.repeat(starts, sizes)
+        slabs = np.empty(total, np.uint32)
+        slabs[np.array(slab)[place] + np.repeat(np.arange(len(units)), sizes)] = chars
+        mixed = mix(slabs.astype(np.uint64) + np.uint64(1))
+        sums = [np.zeros(len(units), np.uint64)]
+        for p, n in enumerate(live):
+            sums.append(sums[p][:n] * self.BASE + mixed[slab[p] : slab[p + 1]])
         widest = min(self.longest, top)
-        ids = np.full((widest + 1, total), -1, np.int32)  # of the piece of a width that ends at a character
-        scores = np.full((widest + 1, total), -np.inf)
+        ids: list[np.ndarray] = [np.empty(0, np.int32)]  # of the pieces of a width, slab by slab from the first that has it
+        scores: list[np.ndarray] = [np.empty(0)]
         for width in range(1, widest + 1):
-            ends = np.flatnonzero(place >= width - 1)
-            found = self._find(sums[ends + 1] - sums[ends + 1 - width] * self.powers[width])
-            ids[width, ends] = found
-            scores[width, ends] = np.where(found >= 0, self.score[found], -np.inf)
-        unknown = ids[1] < 0
-        scores[1, unknown] = self.v.penalty
-        best = np.full((top + 1, len(units)), -np.inf)
-        left = np.full((top + 1, len(units)), -np.inf)
-        via = np.zeros((top + 1, len(units)), np.int8)
-        best[0] = 0
-        for end in range(1, top + 1):
-            n = int(np.searchsorted(-sizes, -end, "right"))
-            at = starts[:n] + end - 1
-            for width in range(min(widest, end), 0, -1):
-                score = best[end - width, :n] + scores[width, at]
-                more = score > best[end, :n]
-                best[end, :n][more] = score[more]
-                via[end, :n][more] = width
-        columns = np.arange(len(units))
-        left[sizes, columns] = 0
-        second = np.full(len(units), -np.inf)
-        on = np.zeros((top + 1, len(units)), bool)
-        at, live = sizes.copy(), columns
-        while len(live):
-            on[at[live], live] = True
-            at[live] -= via[at[live], live]
-            live = live[at[live] > 0]
-        for end in range(top, 0, -1):
-            n = int(np.searchsorted(-sizes, -end, "right"))
-            where = starts[:n] + end - 1
-            for width in range(1, min(widest, end) + 1):
-                score = left[end, :n] + scores[width, where]
-                left[end - width, :n] = np.maximum(left[end - width, :n], score)
-                score = score + best[end - width, :n]
-                score[on[end, :n] & (via[end, :n] == width)] = -np.inf
-                second[:n] = np.maximum(second[:n], score)
-        unit_at, end_at = np.nonzero(on.T)
-        flat = starts[unit_at] + end_at - 1
-        chosen = ids[via[end_at, unit_at], flat].tolist()
-        unknown_at = np.flatnonzero(np.array(chosen) < 0).tolist()
-        mixed = {int(unit_at[k]) for k in unknown_at}  # units with ids of bytes among those of pieces
-        for k in unknown_at:
-            char = chr(chars[flat[k]])
-            chosen[k] = tuple(self.v.bytes[b] for b in char.encode()) if self.v.bytes else (self.v.unknown,)
-        bounds = np.concatenate(([0], np.cumsum(on.sum(0)))).tolist()
-        final = best[sizes, columns]
-        out = []
-        for u, (score, loss) in enumerate(zip(final.tolist(), (final - second).tolist())):
-            path = chosen[bounds[u] : bounds[u + 1]]
-            flat_path = tuple(y for x in path for y in ((x,) if type(x) is int else x)) if u in mixed else tuple(path)
-            out.append((flat_path, score, loss))
-        return out
+            ids.append(self._find(np.concatenate([sums[e] - sums[e - width][: live[e - 1]] * self.powers[width] for e in range(width, top + 1)])))
+            scores.append(self.score[ids[width]])
+        scores[1][ids[1] < 0] = self.v.penalty
+        part = lambda width, e: slice(slab[e - 1] - slab[width - 1], slab[e] - slab[width - 1])
+        best = [np.zeros(len(units))]
+        via = [np.zeros(len(units), np.int8)]
+        for e, n in enumerate(live, 1):
+            most, by = np.full(n, -np.inf), np.zeros(n, np.int8)
+            for width in range(min(widest, e), 0, -1):
+                score = best[e - width][:n] + scores[width][part(width, e)]
+                more = score > most
+                np.copyto(most, score, where=more)
+                by[more] = width
+            best.append(most)
+            via.append(by)
+        left = [np.full(len(b), -np.inf) for b in best]
+        on = [np.zeros(len(b), bool) for b in best]
+        final, second = np.empty(len(units)), np.full(len(units), -np.inf)
+        live.append(0)
+        paths: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for e in range(top, 0, -1):
+            n, longer = live[e - 1], live[e]
+            on[e][longer:], left[e][longer:] = True, 0.0  # the units that end here
+            final[longer:n] = best[e][longer:]
+            for width in range(1, min(widest, e) + 1):
+                score = left[e] + scores[width][part(width, e)]
+                np.maximum(left[e - width][:n], score, out=left[e - width][:n])
+                score += best[e - width][:n]
+                own = np.flatnonzero(on[e] & (via[e] == width))
+                score[own] = -np.inf
+                np.maximum(second[:n], score, out=second[:n])
+                if len(own):
+                    on[e - width][own] = True
+                    paths.append((own, np.full(len(own), e), ids[width][part(width, e)][own]))
+        unit, end, chosen = (np.concatenate(x) for x in zip(*paths))
+        order = np.lexsort((end, unit))
+        unit, end, chosen = unit[order], end[order], chosen[order]
+        counts = np.bincount(unit, minlength=len(units))
+        if len(unknown := np.flatnonzero(chosen < 0)):
+            spelt = [self.bytes_of(int(chars[starts[u] + e - 1])) for u, e in zip(unit[unknown].tolist(), end[unknown].tolist())]
+            lengths = np.ones(len(chosen), np.int64)
+            lengths[unknown] = [len(x) for x in spelt]
+            chosen = np.repeat(chosen, lengths)
+            chosen[chosen < 0] = list(chain.from_iterable(spelt))
+            counts = np.bincount(np.repeat(unit, lengths), minlength=len(units))
+        return chosen, counts, final, final - second
+
+    def edges(self, sums: np.ndarray, reverse: bool = False) -> Iterator[tuple[list[int], list[int], list[float], list[int]]]:
+        """Blocks of (end, width, score, id) by end, longest first; id is -1 for a character without a piece. reverse: the same from behind."""
+        size = len(sums) - 1
+        blocks = range(0, size, self.BLOCK)
+        for low in reversed(blocks) if reverse else blocks:
+            ends = np.arange(low + 1, min(low + self.BLOCK, size) + 1)
+            ids = np.full((len(ends), self.longest), -1, np.int32)  # by width from behind
+            for width in range(1, min(self.longest, int(ends[-1])) + 1):
+                some = ends[max(0, width - int(ends[0])) :]
+                ids[len(ends) - len(some) :, self.longest - width] = self._find(sums[some] - sums[some - width] * self.powers[width])
+            scores = self.score[ids]
+            scores[ids[:, -1] < 0, -1] = self.v.penalty
+            row, col = np.nonzero(scores > -np.inf)
+            found = (ends[row], self.longest - col, scores[row, col], ids[row, col])
+            yield tuple((x[::-1] if reverse else x).tolist() for x in found)
+
+    def forward(self, sums: np.ndarray) -> tuple[array, bytearray]:
+        """Best score up to each place of one long unit, and the width of the piece that gives it."""
+        size = len(sums) - 1
+        best, via = array("d", [-np.inf]) * (size + 1), bytearray(size + 1)
+        best[0] = 0.0
+        for block in self.edges(sums):
+            for end, width, score, _ in zip(*block):
+                if (total := best[end - width] + score) > best[end]:
+                    best[end], via[end] = total, width
+        return best, via
+
+    def chars(self, unit: str) -> np.ndarray:
+        return np.frombuffer(unit.encode("utf-32-le"), np.uint32)
+
+    def solve_long(self, unit: str) -> tuple[np.ndarray, float, float]:
+        """As solve() for one unit of any length: some 50 bytes a character, and time in proportion."""
+        sums = self._sums(self.chars(unit))
+        best, via = self.forward(sums)
+        size = len(unit)
+        left, on = array("d", [-np.inf]) * (size + 1), bytearray(size + 1)
+        left[size], on[size] = 0.0, 1
+        second = -np.inf
+        path = array("i")
+        for block in self.edges(sums, reverse=True):
+            for end, width, score, piece in zip(*block):
+                start = end - width
+                total = score + left[end]
+                if total > left[start]:
+                    left[start] = total
+                if on[end] and via[end] == width:
+                    on[start] = 1
+                    path.extend((piece,) if piece >= 0 else reversed(self.bytes_of(ord(unit[start]))))
+                elif (whole := best[start] + total) > second:
+                    second = whole
+        return np.array(path, np.int32)[::-1], best[size], best[size] - second
 
 
 class Segmenter:
@@ -242,76 +324,71 @@ class Segmenter:
     def __init__(self, vocabulary: Vocabulary, n: int = BEST):
         self.v, self.n = vocabulary, n
         self.batch = Batch(vocabulary)
-        self.held: dict[str, tuple[tuple[int, ...], float, float]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, int] = {}  # number of each unit, by which the others are
+        self.chars = 0
+        self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.scores, self.losses = np.empty(0), np.empty(0)
 
     def learn(self, texts: list[list[str]]) -> None:
         """Solve the units of texts that aren't held, together."""
-        new = {u for units in texts for u in units if u not in self.held}
-        if len(self.held) + len(new) > UNITS_HELD:
-            self.held.clear()
+        new = {u for units in texts for u in units if u not in self.at}
+        if len(self.at) + len(new) > UNITS_HELD or self.chars > CHARS_HELD:
+            self.clear()
             new = {u for units in texts for u in units}
-        ordered = sorted((u for u in new if len(u) <= Batch.LONGEST_UNIT), key=len, reverse=True)
-        for i in range(0, len(ordered), 8192):
-            part = ordered[i : i + 8192]
-            self.held.update(zip(part, self.batch.solve(part)))
-
-    def unit(self, unit: str) -> tuple[tuple[int, ...], float, float]:
-        """(ids of the best, its score, what the second best loses)."""
-        if (found := self.held.get(unit)) is None:
-            if len(self.held) >= UNITS_HELD:
-                self.held.clear()
-            edges = self.v.edges(unit)
-            best, via = forward(edges, len(unit))
-            path = []
-            at = len(unit)
-            while at:
-                path.append(via[at])
-                at = via[at][0]
-            left = [float("-inf")] * len(unit) + [0.0]
-            second = float("-inf")
-            on = set(map(id, path))
-            for e in reversed(edges):
-                i, j, _, score = e
-                if (total := score + left[j]) > left[i]:
-                    left[i] = total
-                if best[i] + total > second and id(e) not in on:
-                    second = best[i] + total
-            ids = path[0][2] if len(path) == 1 else tuple(chain.from_iterable([e[2] for e in reversed(path)]))
-            found = self.held[unit] = (ids, best[-1], best[-1] - second)
-        return found
-
-    def alternatives(self, unit: str, first: tuple[int, ...]) -> list[tuple[float, tuple[int, ...]]]:
+        ordered = sorted(new, key=len, reverse=True)
+        long = next((i for i, u in enumerate(ordered) if len(u) <= Batch.LONGEST_UNIT), len(ordered))
+        made = []
+        for u in ordered[:long]:
+            ids, score, loss = self.batch.solve_long(u)
+            made.append((ids, np.array([len(ids)]), np.array([score]), np.array([loss])))
+        made += [self.batch.solve(ordered[i : i + 8192]) for i in range(long, len(ordered), 8192)]
+        if made:
+            ids, counts, scores, losses = (np.concatenate(x) for x in zip(*made))
+            self.at.update(zip(ordered, range(len(self.at), len(self.at) + len(ordered))))
+            self.chars += sum(map(len, ordered))
+            self.ids = np.concatenate((self.ids, ids))
+            self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(counts)))
+            self.scores, self.losses = np.concatenate((self.scores, scores)), np.concatenate((self.losses, losses))
+
+    def alternatives(self, unit: str, first: list[int]) -> list[tuple[float, list[int]]]:
         """(loss, ids) of the n best segmentations of a unit, of which first stands first."""
-        edges = self.v.edges(unit)
-        best, _ = forward(edges, len(unit))
-        out = []
-        for score, ids in backward(edges, best):
-            out.append((best[-1] - score, ids))
-            if len(out) == self.n:
-                break
+        if len(unit) <= Batch.LONGEST_UNIT:
+            edges = self.v.edges(unit)
+            best: Sequence[float] = forward(edges, len(unit))
+            ends: list[list] = [[] for _ in best]
+            for i, j, ids, score in edges:
+                ends[j].append((i, ids, score))
+            into = ends.__getitem__
+        else:
+            best, _ = self.batch.forward(self.batch._sums(self.batch.chars(unit)))
+            into = partial(self.v.into, unit)
+        out = [(best[-1] - score, ids) for score, ids in backward(into, best, self.n)]
         out.sort(key=lambda x: (x[0], x[1] != first))
         return out
 
-    def text(self, units: list[str]) -> tuple[list[int], float, list[dict]]:
+    def text(self, units: list[str]) -> tuple[np.ndarray, float, list[dict]]:
         """(ids, score, the n best as {score, edits}); an edit puts other ids in the place of drop ids."""
-        found = list(map(self.held.get, units))
-        if None in found:
-            found = [f or self.unit(u) for f, u in zip(found, units)]
-        parts, scores, losses = zip(*found) if found else ((), (), ())
-        score = float(sum(scores))
-        combined: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
-        for loss, i in heapq.nsmallest(self.n - 1, zip(losses, range(len(losses)))):
-            if loss == float("inf"):
-                break
-            options = self.alternatives(units[i], parts[i])
+        try:
+            at = np.fromiter(map(self.at.__getitem__, units), np.int64, len(units))
+        except KeyError:
+            self.learn([units])
+            at = np.fromiter(map(self.at.__getitem__, units), np.int64, len(units))
+        begins, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        places = np.cumsum(sizes) - sizes
+        ids = self.ids[np.repeat(begins - places, sizes) + np.arange(int(sizes.sum()))]
+        score, losses = float(self.scores[at].sum()), self.losses[at]
+        few = min(self.n - 1, len(units))
+        near = np.flatnonzero(losses <= np.partition(losses, few - 1)[few - 1]) if few else np.empty(0, np.int64)
+        near = near[np.argsort(losses[near], kind="stable")[:few]]
+        combined: list[tuple[float, dict[int, list[int]]]] = [(0.0, {})]
+        for i in near[np.isfinite(losses[near])].tolist():
+            options = self.alternatives(units[i], ids[places[i] : places[i] + sizes[i]].tolist())
             combined = heapq.nsmallest(self.n, ((a + lost, changed | {i: other} if k else changed) for a, changed in combined for k, (lost, other) in enumerate(options)), key=lambda x: x[0])
-        at: dict[int, int] = {}
-        last = place = 0
-        for i in sorted({i for _, c in combined for i in c}):
-            place += sum(map(len, parts[last:i]))
-            at[i], last = place, i
-        best = [{"score": score - lost, "edits": [{"at": at[i], "drop": len(parts[i]), "ids": ids} for i, ids in sorted(c.items())]} for lost, c in combined]
-        return list(chain.from_iterable(parts)), score, best
+        best = [{"score": score - lost, "edits": [{"at": int(places[i]), "drop": int(sizes[i]), "ids": other} for i, other in sorted(c.items())]} for lost, c in combined]
+        return ids, score, best
 
 
 EDIT = T.StructType([column("at", T.IntegerType()), column("drop", T.IntegerType()), column("ids", T.ArrayType(T.IntegerType()))])
@@ -353,10 +430,10 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, n: int = BES
             out["piece_ids"].append(pa.array(ids, pa.int32()))
             out["score"].append(score)
             out["n_best"].append(best)
-            out["decoded_same"].append(seg.v.decode(ids) == data.replace(MARK.encode(), b" "))
+            out["decoded_same"].append(seg.v.decode(ids.tolist()) == data.replace(MARK.encode(), b" "))
         return {**out, "piece_ids": _lists(out["piece_ids"])}
 
-    return map_text(docs, fn, OUT, text)
+    return map_text(docs, fn, OUT, text, state=state)
 
 
 def _lists(arrays: list[pa.Array | None]) -> pa.Array:
@@ -384,12 +461,12 @@ def decode(encoded: DataFrame, ids: str = "piece_ids", out: str = "decoded", mod
     return encoded.mapInArrow(run, schema)
 
 
-def applied(ids: list[int], edits: list[dict]) -> list[int]:
+def applied(ids: Sequence[int], edits: list[dict]) -> list[int]:
     """The ids of an alternative."""
     out, last = [], 0
     for e in edits:
         out += [*ids[last : e["at"]], *e["ids"]]
         last = e["at"] + e["drop"]
-    return out + ids[last:]
+    return out + list(ids[last:])
 
 

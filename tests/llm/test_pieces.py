@@ -49,12 +49,53 @@ def test_n_best_of_all_segmentations(vocabulary):
 
 
 def test_batches_equal_single_units(vocabulary):
+    """Units solved together, and each by the way of long ones."""
     rng = random.Random(4)
     units = vocabulary.units(" ".join("".join(rng.choice("abcdehinorst漢é\n.") for _ in range(rng.randrange(1, 14))) for _ in range(400)))
-    together, alone = pieces.Segmenter(vocabulary), pieces.Segmenter(vocabulary)
-    together.learn([units])
-    for u in set(units):
-        assert together.held[u] == alone.unit(u)
+    units = sorted(set(units), key=len, reverse=True)
+    batch = pieces.Batch(vocabulary)
+    ids, counts, scores, losses = batch.solve(units)
+    ends = counts.cumsum()
+    for u, end, n, score, loss in zip(units, ends, counts, scores, losses):
+        one, own_score, own_loss = batch.solve_long(u)
+        assert one.tolist() == ids[end - n : end].tolist() and own_score == score and own_loss == loss
+
+
+def test_long_units_in_blocks(vocabulary):
+    """A unit over several blocks, with the ways between them: the n best equal those of plain dynamic programming."""
+    rng = random.Random(5)
+    unit = pieces.MARK + "".join(rng.choice("abehinrst=漢é") for _ in range(500))
+    seg = pieces.Segmenter(vocabulary)
+    seg.batch.BLOCK = 7
+    ids, score, best = seg.text([unit])
+    n_best = [[(0.0, ())]] + [[] for _ in unit]
+    for end in range(1, len(unit) + 1):
+        found = [(s + score, (*before, *own)) for start, own, score in vocabulary.into(unit, end) for s, before in n_best[start]]
+        n_best[end] = sorted(found, key=lambda x: -x[0])[: pieces.BEST]
+    assert [b["score"] for b in best] == [s for s, _ in n_best[-1]] and score == best[0]["score"]
+    assert len({tuple(pieces.applied(ids, b["edits"])) for b in best}) == pieces.BEST
+    assert vocabulary.decode(ids).decode() == unit[1:]
+
+
+def test_very_long_text_without_spaces(vocabulary):
+    """Time and memory grow with the length."""
+    import time
+    import tracemalloc
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(200_000)), "=" * 200_000]
+    begun = time.process_time()
+    for text in texts:
+        ids, _, best = pieces.Segmenter(vocabulary).text(vocabulary.units(text))
+        assert vocabulary.decode(ids).decode() == text and len(best) == pieces.BEST
+    assert time.process_time() - begun < 120
+    for text in texts:
+        seg = pieces.Segmenter(vocabulary)
+        tracemalloc.start()
+        seg.text(vocabulary.units(text[:20_000]))
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert held < 20_000 * 500 + 20_000_000
 
 
 def test_encode_and_decode(spark):
