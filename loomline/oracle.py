@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from loomline.functions import prompts
 from loomline.functions.text import ERROR_SUBSTRINGS, FORBIDDEN_MARKERS
 from loomline.queries import EDGES
@@ -153,6 +155,18 @@ def prompt(template: str, **values: str) -> str:
 
 JUDGED = """CASE conv_id % 9 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false WHEN 4 THEN true WHEN 5 THEN false WHEN 6 THEN {0} WHEN 7 THEN {0} ELSE false END"""
 
+def ending(size: str) -> str:
+    """The last characters of a text, one at least."""
+    return f"right(txt, greatest(1, {size})::BIGINT)"
+
+
+JUDGE_BODY = prompt(prompts.JUDGE_USER, source_lang=quoted("en"), target_lang=quoted("fr"), source_text="txt", candidate_text=GREEDY)
+
+SAMPLED = f"""WITH {segments()},
+a AS (SELECT *, row_number() OVER (PARTITION BY kind, bucket ORDER BY doc_id, idx) > 112 AS spill FROM bucketed),
+r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY spill, CASE WHEN spill THEN 0 ELSE bucket END, doc_id, idx) AS rn FROM a QUALIFY rn <= 1000),
+pre AS (SELECT *, {gap('txt', GREEDY)} - {gap('txt', SAMPLE)} AS imp FROM r)"""
+
 E2E = f"""WITH {segments()},
 a AS (SELECT *, row_number() OVER (PARTITION BY kind, bucket ORDER BY doc_id, idx) > 112 AS spill FROM bucketed),
 r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY spill, CASE WHEN spill THEN 0 ELSE bucket END, doc_id, idx) AS rn FROM a QUALIFY rn <= 1000),
@@ -221,4 +235,26 @@ SELECT 'en->fr' AS pair_id, 'en' AS source_lang_code, 'fr' AS target_lang_code,
   CASE WHEN {shard("source_id", 4)} <> 0 THEN imp END AS improvement, CASE WHEN {shard("source_id", 4)} <> 0 THEN sg END AS score_greedy,
   bucket::BIGINT AS length_bucket_id, 'Qwen/Qwen3-235B-A22B-Instruct-2507' AS model, true AS rule_based FROM ruled""",
     "pipeline_end_to_end": E2E,
+    "teacher_translations": f"WITH {segments()} SELECT source_id, {ending('length(txt) // 2')} AS greedy_text, {ending('length(txt) // 3')} AS sample_text FROM src",
+    "teacher_candidates": f"WITH {segments()} SELECT source_id, 8::BIGINT AS n, md5(array_to_string([{', '.join(ending(f'length(txt) // 3 - {i}') for i in range(8))}], '|')) AS translations_md5 FROM src",
+    "judge_filter": f"WITH {segments()} SELECT source_id, CASE WHEN length({JUDGE_BODY}) % 3 <> 0 THEN 'pass' ELSE 'length' END AS reason FROM src",
+    "idempotency_key": f"""WITH {segments()}, said AS (SELECT source_id, {prompt(prompts.TRANSLATOR_USER, source_lang=quoted('en'), src_lang_code=quoted('en'), target_lang=quoted('fr'), tgt_lang_code=quoted('fr'), text='txt')} AS content FROM src)
+SELECT source_id, substr(sha1('{{"messages": [{{"content": {json.dumps(prompts.TRANSLATOR_SYSTEM)}, "role": "system"}}, {{"content": ' || to_json(content)::VARCHAR || ', "role": "user"}}], "n": 1}}||' || source_id), 1, 24) AS key FROM said""",
+    "length_distribution": f"""WITH {PAIRS}, wanted AS (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS quantile),
+sizes AS (SELECT 'source' AS side, length(s) AS n FROM pairs UNION ALL SELECT 'target', length(t) FROM pairs),
+placed AS (SELECT side, n, row_number() OVER (PARTITION BY side ORDER BY n) - 1 AS rn, count(*) OVER (PARTITION BY side) - 1 AS top FROM sizes WHERE n IS NOT NULL),
+near AS (SELECT side, quantile, quantile * max(top) AS spot, max(n) FILTER (rn = floor(quantile * top)) AS low, max(n) FILTER (rn = ceil(quantile * top)) AS high FROM placed, wanted GROUP BY side, quantile)
+SELECT side, quantile, round(low + (spot - floor(spot)) * (high - low), 6)::DOUBLE AS chars FROM near""",
+    "jsonl_sink": "SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang, md5(text) AS text_md5 FROM documents",
+    "parquet_sink": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
+    "text_sink": f"SELECT md5(part) AS line_md5, count(*) AS n FROM ({split(lines('text'))}) GROUP BY 1",
+    "sharded_sink": f"SELECT doc_id, {shard("'s' || doc_id", 4)} AS shard, md5(text) AS text_md5 FROM documents",
+    "shard_files": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
+    "text_field_choice": "SELECT doc_id::VARCHAR AS doc_id, md5(text) AS text_md5 FROM documents WHERE doc_id % 7 <> 0 AND text IS NOT NULL",
+    "settings": "SELECT count(*) AS documents, 3::BIGINT AS min_chars, 8::BIGINT AS candidates, 2::BIGINT AS buckets, 1::BIGINT AS refused FROM documents WHERE lang = 'en' AND length(text) BETWEEN 3 AND 5000",
+    "stage_run": f"SELECT 'en->fr' AS pair_id, source_id, source_text, target_text, metricx_qe_score_best, improvement, segment_type, length_bucket_id FROM ({E2E}) WHERE reason = 'pass'",
+    "stage_rejects": f"SELECT source_id, reason FROM ({E2E}) WHERE reason <> 'pass'",
+    "stage_resume": f"{SAMPLED} SELECT source_id, imp AS improvement, bucket::BIGINT AS length_bucket_id FROM pre ORDER BY source_id LIMIT 600",
+    "stage_overwrite": f"{SAMPLED} SELECT 1::BIGINT AS refused, least(100, (SELECT count(*) FROM seg))::BIGINT AS kept, count(*) AS anew, count(*) AS told FROM pre",
+    "client_retries": f"WITH {segments()} SELECT source_id, CASE WHEN length(txt) % 4 < 3 THEN length(txt) ELSE -1 END::BIGINT AS chars FROM src",
 }

@@ -9,12 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline import config
+from loomline import config, schemas
 from loomline.functions import prompts
 from loomline.functions import text as X
 from loomline.operators import export, filters, sample, score, segment, select, teacher
 from loomline.plans.fused import fused
-from loomline.sources import corpus
+from loomline.plans.stages import Options, run_stage
+from loomline.sources import corpus, sinks
 
 EDGES = config.DEFAULTS["bucketing"]["boundaries"]
 LANGS = {"en": "eng", "fr": "fra", "de": "deu"}
@@ -368,8 +369,161 @@ def judge_filter(spark, sf_dir):
 
 
 def length_distribution(spark, sf_dir):
-    """Quantiles of lengths; the quantiles of the two engines aren't defined alike, so there is no SQL."""
-    return filters.length_distribution(_pairs(spark, sf_dir))
+    """Quantiles of both sides' lengths, a row each."""
+    sides = filters.length_distribution(_pairs(spark, sf_dir)).select(F.expr("inline(array(named_struct('side', 'source', 'chars', source_chars), named_struct('side', 'target', 'chars', target_chars)))"))
+    at = F.array(*[F.lit(q) for q in filters.QUANTILES])
+    rows = sides.select("side", F.explode(F.arrays_zip(at.alias("quantile"), F.col("chars").alias("chars"))).alias("q"))
+    return rows.select("side", F.col("q.quantile").alias("quantile"), F.round("q.chars", 6).alias("chars"))
+
+
+def _texts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+
+
+def _digests(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "lang", F.md5("text").alias("text_md5"))
+
+
+def jsonl_sink(spark, sf_dir):
+    """Documents as JSON lines and back, nulls and all, through a schema."""
+    path = f"{sinks.scratch(spark)}/documents.jsonl"
+    sinks.write_jsonl(_texts(spark, sf_dir).withColumn("lang", F.expr("if(doc_id % 5 = 0, null, lang)")), path)
+    return _digests(corpus.read_jsonl(spark, path, "doc_id long, text string, lang string"))
+
+
+def parquet_sink(spark, sf_dir):
+    path = f"{sinks.scratch(spark)}/documents.parquet"
+    sinks.write(_texts(spark, sf_dir), path, "parquet", "zstd")
+    return _digests(corpus.read_parquet(spark, path))
+
+
+def text_sink(spark, sf_dir):
+    """Lines of text and back."""
+    path = f"{sinks.scratch(spark)}/lines"
+    sinks.write_text(table(spark, sf_dir, "documents").select(F.explode(F.expr(X.split_lines("text"))).alias("value")), path)
+    return corpus.read_text(spark, path).groupBy(F.md5("value").alias("line_md5")).agg(F.count("*").alias("n"))
+
+
+def sharded_sink(spark, sf_dir):
+    """One folder a shard, read back by shard."""
+    path = f"{sinks.scratch(spark)}/shards"
+    sinks.write_sharded(_texts(spark, sf_dir).withColumn("source_id", F.concat(F.lit("s"), "doc_id")), path, 4)
+    back = spark.read.schema("doc_id long, text string, lang string, source_id string, shard int").json(path)
+    return back.select("doc_id", *_long("shard"), F.md5("text").alias("text_md5"))
+
+
+def shard_files(spark, sf_dir):
+    """A table written by four shards on their own, found as one by its name."""
+    folder = sinks.scratch(spark)
+    docs = _texts(spark, sf_dir).withColumn("source_id", F.concat(F.lit("s"), "doc_id"))
+    for k in range(4):
+        sinks.write_jsonl(docs.filter(F.expr(X.shard_of("source_id", 4)) == k), sinks.shard_path(f"{folder}/t.jsonl", k, 4))
+    return _digests(corpus.read_jsonl(spark, f"{folder}/t.jsonl", "doc_id long, text string, lang string"))
+
+
+def text_field_choice(spark, sf_dir):
+    """A corpus whose texts stand under content, one of them null."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.expr("if(doc_id % 7 = 0, null, text)").alias("content"))
+    return corpus.corpus_documents(docs).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def settings(spark, sf_dir):
+    """Settings over defaults, checked: what a run reads of them."""
+    over = {"segmentation": {"min_chars": 3}, "bucketing": {"boundaries": [0, 5, 50]}, "data": {"src_lang": "eng", "lang_map": {"eng": "en"}}}
+    cfg = config.dry_run(config.merged(config.DEFAULTS, over))
+    config.check(cfg)
+    try:
+        config.check(config.merged(cfg, {"data": {"sample_pool_size": 0}}))
+        refused = False
+    except ValueError:
+        refused = True
+    seg, made = cfg["segmentation"], {"min_chars": cfg["segmentation"]["min_chars"], "candidates": cfg["final_generation"]["num_candidates"], "buckets": len(cfg["bucketing"]["boundaries"]) - 1, "refused": int(refused)}
+    fits = F.length("text").between(seg["min_chars"], seg["max_chars"])
+    docs = table(spark, sf_dir, "documents").filter(F.col("lang") == config.languages(cfg)[1]).filter(fits)
+    return docs.agg(F.count("*").alias("documents")).select("documents", *[F.lit(v).cast("long").alias(k) for k, v in made.items()])
+
+
+def _run(spark, sf_dir, **over) -> dict:
+    """Settings of a run in a new folder over the test corpus, whose language isn't told apart."""
+    folder = sinks.scratch(spark)
+    spread(table(spark, sf_dir, "documents").select("doc_id", "text")).write.parquet(f"{folder}/corpus.parquet")
+    return config.merged(SMALL, {"run": {"out_dir": f"{folder}/run", "log_level": "WARNING"}, "data": {"path": f"{folder}/corpus.parquet"}, "metricx": {"cache_db": f"{folder}/cache"}, **over})
+
+
+def stage_run(spark, sf_dir):
+    """All seven stages, each a table: the final rows."""
+    cfg = _run(spark, sf_dir)
+    final = run_stage(spark, cfg, "all", Options(client="stub"))[-1]
+    rows = spark.read.schema("pair_id string, source_text string, target_text string, metricx_qe_score_best double, selection struct<source_id: string, improvement: double, segment_type: string, length_bucket_id: long>").json(final)
+    return rows.select("pair_id", F.col("selection.source_id").alias("source_id"), "source_text", "target_text", "metricx_qe_score_best", *[F.col(f"selection.{c}").alias(c) for c in ("improvement", "segment_type", "length_bucket_id")])
+
+
+def stage_rejects(spark, sf_dir):
+    """The table of rejected pairs with their reasons, by two shards of the filtering stage."""
+    cfg = _run(spark, sf_dir)
+    run_stage(spark, cfg, "sample_sources,prefilter_score,select_sources,generate_128,score_select_best", Options(client="stub"))
+    for k in range(2):
+        run_stage(spark, cfg, "format_filter", Options(client="stub", shard_id=k, num_shards=2))
+    return corpus.read_jsonl(spark, f"{cfg['run']['out_dir']}/rejected.jsonl", schemas.REJECTED).select("source_id", F.col("reject_reason").alias("reason"))
+
+
+def stage_resume(spark, sf_dir):
+    """A stage run twice for 300 sources each, committed in parts of 64: the second run goes on where the first ended."""
+    cfg = _run(spark, sf_dir, run={"out_dir": f"{sinks.scratch(spark)}/run", "log_level": "WARNING", "commit_rows": 64})
+    run_stage(spark, cfg, "sample_sources")
+    for _ in range(2):
+        run_stage(spark, cfg, "prefilter_score", Options(limit=300, resume=True, client="stub"))
+    rows = spark.read.schema(schemas.PREFILTERED).json(f"{cfg['run']['out_dir']}/prefilter_candidates.jsonl")
+    return rows.select("source_id", "improvement", *_long("length_bucket_id"))
+
+
+def stage_overwrite(spark, sf_dir):
+    """A stage whose table is there: refused, kept with resume, made anew with overwrite; and what its statistics say."""
+    cfg = _run(spark, sf_dir)
+    run_stage(spark, cfg, "sample_sources", Options(limit=100))
+    try:
+        run_stage(spark, cfg, "sample_sources")
+        refused = 0
+    except FileExistsError:
+        refused = 1
+    count = lambda: spark.read.schema(schemas.SAMPLED).json(f"{cfg['run']['out_dir']}/sampled_sources.jsonl").count()
+    run_stage(spark, cfg, "sample_sources", Options(resume=True))
+    kept = count()
+    run_stage(spark, cfg, "sample_sources", Options(overwrite=True))
+    stats = spark.read.text(f"{cfg['run']['out_dir']}/stats/sample_sources.shard00")
+    told = F.get_json_object("value", "$.sample_sources.rows").cast("long")
+    return stats.select(F.lit(refused).cast("long").alias("refused"), F.lit(kept).cast("long").alias("kept"), F.lit(count()).cast("long").alias("anew"), told.alias("told"))
+
+
+class Flaky:
+    """A server that fails by the request's text: at first, or for good."""
+
+    def __call__(self, payload: dict, headers: dict) -> dict:
+        text, key = payload["messages"][-1]["content"].split("Text:\n", 1)[1], headers["Idempotency-Key"]
+        self.asked = self.asked + 1 if getattr(self, "key", None) == key else 1
+        self.key = key
+        if self.asked <= len(text) % 4:
+            if len(text) % 2:
+                raise OSError("down")
+            return {"choices": [{"message": {"content": "Internal Server Error"}}]}
+        return {"choices": [{"message": {"content": text[::-1]}}]}
+
+
+def client_retries(spark, sf_dir):
+    """Requests of which some fail or say nothing valid at first: with three attempts, two of length 3 modulo 4 fail for good."""
+    rows = _sources(spark, sf_dir).select("source_id", F.expr(prompts.translation_messages("source_text", "en", "fr")).alias("messages"))
+
+    def make() -> teacher.Client:
+        return teacher.HttpClient("http://none", "m", max_attempts=3, backoff_s=[0.0], send=Flaky(), sleep=lambda s: None, error_substrings=("internal server error",))
+
+    def ask(client: teacher.Client, messages: list[dict], source_id: str) -> dict:
+        try:
+            return {"reply": client.generate(messages, teacher.Generation(0.0), source_id)[0]}
+        except Exception:
+            return {"reply": None}
+
+    made = teacher.call_model(rows, make, [ask], "source_id string, reply string", 1)
+    return made.select("source_id", F.coalesce(F.length("reply").cast("long"), F.lit(-1).cast("long")).alias("chars"))
 
 
 FUNCTIONS = [
@@ -377,7 +531,8 @@ FUNCTIONS = [
     bucket_histogram, stratified_sample, stratified_sample_truncated, stratified_sample_quota, reservoir_sample, lang_map, doc_id_choice, lang_scan, dummy_score, improvement,
     select_topn_global, select_topn_per_bucket, candidate_expansion, best_candidate, topk_candidates, last_wins_dedup, forbidden_markers, word_overlap, length_ratio, rule_filter,
     rejected_by_reason, response_validity, score_parsing, judge_parse, prompt_render, resume_antijoin, resume_counts, score_cache_join, cache_upsert, export_final, pipeline_end_to_end,
-    idempotency_key, teacher_translations, teacher_candidates, judge_filter, length_distribution,
+    idempotency_key, teacher_translations, teacher_candidates, judge_filter, length_distribution, jsonl_sink, parquet_sink, text_sink, sharded_sink, shard_files, text_field_choice, settings,
+    stage_run, stage_rejects, stage_resume, stage_overwrite, client_retries,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in FUNCTIONS}

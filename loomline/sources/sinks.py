@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.functions.text import shard_of
@@ -26,6 +29,17 @@ def write_text(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share. A machine's own folder is taken only in local mode."""
+    sc = spark.sparkContext
+    shared = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="loomline-")
+    return f"{shared.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def shard_path(path: str, shard: int, shards: int) -> str:
     if shards <= 1:
         return path
