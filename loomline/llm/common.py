@@ -28,12 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    One is made here only where spark.checkpoint.dir is unset and none was set
-    before, as in tests.
+    One is made here only where spark.checkpoint.dir is unset, none was set before and
+    driver and executors are one process, as in tests; a cluster has to name one.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loomline-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomline-checkpoint-"))
     return sc.getCheckpointDir()
 
 

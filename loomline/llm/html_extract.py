@@ -10,41 +10,48 @@ that is chosen they are text like any other. Votes are counted per host
 in Spark; paths with a tenth of a host's votes or more are its winning paths, most
 votes first, but one with more than a tenth comes before all paths inside it. The
 second pass takes the text below the first winning path that a page has, or below
-the page's own container if it has none.
+the page's own container if it has none; a path that holds next to nothing of a page
+beside another with many votes is passed over, as on a host of two templates.
 
 Both passes leave out what isn't the article: scripts, styles, forms, navigation,
 page headers, footers, sidebars, and elements whose class, id or role names a menu,
-notice, advert, comment section or the like.
+notice, advert, comment section or the like and no content beside it. A <header> in
+<article>, <main> or <section> is text.
 
 Defined cases: null or empty html gives an empty text; a page without a container
 uses its whole body; a page of nothing but link items has no vote; ties of votes go to the smaller path; null or odd urls share
 the host ""; repeated rows vote each and give equal rows; an empty table gives no
-rows; input columns named like a result column are replaced.
+rows; input columns named like a result column are replaced; a page of any length or
+depth of nesting is parsed whole, at a cost in proportion to its length.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.common import column, cut, map_text
+from loomline.llm.common import column, cut, map_text, unused
 
 #: Percent of a host's votes that a winning path has at least, so a host has ten at most.
 WINNING_PERCENT = 10
+#: Percent of a wide path's text that a path with more votes holds at least.
+SMALL = 20
 #: Winning paths that are broadcast at most; beyond it pages meet them in a join.
 BROADCAST_PATHS = 50_000
 
 TAG = re.compile(
-    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>?|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']|"[^"]*+"|'[^']*+')*+)(?:>|\Z|(?=["'])))""",
+    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>?|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?)*+)(?:>|\Z))""",
     re.S,
 )
-ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""")
 WORDS = re.compile(r"[a-z]+")
 
 # Kinds of elements and the words that name page furniture.
@@ -58,9 +65,19 @@ DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "svg",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 FURNITURE = {
-    "ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "sidebar", "comment", "comments", "disqus", "reply", "replies",
-    "cookie", "cookies", "consent", "notice", "notices", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "share", "sharing", "social", "related",
-    "newsletter", "subscribe", "popup", "modal", "footer", "header", "masthead", "widget", "pagination", "pager", "skip", "toolbar", "login", "signup", "search",
+    "ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "sidebar", "disqus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs",
+    "newsletter", "popup", "modal", "footer", "masthead", "pagination", "pager", "toolbar", "signup", "consent",
+}
+#: These name furniture too, but an article's own parts as well ("related-work", "share-price"): they count only in classes without a word of content.
+DOUBTFUL = {
+    "promo", "banner", "comment", "comments", "reply", "replies", "cookie", "cookies", "notice", "notices", "menu", "share", "sharing", "social", "related",
+    "subscribe", "header", "widget", "skip", "login", "search",
+}
+#: Words that tell where or how a thing stands, not what it says.
+STANDING = {
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "col", "column", "container", "content", "count", "footer", "form",
+    "group", "header", "heading", "icon", "icons", "id", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "media", "outer", "page", "panel", "policy", "post", "posts",
+    "primary", "right", "row", "secondary", "section", "site", "slot", "thread", "title", "to", "top", "tree", "unit", "user", "wrap", "wrapper",
 }
 #: Classes with these starts tell how a page is laid out, not what the element is.
 LAYOUT = ("has-", "no-", "with-", "without-")
@@ -70,19 +87,39 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 
 class Page:
-    """Containers as (parent, generalised path) and blocks as (container, text), in page order."""
+    """Containers in page order, each with its parent and its step of a generalised path, and blocks as (container, text).
+
+    A path is spelt out only where it is asked for; the digest of a container's path is
+    made from its parent's, so pages of any depth cost their length.
+    """
 
     def __init__(self, html: str):
         self.parents = [-1]
-        self.paths = [""]
+        self.steps = [""]
+        self.digests = [xxhash.xxh64_intdigest(b"")]
+        self.in_article = [False]
+        self.in_main = [False]
         self.blocks: list[tuple[int, str]] = []
         self.marks: set[int] = set()  # blocks of a single character
         self.links: set[int] = set()  # items that are links, as a menu has them
         self._parse(html)
 
+    @property
+    def paths(self) -> list[str]:
+        return [self.path(c) for c in range(len(self.parents))]
+
+    def path(self, at: int) -> str:
+        steps = []
+        while at > 0:
+            steps.append(self.steps[at])
+            at = self.parents[at]
+        return "".join(reversed(steps))
+
     def _parse(self, html: str) -> None:
         stack: list[tuple[str, int]] = []  # open elements and the container that each is, or -1
+        open_now: Counter[str] = Counter()  # open elements by name
         inside = [0]  # containers
+        digests = [xxhash.xxh64()]  # of their paths
         drop_at = -1  # depth of the stack at which the dropped element stands
         parts: list[str] = []
         link = linked = 0
@@ -94,7 +131,7 @@ class Page:
                 text = " ".join(unescape("".join(parts)).split())
                 item = bool(stack) and stack[-1][0] in ("li", "dd", "dt")
                 if text:
-                    if item and linked >= 0.8 * len(text) and "/article." not in (path := self.paths[inside[-1]]) and "/main." not in path:
+                    if item and linked >= 0.8 * len(text) and not (self.in_article[inside[-1]] or self.in_main[inside[-1]]):
                         self.links.add(len(self.blocks))
                     elif len(text) == 1 and not (stack and stack[-1][0] in HEADINGS):
                         self.marks.add(len(self.blocks))
@@ -105,8 +142,11 @@ class Page:
         def close(depth: int) -> None:
             nonlocal drop_at
             while len(stack) > depth:
-                if stack.pop()[1] >= 0:
+                name, container = stack.pop()
+                open_now[name] -= 1
+                if container >= 0:
                     inside.pop()
+                    digests.pop()
             if drop_at >= len(stack):
                 drop_at = -1
 
@@ -128,7 +168,7 @@ class Page:
                 if name == "a":
                     link = max(0, link - 1)
                     continue
-                open_at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+                open_at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1) if open_now[name] else -1
                 if open_at >= 0:
                     if name in BLOCKS:
                         flush()
@@ -163,34 +203,43 @@ class Page:
             if tag["attrs"].endswith("/") and name not in BLOCKS:
                 continue
             attrs = {k.lower(): a or b or c or "" for k, a, b, c in ATTR.findall(tag["attrs"])} if "=" in tag["attrs"] else {}
-            if drop_at < 0 and self._furniture(name, attrs, stack):
+            if drop_at < 0 and self._furniture(name, attrs, bool(open_now["article"] or open_now["main"] or open_now["section"])):
                 flush()
                 drop_at = len(stack)
                 stack.append((name, -1))
+                open_now[name] += 1
             elif name in CONTAINERS and drop_at < 0:
                 kinds = ".".join(sorted({re.sub(r"\d+", "#", x) for x in attrs.get("class", "").lower().split()}))
                 self.parents.append(inside[-1])
-                self.paths.append(f"{self.paths[inside[-1]]}/{name}.{kinds}")
+                self.steps.append(f"/{name}.{kinds}")
+                digests.append(digests[-1].copy())
+                digests[-1].update(self.steps[-1].encode("utf-8", "replace"))
+                self.digests.append(digests[-1].intdigest())
+                self.in_article.append(name == "article" or self.in_article[inside[-1]])
+                self.in_main.append(name == "main" or self.in_main[inside[-1]])
                 inside.append(len(self.parents) - 1)
                 stack.append((name, inside[-1]))
+                open_now[name] += 1
             elif name in BLOCKS or drop_at >= 0:
                 stack.append((name, -1))
+                open_now[name] += 1
         flush()
 
     @staticmethod
-    def _furniture(name: str, attrs: dict[str, str], stack: list[tuple[str, int]]) -> bool:
-        if name == "header" and any(x == "article" for x, _ in stack):
-            return False  # an article's own header holds its title
+    def _furniture(name: str, attrs: dict[str, str], within: bool) -> bool:
+        """within: the element stands in an article, main or section."""
+        if name == "header" and within:
+            return False  # it holds a title
         if name in DROPPED:
             return True
         if not attrs or name in HEADINGS or name in ("html", "body", "main"):
             return False
         classes = [c for c in attrs.get("class", "").lower().split() if not c.startswith(LAYOUT)]
-        kinds = {w for x in (*classes, attrs.get("id", "").lower()) for w in WORDS.findall(x)}
+        named = [set(WORDS.findall(x)) for x in (*classes, attrs.get("id", "").lower())]
         if name == "article":
-            return bool(kinds & {"comment", "comments", "reply"})
+            return any(x & {"comment", "comments", "reply"} for x in named)
         hidden = attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
-        return hidden or attrs.get("role", "").lower() in ROLES or bool(kinds & FURNITURE)
+        return hidden or attrs.get("role", "").lower() in ROLES or any(x & FURNITURE or (x & DOUBTFUL and x <= DOUBTFUL | STANDING) for x in named)
 
     def best(self) -> int:
         """The container that the page votes for."""
@@ -209,7 +258,7 @@ class Page:
             if total[most] < total[at] or total[most] == 0:
                 break
             at = most
-            if "/article." in self.paths[at] and not any("/article." in self.paths[c][len(self.paths[at]) :] for c in below[at]):
+            if self.in_article[at] and not any(self.steps[c].startswith("/article.") for c in below[at]):
                 break
         return at
 
@@ -220,9 +269,19 @@ class Page:
             inside[c] = c in wanted or (c > 0 and inside[self.parents[c]])
         return "\n".join(t for c, t in self.blocks if inside[c])
 
-    def extract(self, winning: list[str]) -> str:
-        for path in winning:
-            if (wanted := {c for c, p in enumerate(self.paths) if p == path}) and (text := self.text(wanted)):
+    def extract(self, winning: list[tuple[str, bool]]) -> str:
+        """The text below the first of the winning paths (path, wide) that the page has.
+
+        One that holds less than SMALL percent of what a wide path behind it holds is
+        passed over: the page is of that path's template.
+        """
+        at: dict[int, set[int]] = {}
+        if winning:
+            for c, d in enumerate(self.digests):
+                at.setdefault(d, set()).add(c)
+        found = [(text, wide) for path, wide in winning if (wanted := at.get(xxhash.xxh64_intdigest(path.encode("utf-8", "replace")))) and (text := self.text(wanted))]
+        for i, (text, _) in enumerate(found):
+            if not any(wide and 100 * len(text) < SMALL * len(more) for more, wide in found[i + 1 :]):
                 return text
         return self.text({self.best()})
 
@@ -235,13 +294,13 @@ OUT = [column("text", T.StringType()), column("n_chars", T.LongType())]
 
 
 def winning_paths(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """(host, paths): each host's winning paths, most votes first."""
+    """(host, paths): each host's winning paths (path, wide), most votes first; wide ones have more than WINNING_PERCENT."""
 
     def vote(texts: list[bytes | None]) -> dict[str, list]:
         votes = []
         for data in texts:
             page = Page((data or b"").decode("utf-8"))
-            votes.append(page.paths[page.best()] if len(page.blocks) > len(page.links) else None)
+            votes.append(page.path(page.best()) if len(page.blocks) > len(page.links) else None)
         return {"path": votes}
 
     votes = map_text(pages.select(host(url).alias("host"), F.col(html).alias("html")), vote, [column("path", T.StringType())], "html", ["host"])
@@ -250,20 +309,21 @@ def winning_paths(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     listed = share.groupBy("host").agg(F.collect_list(F.struct("n", "all", "path")).alias("w"))
     # A path ranks by the most votes of those it comes before, and is smaller than the paths inside it.
     covers = f"o.path = r.path or (100 * r.n > {WINNING_PERCENT} * r.all and startswith(o.path, concat(r.path, '/')))"
-    ranked = F.expr(f"sort_array(transform(w, r -> struct(-array_max(transform(filter(w, o -> {covers}), o -> o.n)) as n, r.path as path)))")
-    return listed.select("host", ranked["path"].alias("paths"))
+    ranked = F.expr(f"sort_array(transform(w, r -> struct(-array_max(transform(filter(w, o -> {covers}), o -> o.n)) as n, r.path as path, 100 * r.n > {WINNING_PERCENT} * r.all as wide)))")
+    return listed.select("host", F.transform(ranked, lambda r: F.struct(r["path"].alias("path"), r["wide"].alias("wide"))).alias("paths"))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_paths: int = BROADCAST_PATHS) -> DataFrame:
     """pages with text and n_chars."""
     winners = cut(winning_paths(pages, html, url))
+    own, paths = unused(pages, "host"), unused(pages, "paths")
     hosts = winners.limit(broadcast_paths // 10 + 1).count()
     if hosts > broadcast_paths // 10:
-        found = pages.withColumn("__host", host(url)).join(winners.select(F.col("host").alias("__host"), F.col("paths").alias("__paths")), "__host", "left")
-        return _extract(found, html, "__paths").drop("__host", "__paths")
-    known = {r["host"]: list(r["paths"]) for r in winners.collect()}
+        found = pages.withColumn(own, host(url)).join(winners.select(F.col("host").alias(own), F.col("paths").alias(paths)), own, "left")
+        return _extract(found, html, paths).drop(own, paths)
+    known = {r["host"]: [(p["path"], p["wide"]) for p in r["paths"]] for r in winners.collect()}
     shared = pages.sparkSession.sparkContext.broadcast(known)
-    return _extract(pages.withColumn("__host", host(url)), html, "__host", shared).drop("__host")
+    return _extract(pages.withColumn(own, host(url)), html, own, shared).drop(own)
 
 
 def _extract(pages: DataFrame, html: str, key: str, shared=None) -> DataFrame:
@@ -277,7 +337,7 @@ def _extract(pages: DataFrame, html: str, key: str, shared=None) -> DataFrame:
             keys = batch.column(columns.index(key)).to_pylist()
             texts = []
             for k, data in zip(keys, batch.column(columns.index(html)).to_pylist()):
-                winning = (k or []) if shared is None else shared.value.get(k, [])
+                winning = [(w["path"], w["wide"]) for w in k or ()] if shared is None else shared.value.get(k, [])
                 texts.append(Page(data).extract(winning) if data else "")
             cols = [batch.column(columns.index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
