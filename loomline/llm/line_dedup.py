@@ -5,11 +5,14 @@ number of documents that hold it. insert() and delete() add and take away whole
 document sets by summing signed counts, so a deletion restores every line that it
 made rare again. Each shard also has a cuckoo filter of the keys that reached the
 threshold; a filter takes insertions and deletions of keys that cross it. Cleaning
-asks the filter first and confirms each hit in the exact table.
+asks the filter first and confirms each hit in the exact table: the filters and the
+frequent keys are broadcast while those are few; beyond BROADCAST_KEYS each line goes to its
+shard's filter, and what the filter knows is joined with the table. Both give the same rows.
 
 Defined cases: null or empty text is one empty line; keys under min_chars are
-never dropped; a row is a document, so repeated rows count each; an empty table
-gives no rows; input columns named like a result column are replaced.
+never dropped; a row is a document, so repeated rows count each, and a key found in
+just min_docs documents is dropped; texts and lines of any length are read whole; an
+empty table gives no rows; input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -24,13 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.common import SPACE, column, cut, map_text
+from loomline.llm.common import SPACE, column, cut, map_text, shuffle_parts, unused
 
 MIN_DOCS = 10
 MIN_CHARS = 1
+#: Shards of an index that is kept. line_dedup() takes as many as the session has shuffle partitions if those are more.
 SHARDS = 16
-#: Frequent keys that are broadcast at most (16 bytes each, and their filters); beyond it lines meet the table in a join.
+#: Frequent keys that are broadcast at most (some 100 bytes each in a worker, and their filters).
 BROADCAST_KEYS = 200_000
+#: Lines that one task asks a shard's filter for, about.
+ASKED_LINES = 1_000_000
 #: Distinct keys that a counting task holds before it passes them on.
 HELD_KEYS = 400_000
 
@@ -212,9 +218,9 @@ OUT = [column("clean_text", T.StringType()), column("n_lines", T.LongType()), co
 def clean(docs: DataFrame, index: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, filters: DataFrame | None = None, broadcast_keys: int = BROADCAST_KEYS, shards: int = SHARDS) -> DataFrame:
     """docs with clean_text, n_lines and n_dropped: without the lines found in min_docs documents or more."""
     frequent = cut(index.filter(F.col("n") >= min_docs))
-    if frequent.limit(broadcast_keys + 1).count() > broadcast_keys:
-        return _clean_by_join(docs, frequent, text, min_chars)
     filters = build_filters(frequent) if filters is None else filters
+    if frequent.limit(broadcast_keys + 1).count() > broadcast_keys:
+        return _clean_by_join(docs, frequent, filters, text, min_chars, shards)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(
         ({r["shard"]: bytes(r["payload"]) for r in filters.collect()}, {bytes(r["key"]) for r in frequent.select("key").collect()}),
@@ -255,15 +261,39 @@ def _clean_by_broadcast(docs: DataFrame, shared, text: str, min_chars: int, shar
             out["n_dropped"].append(len(lines) - len(kept))
         return out
 
-    return map_text(docs, fn, OUT, text)
+    return map_text(docs, fn, OUT, text, state=state)
 
 
-def _clean_by_join(docs: DataFrame, frequent: DataFrame, text: str, min_chars: int) -> DataFrame:
-    """The same rows when the frequent keys are too many to broadcast: lines meet the exact table by key."""
+def _asked(lines: DataFrame, filters: DataFrame) -> DataFrame:
+    """The lines (a, b, shard, key, nos) that their shard's filter knows. A filter goes to each task that has some of its shard's lines."""
+    lines = cut(lines)
+    tasks = cut(lines.groupBy("shard").agg(F.ceil(F.count("*") / ASKED_LINES).cast("long").alias("tasks")))
+    dealt = lines.join(tasks, "shard").select("shard", F.pmod(F.col("a"), F.col("tasks")).alias("task"), F.lit(None).cast("binary").alias("payload"), "a", "b", "key", "nos")
+    heads = filters.join(tasks, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), "payload")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, None
+        for batch in batches:
+            known = []
+            for shard, task, payload, key in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 5))):
+                if (shard, task) != at:
+                    at, own = (shard, task), None
+                if payload is not None:
+                    own = CuckooFilter.of(payload)
+                known.append(payload is None and own is not None and key in own)
+            yield batch.select([3, 4, 5, 6]).filter(pa.array(known, pa.bool_()))
+
+    both = heads.unionByName(dealt, allowMissingColumns=True).select("shard", "task", "payload", "a", "b", "key", "nos")
+    placed = both.repartition("shard", "task").sortWithinPartitions("shard", "task", F.col("payload").isNull())
+    return placed.mapInArrow(ask, "a long, b string, key binary, nos array<int>")
+
+
+def _clean_by_join(docs: DataFrame, frequent: DataFrame, filters: DataFrame, text: str, min_chars: int, shards: int) -> DataFrame:
+    """The same rows when the frequent keys are too many to broadcast: lines meet their shard's filter, then the exact table by key."""
     new = {f.name for f in OUT}
-    docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new or c == text])
+    mark, gone, rows = unused(docs, "doc"), unused(docs, "nos"), unused(docs, "lines")
     doc = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    marked = docs.withColumn("__doc", F.struct(doc.alias("a"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("b")))
+    marked = docs.withColumn(mark, F.struct(doc.alias("a"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("b")))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,19 +306,27 @@ def _clean_by_join(docs: DataFrame, frequent: DataFrame, text: str, min_chars: i
                         keys.setdefault(key_hash(key), []).append(no)
                 n = len(keys)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([a[at]] * n, pa.int64()), pa.array([b[at]] * n, pa.string()), pa.array(list(keys), pa.binary()), pa.array(list(keys.values()), pa.list_(pa.int32()))],
-                    names=["a", "b", "key", "nos"],
+                    [
+                        pa.array([a[at]] * n, pa.int64()),
+                        pa.array([b[at]] * n, pa.string()),
+                        pa.array([shard_of(k, shards) for k in keys], pa.int32()),
+                        pa.array(list(keys), pa.binary()),
+                        pa.array(list(keys.values()), pa.list_(pa.int32())),
+                    ],
+                    names=["a", "b", "shard", "key", "nos"],
                 )
 
-    texts = marked.select("__doc.a", "__doc.b", F.col(text).alias("text")).dropDuplicates(["a", "b"])
-    hits = texts.mapInArrow(lines, "a long, b string, key binary, nos array<int>").join(frequent.select("key"), "key", "left_semi")
-    dropped = hits.groupBy("a", "b").agg(F.flatten(F.collect_list("nos")).alias("__nos")).select(F.struct("a", "b").alias("__doc"), "__nos")
-    lines_of = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    joined = marked.join(dropped, "__doc", "left").withColumn("__nos", F.coalesce("__nos", F.array().cast("array<int>"))).withColumn("__lines", lines_of)
-    kept = F.array_join(F.filter("__lines", lambda _, i: ~F.array_contains("__nos", i)), "\n")
-    return joined.select(*[c for c in docs.columns if c.lower() not in new], kept.alias("clean_text"), F.size("__lines").cast("long").alias("n_lines"), F.size("__nos").cast("long").alias("n_dropped"))
+    texts = marked.select(F.col(mark)["a"].alias("a"), F.col(mark)["b"].alias("b"), F.col(text).alias("text")).dropDuplicates(["a", "b"])
+    asked = _asked(texts.mapInArrow(lines, "a long, b string, shard int, key binary, nos array<int>"), filters)
+    hits = asked.join(frequent.select("key"), "key", "left_semi")
+    dropped = hits.groupBy("a", "b").agg(F.array_sort(F.flatten(F.collect_list("nos"))).alias(gone)).select(F.struct("a", "b").alias(mark), gone)
+    joined = marked.join(dropped, mark, "left").withColumn(gone, F.coalesce(gone, F.array().cast("array<int>"))).withColumn(rows, F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))
+    kept = F.expr(rf"array_join(transform(array_except(sequence(0, size({rows}) - 1), {gone}), i -> {rows}[i]), '\n')")
+    made = [c for c in docs.columns if c.lower() not in new]
+    return joined.select(*[f"`{c}`" for c in made], kept.alias("clean_text"), F.size(rows).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"))
 
 
 def line_dedup(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Index a corpus and clean it by its own index."""
-    return clean(docs, line_counts(docs, text, min_chars=min_chars), text, min_docs, min_chars)
+    shards = max(SHARDS, shuffle_parts(docs.sparkSession))
+    return clean(docs, line_counts(docs, text, shards, min_chars), text, min_docs, min_chars, shards=shards)
