@@ -12,13 +12,19 @@ band: each node is compared with the band's least node first; components of the
 confirmed links follow. Only where a band's nodes still stand in different
 components, those outside the band's largest component are compared with all that
 the estimate allows, nearest first and no further once a link joins two components,
-in blocks of a bounded size. So a group of near copies costs about its size, and no
-link between components is lost within a band. Bands miss a pair at the threshold with probability under 1e-7.
+in blocks of a bounded size. A band with many nodes outside is split first: two sets
+that reach the threshold share one of the first shingles of each, by rarity in the
+band, so only nodes that share such a shingle meet. So a group of near copies costs
+about its size, as does a band of nodes that don't link, and no link between
+components is lost within a band. Bands miss a pair at the threshold with probability
+under 1e-7 where both sets fill the registers. Registers of smaller sets are borrowed
+and their estimates wider, so such candidates are compared on full sets at once.
 
 Defined cases: null or empty text has no shingles, is its own component and kept; a
 text with fewer words than a shingle has its whole sequence as one shingle; repeated
 rows share a component; a null doc_id is never a component's id unless all are null;
-an empty table gives no rows.
+ties have no say, since all that link are one component; other columns of docs aren't
+read, so none can clash; texts of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,8 +49,12 @@ BAND = 4
 MANTISSA = 10
 #: Standard errors that an estimate may lie below the threshold.
 ERRORS = 5
-#: Nodes of a band that are compared in one task's block.
-BLOCK = 2000
+#: Nodes on either side of a task's block of comparisons.
+BLOCK = 500
+#: Nodes outside a band's largest component above which the band is split by rare shingles.
+SPLIT = 500
+#: Parts that the join of bands with their least nodes is dealt in beside the band itself.
+SALTS = 16
 #: Nodes whose ids are broadcast to fetch their texts at most (some 100 bytes each).
 BROADCAST_NODES = 500_000
 #: Words whose hash a task remembers.
@@ -132,7 +142,7 @@ def words_of(data: bytes | None) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, doc: str, text: str, shingle: int) -> DataFrame:
-    """(doc_id, digest, n_shingles, sketch); the digest of the set is null with the sketch where it is empty."""
+    """(doc_id, text_hash, digest, n_shingles, sketch); the digest of the set is null with the sketch where it is empty."""
 
     def fn(texts: list[bytes | None]) -> dict[str, list]:
         hashes = WordHashes()
@@ -144,7 +154,8 @@ def sketches(docs: DataFrame, doc: str, text: str, shingle: int) -> DataFrame:
             out["sketch"].append(sketch(h).tobytes() if len(h) else None)
         return out
 
-    return map_text(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), fn, NODE, "text", ["doc_id"])
+    named = docs.select(F.col(doc).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    return map_text(named, fn, NODE, "text", ["doc_id", "text_hash"])
 
 
 def bands(nodes: DataFrame) -> DataFrame:
@@ -162,7 +173,8 @@ def may_link(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.stack([np.frombuffer(x, np.uint16) for x in batch.column(i).to_pylist()]) for i in (2, 3))
-                good = estimate(a, b, batch.column(4).to_numpy(), batch.column(5).to_numpy()) >= least
+                n, m = batch.column(4).to_numpy(), batch.column(5).to_numpy()
+                good = (estimate(a, b, n, m) >= least) | (np.minimum(n, m) < REGISTERS)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb", "na", "nb")
@@ -230,7 +242,7 @@ def settled_links(rows: DataFrame, shingle: int, similarity: int) -> DataFrame:
     least = least_estimate(similarity)
     width = REGISTERS // BAND
 
-    def compare(number: int, group: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def compare(number: int, block: int, group: list[tuple]) -> Iterator[pa.RecordBatch]:
         outside = [i for i, r in enumerate(group) if r[0]]
         if not outside or len(group) < 2:
             return
@@ -238,6 +250,8 @@ def settled_links(rows: DataFrame, shingle: int, similarity: int) -> DataFrame:
         whole = regs.reshape(len(group), width, BAND)[:, :number]  # the bands before this one
         sizes = np.array([r[4] for r in group])
         _, comp = np.unique([r[2] for r in group], return_inverse=True)
+        # In a block of kind 2 the nodes outside have met each other elsewhere.
+        across = ~np.array([bool(r[0]) for r in group]) if block >> 60 == 2 else np.ones(len(group), bool)
         unpack = zstandard.ZstdDecompressor().decompress
         sets: dict[int, set] = {}
 
@@ -249,14 +263,15 @@ def settled_links(rows: DataFrame, shingle: int, similarity: int) -> DataFrame:
 
         a, b = [], []
         for i in outside:
-            ahead = np.flatnonzero((comp != comp[i]) & (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])))
+            ahead = np.flatnonzero((comp != comp[i]) & across & (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])))
             if number and len(ahead):
                 ahead = ahead[~(whole[ahead] == whole[i]).all(2).any(1)]
             if not len(ahead):
                 continue
             est = estimate(regs[ahead], regs[i], sizes[ahead], sizes[i])
+            near = np.flatnonzero((est >= least) | (np.minimum(sizes[ahead], sizes[i]) < REGISTERS))
             x = None
-            for j in ahead[np.argsort(-est, kind="stable")][: int((est >= least).sum())].tolist():
+            for j in ahead[near[np.argsort(-est[near], kind="stable")]].tolist():
                 if comp[j] == comp[i]:
                     continue
                 x = shingles(i) if x is None else x
@@ -276,48 +291,100 @@ def settled_links(rows: DataFrame, shingle: int, similarity: int) -> DataFrame:
             for row in zip(*cols):
                 if row[:3] != at:
                     if at is not None:
-                        yield from compare(at[1], group)
+                        yield from compare(at[1], at[2], group)
                     at, group = row[:3], []
                 group.append(row[3:])
         if at is not None:
-            yield from compare(at[1], group)
+            yield from compare(at[1], at[2], group)
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """Bands that still hold several components, as settled_links takes them.
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """Bands that hold several components, with the largest one. Counts are aggregated before the shuffle."""
+    held = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
+    return held.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots")).filter("roots > 1 and all > 2")
+
 
-    The largest component of a band is dealt over blocks; every node outside it
-    meets each of them. Counts are aggregated before the shuffle.
+def _dealt(rooted: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(band, number, node, root, outside, block): each node outside the largest component meets every other node of the band in one block.
+
+    Nodes outside are cut into parts, the largest component into others. A block is
+    the whole band if it is small (kind 0), two parts of those outside (1), or a part
+    of them and one of the largest component (2).
     """
-    rooted = banded.join(links, "node", "left").select("band", "number", "node", F.coalesce("root", "node").alias("root"))
-    held = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
-    mixed = held.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots")).filter("roots > 1 and all > 2")
-    placed = rooted.join(mixed.select("band", F.col("top.root").alias("top"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")), "band")
-    outside = F.col("root") != F.col("top")
-    dealt = placed.select(
+    parts = mixed.select(
         "band",
-        "number",
-        "node",
-        "root",
-        outside.alias("outside"),
-        F.explode(F.when(outside, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))).alias("block"),
+        F.col("top.root").alias("top"),
+        F.col("all").alias("size"),
+        F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("top.n")) / BLOCK)).cast("long").alias("outer"),
+        F.greatest(F.lit(1), F.ceil(F.col("top.n") / BLOCK)).cast("long").alias("inner"),
     )
+    placed = rooted.join(parts, "band").withColumn("outside", F.col("root") != F.col("top"))
+    key = "cast({} as long) * 1152921504606846976L + {} * 1073741824L + {}"
+    own = "pmod(xxhash64(node), {})"
+    blocks = F.expr(
+        f"case when size <= {BLOCK} then array(0L)"
+        f" when outside then concat(transform(sequence(0L, outer - 1), j -> {key.format(1, f'least(j, {own.format("outer")})', f'greatest(j, {own.format("outer")})')}),"
+        f" transform(sequence(0L, inner - 1), j -> {key.format(2, own.format('outer'), 'j')}))"
+        f" else transform(sequence(0L, outer - 1), j -> {key.format(2, 'j', own.format('inner'))}) end"
+    )
+    return placed.select("band", "number", "node", "root", "outside", F.explode(blocks).alias("block"))
+
+
+def _split(rooted: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """rooted with a band for each rare shingle that nodes of a band share.
+
+    Of a set of n shingles, all but similarity percent and one more come first by
+    rarity in the band. If two sets share none of those, they can't reach the threshold.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, hashes = zstandard.ZstdDecompressor().decompress, WordHashes()
+        for batch in batches:
+            found = [shingle_hashes(words_of(unpack(x.as_py())), shingle, hashes).view(np.int64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    members = cut(rooted)
+    sets = texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "packed").mapInArrow(run, "node long, shingles array<long>")
+    rows = cut(members.join(sets, "node").select("band", "number", "node", "root", F.explode("shingles").alias("shingle")))
+    often = rows.groupBy("band", "shingle").agg(F.count("*").alias("n"))
+    listed = rows.join(often, ["band", "shingle"]).groupBy("band", "number", "node", "root").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
+    first = listed.withColumn("ranked", F.expr(f"slice(ranked, 1, size(ranked) - cast(ceil(size(ranked) * {similarity} / 100) as int) + 1)"))
+    shared = first.select("band", "number", "node", "root", F.explode("ranked").alias("r")).filter("r.n > 1")
+    return shared.select(F.xxhash64("band", "r.shingle").alias("band"), "number", "node", "root")
+
+
+def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Bands that still hold several components, as settled_links takes them."""
+    rooted = cut(banded.join(links, "node", "left").select("band", "number", "node", F.coalesce("root", "node").alias("root")))
+    mixed = cut(_mixed(rooted))
+    many = mixed.filter(f"all - top.n > {SPLIT}").select("band")
+    dealt = _dealt(rooted, mixed.filter(f"all - top.n <= {SPLIT}"))
+    if not many.isEmpty():
+        finer = cut(_split(rooted.join(many, "band", "left_semi"), texts, shingle, similarity))
+        dealt = dealt.unionByName(_dealt(finer, _mixed(finer)))
     full = dealt.join(nodes.select("node", "sketch", "n_shingles"), "node").join(texts, "node")
     wanted = full.select("band", "number", "block", "outside", "node", "root", "sketch", "n_shingles", "packed")
     return wanted.repartition("band", "block").sortWithinPartitions("band", "number", "block", "node")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row for each row of docs."""
+    """(doc_id, n_shingles, component_id, kept, text_hash, group_id), a row for each row of docs.
+
+    Where doc_ids repeat, text_hash, the xxhash64 of the text, tells their rows apart, and
+    group_id their components; it is null for empty sets and differs from run to run.
+    """
     made = cut(sketches(docs, doc, text, shingle))
     sets = made.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
     # The cut table has its rows in fixed places, so these numbers are the same whenever they are made.
     nodes = cut(sets).withColumn("node", F.monotonically_increasing_id())
-    banded = bands(nodes)
+    # A smaller set than this reaches the threshold with its equal alone, which is the same node.
+    banded = bands(nodes.filter(F.col("n_shingles") * (100 - similarity) >= similarity))
     heads = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    shared = cut(banded.join(heads, "band"))
+    # A band that very many nodes have is dealt in parts; its least node goes to each.
+    salted = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    shared = cut(banded.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["band", "salt"]).drop("salt"))
     pairs = shared.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     wanted = nodes.select("node", "digest", "first_id").join(shared.select("node").distinct(), "node")
     texts = cut(packed_texts(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), wanted, shingle))
@@ -328,12 +395,12 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", sh
     links = link(pairs)
     roots = cut(components(links))
     crowded = shared.filter("n > 2").select("band", "number", "node")
-    more = cut(settled_links(_blocks(crowded, nodes, roots, texts), shingle, similarity).distinct())
+    more = cut(settled_links(_blocks(crowded, nodes, roots, texts, shingle, similarity), shingle, similarity).distinct())
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more)))
     of_node = nodes.select("node", "digest", "first_id").join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     ids = of_node.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    component = of_node.join(ids, "root").select("digest", "component_id")
-    out = made.select("doc_id", "digest", "n_shingles").join(component, "digest", "left")
+    component = of_node.join(ids, "root").select("digest", "component_id", F.col("root").alias("group_id"))
+    out = made.select("doc_id", "text_hash", "digest", "n_shingles").join(component, "digest", "left")
     alone = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", alone.alias("component_id"), alone.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", alone.alias("component_id"), alone.eqNullSafe(F.col("doc_id")).alias("kept"), "text_hash", "group_id")

@@ -46,7 +46,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.near_duplicates(docs, shingle=2)
+    return minhash.near_duplicates(docs, shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
