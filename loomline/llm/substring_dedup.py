@@ -5,15 +5,16 @@ starts in a document of smaller doc_id. Reference texts are dealt by content (se
 windows), so each shard's automata hold every text that can share a window with
 the texts that stream through them; a whole-corpus automaton would have to be
 broadcast to every document, which grows with the square of the corpus. Within a shard
-one automaton holds REFERENCE_WORDS words; texts stream through it for their matching
-statistics, and states that hold a whole window know the smallest document it was
+one automaton holds REFERENCE_WORDS words of distinct texts; these stream through it for
+their matching statistics, and states that hold a whole window know the smallest document it was
 seen in. An anchor with more reference text than that gets several automata, and its
 texts stream through each.
 
 Defined cases: null or empty text has no words; texts shorter than a window lose
 nothing; rows of one doc_id are one document and never make each other's windows
 earlier; a null doc_id comes before all others; an empty table gives no rows; input
-columns named like a result column are replaced.
+columns named like a result column or like doc_id and text are replaced; ties of
+doc_id are no earlier; a text of any length is read whole in one task.
 """
 
 from __future__ import annotations
@@ -113,9 +114,11 @@ def resolver(window: int, reference_words: int):
 
         def settle() -> None:
             ids: dict[bytes, int] = {}
+            own: dict[bytes, int] = {}  # the first place of each distinct text
             rows = sorted(block, key=lambda i: int(docs[i]))
-            seqs = {i: [ids.setdefault(w, len(ids)) for w in texts[i].split()] for i in rows}
-            pairs = [(int(docs[i]), seqs[i]) for i in rows]
+            for i in rows:
+                own.setdefault(texts[i], i)
+            pairs = [(int(docs[i]), [ids.setdefault(w, len(ids)) for w in t.split()]) for t, i in own.items()]
             least = None
             part: list[tuple[int, list[int]]] = []
             size = 0
@@ -126,12 +129,12 @@ def resolver(window: int, reference_words: int):
                     found = matching(part, pairs, window)
                     least = found if least is None else [np.minimum(a, b) for a, b in zip(least, found)]
                     part, size = [], 0
-            verdict = dict(zip(rows, (x < doc for x, (doc, _) in zip(least, pairs))))
-            out.extend(verdict[i] for i in block)
+            of_text = dict(zip(own, least))
+            out.extend(of_text[texts[i]] < docs[i] for i in block)
 
         for a, b in zip(bounds, bounds[1:]):
             block += range(a, b)
-            held += sum(len(texts[i]) for i in range(a, b)) // 6  # some six bytes a word
+            held += sum(map(len, set(texts[a:b]))) // 6  # some six bytes a word
             if held >= reference_words:
                 settle()
                 block, held = [], 0

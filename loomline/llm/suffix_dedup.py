@@ -11,7 +11,8 @@ Defined cases: null or empty text has no bytes; texts shorter than a window lose
 nothing; rows of one doc_id are one document, so equal places of theirs don't make
 each other later; a null doc_id comes before all others; what is left may not be
 UTF-8, so it is binary; an empty table gives no rows; input columns named like a
-result column are replaced.
+result column or like doc_id and text are replaced; of windows that tie, the first in
+the corpus stays; a text of any length is read whole in one task.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ travels as one piece of text. Five steps:
 
 A passage that very many documents share is sent once by each bucket, so a hot group
 costs a shard the number of buckets, not of its copies. Buckets and shards are as many
-as the session's shuffle partitions, each small enough for a task; nothing is
-collected by the driver.
+as the session's shuffle partitions, or as it takes for each to have GROUP_BYTES of text;
+nothing is collected by the driver. A shard has its pieces in memory, so what differs
+around one anchor, and a single text, must fit there.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loomline.llm.common import shuffle_parts
+from loomline.llm.common import shuffle_parts, unused
 from loomline.llm.minhash import mix
 
 #: Anchors that a scanning task holds before it sends them.
 HELD_ANCHORS = 500_000
+#: Text of a bucket, on average at most.
+GROUP_BYTES = 16_000_000
 #: The place of a null doc_id in the order: before all others.
 NO_ID = np.iinfo(np.int64).min
 
@@ -190,7 +193,7 @@ class Bucket:
 PIECES = "shard int, bucket int, anchors binary, keys binary, docs binary, starts binary, sizes binary, texts binary"
 
 
-def _pieces(units: Units, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _pieces(units: Units, shards: int, owner: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, repeated: pa.Table) -> pa.Table:
         out: dict[int, tuple[list, ...]] = {}
         if repeated.num_rows and docs.num_rows:
@@ -207,7 +210,7 @@ def _pieces(units: Units, shards: int) -> Callable[[pa.Table, pa.Table], pa.Tabl
                         d.append(doc)
                         s.append(start)
                         t.append(units.piece(text, start, end + units.window - 1))
-        number = docs["bucket"][0].as_py() if docs.num_rows else -1
+        number = docs[owner][0].as_py() if docs.num_rows else -1
         rows = list(out.items())
         packed = lambda i, kind: pa.array([np.array(v[i], kind).tobytes() for _, v in rows], pa.binary())
         return pa.table(
@@ -304,19 +307,21 @@ def _apply(units: Units, finish: Finish, schema: pa.Schema, new: list[str]) -> C
 
 def cut_repeats(docs: DataFrame, units: Units, resolver: Resolver, finish: Finish, fields: list[T.StructField], doc: str, text: str) -> DataFrame:
     """docs with fields: each text without the windows that occur earlier."""
-    parts = shuffle_parts(docs.sparkSession)
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(shuffle_parts(docs.sparkSession), -(-total // GROUP_BYTES))
     new = [f.name for f in fields]
-    kept = [c for c in docs.columns if c.lower() not in {*(n.lower() for n in new), "bucket", "doc_id", "text"}]
+    owner = unused(docs, "bucket")
+    kept = [c for c in docs.columns if c.lower() not in {*(n.lower() for n in new), "doc_id", "text"}]
     named = docs.select(
-        F.pmod(F.xxhash64(F.col(doc)), F.lit(parts)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64(F.col(doc)), F.lit(parts)).cast("int").alias(owner),
         F.col(doc).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
         *[F.col(f"`{c}`") for c in kept],
     )
-    anchors = named.select("bucket", "text").mapInArrow(_scan(units, parts), "shard int, anchors binary, owners binary")
+    anchors = named.select(owner, "text").mapInArrow(_scan(units, parts), "shard int, anchors binary, owners binary")
     repeated = anchors.groupBy("shard").applyInArrow(_repeated, "bucket int, anchors binary")
-    by_bucket = named.groupBy("bucket")
-    pieces = by_bucket.cogroup(repeated.groupBy("bucket")).applyInArrow(_pieces(units, parts), PIECES)
+    by_bucket = named.groupBy(owner)
+    pieces = by_bucket.cogroup(repeated.groupBy("bucket")).applyInArrow(_pieces(units, parts, owner), PIECES)
     found = pieces.groupBy("shard").applyInArrow(_resolve(resolver), "bucket int, keys binary, sizes binary, bits binary")
     none = F.lit(None).cast("binary")
     told = repeated.select("bucket", "anchors", none.alias("keys"), none.alias("sizes"), none.alias("bits")).unionByName(found.select("bucket", none.alias("anchors"), "keys", "sizes", "bits"))
