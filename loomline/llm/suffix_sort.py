@@ -58,7 +58,9 @@ class Spool:
     def read(self, start: int, end: int) -> list[np.ndarray]:
         if start >= self.written and self.parts:
             at = [start - self.written, end - self.written]
-            return [np.concatenate([p[i] for p in self.parts])[at[0] : at[1]].astype(k, copy=False) for i, k in enumerate(self.kinds)]
+            if len(self.parts) > 1:
+                self.parts = [tuple(np.concatenate([p[i] for p in self.parts]) for i in range(len(self.kinds)))]
+            return [self.parts[0][i][at[0] : at[1]].astype(k, copy=False) for i, k in enumerate(self.kinds)]
         if self.parts and end > self.written:
             self.flush()
         return [np.fromfile(p, k, end - start, offset=start * k.itemsize) if end > start else np.empty(0, k) for p, k in zip(self.paths, self.kinds)]
@@ -74,6 +76,12 @@ class Spool:
         self.taken = end
         return out
 
+    def forward(self) -> Iterator[list[np.ndarray]]:
+        if self.written:
+            self.flush()
+        for start in range(0, len(self), CHUNK):
+            yield self.read(start, min(len(self), start + CHUNK))
+
     def backward(self) -> Iterator[list[np.ndarray]]:
         for end in range(len(self), 0, -CHUNK):
             yield [c[::-1] for c in self.read(max(0, end - CHUNK), end)]
@@ -145,7 +153,7 @@ class SuffixSorter:
 
     def starred(self) -> np.ndarray:
         """Places of the smaller-type suffixes behind a larger-type one, ascending."""
-        found = []
+        found = Spool(self.folder, self._name("found"), (np.int64,))  # from the end
         after, small_after = -1, True  # the end counts as smaller than all
         for end in range(self.n, 0, -CHUNK):
             start = max(0, end - CHUNK)
@@ -154,26 +162,33 @@ class SuffixSorter:
             decided = np.where(diff != 0, np.arange(len(c)), len(c))
             nearest = np.minimum.accumulate(decided[::-1])[::-1]
             small = np.where(nearest < len(c), diff[np.minimum(nearest, len(c) - 1)] > 0, small_after)
-            if len(found) and small_after and not small[-1]:
+            if end < self.n and small_after and not small[-1]:
                 found.append(np.array([end], np.int64))
             found.append(np.flatnonzero(small[1:] & ~small[:-1])[::-1] + 1 + start)
             after, small_after = int(c[0]), bool(small[0])
-            if len(found) == 1:
-                found.insert(0, np.empty(0, np.int64))
-        flat = np.concatenate(found)[::-1]
-        out = self._array("starred", len(flat), np.int64)
-        out[:] = flat
+        out = self._array("starred", len(found), np.int64)
+        at = 0
+        for (part,) in found.backward():
+            out[at : at + len(part)] = part
+            at += len(part)
+        found.drop()
+        return out
+
+    def _spool(self, parts: Iterator[np.ndarray]) -> Spool:
+        out = Spool(self.folder, self._name("places"), (np.int64,))
+        for part in parts:
+            out.append(part)
         return out
 
-    def _refine(self, rank: np.ndarray, active: np.ndarray, low: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Split groups of equal rank by a second key. A rank is the place of its group's first member; gives the members of groups that stay together, and their sizes' mask."""
-        chunks = ((rank[a].astype(np.uint64) << np.uint64(32) | low(a).astype(np.uint64), a) for a in (active[i : i + CHUNK] for i in range(0, len(active), CHUNK)))
-        kept = []
+    def _refine(self, rank: np.ndarray, active: Spool, low: Callable[[np.ndarray], np.ndarray]) -> Spool:
+        """Split groups of equal rank by a second key. A rank is the place of its group's first member; gives the members of groups that stay together."""
+        # All keys are made and sorted into runs before the first of them comes back, so ranks can be put in place at once.
+        chunks = ((rank[a].astype(np.uint64) << np.uint64(32) | low(a).astype(np.uint64), a) for (a,) in active.forward())
+        kept = Spool(self.folder, self._name("places"), (np.int64,))
         seen = 0
         last_key = last_high = None
         group_at = high_at = 0
-        pending: list[np.ndarray] = []
-        fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        open_ = np.empty(0, np.int64)  # the last one's group, if it stands alone so far
         for key, who in merged_sort(self.folder, self._name("refine"), chunks):
             high = key >> np.uint64(32)
             new = np.append(True if last_key is None else key[0] != last_key, key[1:] != key[:-1])
@@ -181,65 +196,61 @@ class SuffixSorter:
             index = np.arange(seen, seen + len(key))
             first = np.maximum.accumulate(np.where(new, index, group_at))
             first_high = np.maximum.accumulate(np.where(new_high, index, high_at))
-            fresh.append((who, high.astype(np.int64) + first - first_high))
-            starts = np.flatnonzero(new)
-            if not len(starts):
-                pending.append(who)
-            else:
-                pending.append(who[: starts[0]])
-                whole = np.concatenate(pending)
-                if len(whole) > 1:
-                    kept.append(whole)
-                sizes = np.diff(np.append(starts, len(who)))
-                inner = sizes[:-1] > 1
-                mask = np.repeat(inner, sizes[:-1])
-                kept.append(who[starts[0] : starts[-1]][mask])
-                pending = [who[starts[-1] :]]
+            rank[who] = high.astype(np.int64) + first - first_high
+            if len(open_) and not new[0]:
+                kept.append(open_)
+            together = ~new
+            together[:-1] |= ~new[1:]
+            kept.append(who[together])
+            open_ = who[-1:].copy() if new[-1] else np.empty(0, np.int64)
             seen += len(key)
             last_key, last_high, group_at, high_at = key[-1], high[-1], int(first[-1]), int(first_high[-1])
-        whole = np.concatenate(pending) if pending else np.empty(0, np.int64)
-        if len(whole) > 1:
-            kept.append(whole)
-        for who, value in fresh:
-            rank[who] = value
-        return np.concatenate(kept) if kept else np.empty(0, np.int64), rank
+        active.drop()
+        return kept
 
     def ranked(self, starred: np.ndarray) -> Iterator[np.ndarray]:
         """Indexes of starred suffixes in sorted order, in chunks."""
         m = len(starred)
-        sizes = np.diff(np.append(starred, self.n)) + 1  # to the next one, which is included
+
+        def size(who: np.ndarray) -> np.ndarray:
+            """Symbols to the next starred one, which is included."""
+            return np.where(who + 1 < m, starred[np.minimum(who + 1, m - 1)], self.n) - starred[who] + 1
+
         rank = self._array("rank", m + 1, np.int64)
-        active = np.arange(m, dtype=np.int64)
+        active = self._spool(np.arange(i, min(i + CHUNK, m)) for i in range(0, m, CHUNK))
         at = 0
         while len(active):
+
             def letters(who: np.ndarray) -> np.ndarray:
                 out = np.zeros(len(who), np.uint64)
-                place, size = starred[who] + at, sizes[who]
+                place, sizes = starred[who] + at, size(who)
                 for j in range(4):
-                    inside = at + j < size
+                    inside = at + j < sizes
                     c = np.where(inside, self.t[np.minimum(place + j, self.n - 1)], PAD)
                     c[inside & (place + j >= self.n)] = 0
                     out = out << np.uint64(8) | c.astype(np.uint64)
                 return out
 
-            active, rank = self._refine(rank, active, letters)
+            same = self._refine(rank, active, letters)
             at += 4
-            active = active[sizes[active] >= at]
+            active = self._spool(a[size(a) >= at] for (a,) in same.forward())
+            same.drop()
         # Groups of equal names, from the ranks alone.
         active = self._groups(rank, m)
         span = 1
         while len(active) and span * 2 <= 2 * self.cap:
             behind = lambda who: np.where(who + span < m, rank[np.minimum(who + span, m - 1)] + 1, 0)  # noqa: B023, E731
-            active, rank = self._refine(rank, active, behind)
+            active = self._refine(rank, active, behind)
             span *= 2
+        active.drop()
         for _, who in merged_sort(self.folder, self._name("order"), ((rank[i : min(i + CHUNK, m)].astype(np.uint64), np.arange(i, min(i + CHUNK, m))) for i in range(0, m, CHUNK))):
             yield who
 
-    def _groups(self, rank: np.ndarray, m: int) -> np.ndarray:
+    def _groups(self, rank: np.ndarray, m: int) -> Spool:
         counts = self._array("counts", m + 1, np.int32)
         for i in range(0, m, CHUNK):
             np.add.at(counts, rank[i : min(i + CHUNK, m)], 1)
-        return np.concatenate([i + np.flatnonzero(counts[rank[i : min(i + CHUNK, m)]] > 1) for i in range(0, m, CHUNK)]) if m else np.empty(0, np.int64)
+        return self._spool(i + np.flatnonzero(counts[rank[i : min(i + CHUNK, m)]] > 1) for i in range(0, m, CHUNK))
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common prefixes of suffixes in pairs, by comparison."""
