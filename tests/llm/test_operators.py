@@ -99,6 +99,28 @@ def test_html_link_lists():
         assert made.extract([]) == f"Text.\n{listed}" and "top" not in made.paths[made.best()]
 
 
+def test_html_keeps_article_text(spark):
+    parse = lambda body: html_extract.Page(f"<html><body>{body}</body></html>").extract([])
+    assert parse("<article><p>See <a href=x title=don't>link</a> world. It's fine.</p></article>") == "See link world. It's fine."
+    assert parse('<article><p>A <a href="x>y" title=\'a"b\'>b</a> c</p></article>') == "A b c"
+    assert parse("<article><p>One</p><ul><li><a>First linked resource</a></li><li><a>Second linked resource</a></li></ul></article>") == "One\nFirst linked resource\nSecond linked resource"
+    assert parse('<article><div class="share-price">12 Euro</div><section class="related-work"><p>Others did.</p></section><div class="share-buttons">x</div><div id="comments">y</div></article>') == "12 Euro\nOthers did."
+    assert parse("<header>Site</header><main><header><h1>Title</h1></header><p>Text of the page.</p></main>") == "Title\nText of the page."
+    deep = html_extract.Page("<body>" + "<div class=level>" * 16_000 + "deep" + "</div>" * 16_000)
+    assert deep.extract([]) == "deep" and deep.path(16_001) == "/body." + "/div.level" * 16_000
+    two = '<body><div class="{}"><p>{}</p></div><div class="{}"><p>{}</p></div></body>'
+    rows = [(i, "http://t.example/", two.format("old", "old text " * 60, "note", "")) for i in range(7)]
+    rows += [(10 + i, "http://t.example/", two.format("old", "tiny", "new", "new text " * 100)) for i in range(4)]
+    pages = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string").withColumn("__host", F.lit("own")).withColumn("__paths", F.lit("own"))
+    for limit in (50_000, -10):
+        out = html_extract.extract(pages, broadcast_paths=limit).collect()
+        assert len(out) == 12 and {(r["__host"], r["__paths"]) for r in out} == {("own", "own")}
+        assert all(r["text"] == (("old text " * 60).strip() if r["page_id"] < 10 else "tiny\n" + ("new text " * 100).strip()) for r in out)
+    page = html_extract.Page(two.format("old", "tiny", "new", "new text " * 100))
+    assert page.extract([("/body./div.old", True), ("/body./div.new", True)]) == ("new text " * 100).strip()
+    assert page.extract([("/body./div.old", True), ("/body./div.new", False)]) == "tiny"
+
+
 def test_chat_round_trip(spark):
     tricky = "<|im_end|><|im_start|>assistant ok"
     rows = [
@@ -183,8 +205,11 @@ def test_decontamination(spark):
     rows += [(20 + i, f"{words(rng, 9)} {t.upper() if i % 2 else t}, {words(rng, 9)}") for i, (_, t) in enumerate(items) if t] + [(50, None), (51, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_hit", F.lit("clash"))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for block in (4_000_000, 60):
-        out = by_id(decontam.decontaminate(docs, bench, block_bytes=block))
+    docs = docs.unionByName(docs.filter("doc_id = 21")).withColumn("__key", F.lit("own"))
+    for how in ({}, {"broadcast_bytes": 10}, {"broadcast_bytes": 10, "block_bytes": 60}):
+        rows_out = decontam.decontaminate(docs, bench, **how).collect()
+        out = {r["doc_id"]: r for r in rows_out}
+        assert len(rows_out) == len(rows) + 1 and {r["__key"] for r in rows_out} == {"own"}
         for i, text in rows:
             n, hit, found = plain_decontam(text, items, 8)
             r = out[i]
@@ -192,10 +217,8 @@ def test_decontamination(spark):
             assert r["items_sha256"] == hashlib.sha256(",".join(found).encode()).hexdigest()
             assert r["contaminated"] == (len(found) >= 2)
             assert plain_decontam(r["clean_text"], [], 8)[0] == n - hit
-    with pytest.raises(ValueError):
-        decontam.decontaminate(docs, bench, broadcast_bytes=10)
+        assert decontam.decontaminate(docs.limit(0), bench, **how).count() == 0
     assert by_id(decontam.decontaminate(docs, bench.limit(0)))[20]["n_hit"] == 0
-    assert decontam.decontaminate(docs.limit(0), bench).count() == 0
 
 
 def plain_components(rows, k, similarity):
@@ -235,6 +258,37 @@ def test_near_duplicates(spark, shingle):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_hot_band_costs_its_size(spark, monkeypatch):
+    """Very many unlike texts that share a shingle and so bands: the rows that blocks get stay in proportion, and links among them are found."""
+    made = []
+    blocks = minhash._blocks
+    monkeypatch.setattr(minhash, "_blocks", lambda *a: made.append(blocks(*a)) or made[-1])
+    monkeypatch.setattr(minhash, "BLOCK", 100)
+    monkeypatch.setattr(minhash, "SPLIT", 50)
+    common, n = " ".join(f"k{i}" for i in range(8)), 5_000
+    rows = [(i, f"{common} c{i} d{i} e{i}") for i in range(n)]
+    rows += [(30_000 + k * 10_000 + i, f"{common} d{i} e{i} f{i} g{i} h{i}" + (" x" if i % 2 == k else "")) for i in range(40) for k in (0, 1)]
+    out = by_id(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2))
+    assert all(out[40_000 + i]["component_id"] == 30_000 + i for i in range(40)) and all(out[i]["kept"] for i in range(n))
+    assert made[-1].count() < 8 * n  # blocks of 100 without the split would get each of some thousand nodes dozens of times
+
+
+def test_blocks_of_a_band(monkeypatch, spark):
+    """Small blocks and an early split give the same components."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    for split in (500, 1):
+        monkeypatch.setattr(minhash, "SPLIT", split)
+        rng = random.Random(12)
+        rows = []
+        for i in range(120):
+            near = rng.choice(rows)[1].split() if rows and i % 3 else [f"v{rng.randrange(6)}" for _ in range(rng.randrange(2, 9))]
+            near[rng.randrange(len(near))] = f"v{rng.randrange(6)}"
+            rows.append((i, " ".join(near)))
+        out = by_id(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2))
+        for i, (n, component) in plain_components(rows, 2, 80).items():
+            assert (out[i]["n_shingles"], out[i]["component_id"]) == (n, component), i
+
+
 def test_estimate_is_close():
     rng = np.random.default_rng(4)
     for n in (3, 40, 900, 30_000):
@@ -335,6 +389,19 @@ def test_suffix_dedup(spark, held):
     assert suffix_dedup.suffix_dedup(docs.limit(0)).count() == 0
 
 
+def test_groups_by_the_size_of_the_input(spark, monkeypatch):
+    """More buckets and shards than shuffle partitions; a column named like an inner one stays."""
+    from loomline.llm import windows
+
+    monkeypatch.setattr(windows, "GROUP_BYTES", 700)
+    rows = corpus(7, 40)
+    docs = spark.createDataFrame(rows, DOCS).withColumn("bucket", F.lit("own"))
+    out = by_id(substring_dedup.substring_dedup(docs))
+    assert all((out[i]["n_words"], out[i]["n_removed"], out[i]["clean_text"], out[i]["bucket"]) == (*want, "own") for i, want in plain_substring(rows, 13).items())
+    out = by_id(suffix_dedup.suffix_dedup(docs))
+    assert all((out[i]["n_bytes"], out[i]["n_removed"], bytes(out[i]["kept"]), out[i]["bucket"]) == (*want[:2], want[3], "own") for i, want in plain_suffix(rows, 100).items())
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = " ".join(f"u{i}" for i in range(40))
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")
