@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from loomline.llm.common import column, map_text
 from loomline.llm.minhash import mix
 
+#: The vocabulary where neither a call nor the session's spark.loomline.pieces.model names one.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 MARK = "▁"
@@ -405,13 +406,19 @@ def model_bytes(path: str) -> bytes:
     return Path(path).read_bytes()
 
 
-def encode(docs: DataFrame, text: str = "text", model: str = MODEL, n: int = BEST) -> DataFrame:
+def _shared(df: DataFrame, model: str | None):
+    """The vocabulary's file, which is some hundred kB to a few MB whatever the data."""
+    spark = df.sparkSession
+    return spark.sparkContext.broadcast(model_bytes(model or spark.conf.get("spark.loomline.pieces.model", MODEL)))
+
+
+def encode(docs: DataFrame, text: str = "text", model: str | None = None, n: int = BEST) -> DataFrame:
     """docs with the best piece_ids and score, the n best scores with their edits of piece_ids, and whether the ids decode to the text.
 
     The model is read by the driver and sent to the tasks: a vocabulary's size doesn't
     grow with the data.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model_bytes(model))
+    shared = _shared(docs, model)
     state: dict = {}
 
     def fn(texts: list[bytes | None]) -> dict[str, list | pa.Array]:
@@ -446,9 +453,9 @@ def _lists(arrays: list[pa.Array | None]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.concat_arrays([a for a in arrays if a is not None] or [pa.array([], pa.int32())]))
 
 
-def decode(encoded: DataFrame, ids: str = "piece_ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
+def decode(encoded: DataFrame, ids: str = "piece_ids", out: str = "decoded", model: str | None = None) -> DataFrame:
     """encoded with the text of its ids; null ids give null, ids outside the vocabulary fail."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model_bytes(model))
+    shared = _shared(encoded, model)
     schema = T.StructType([f for f in encoded.schema if f.name.lower() != out.lower()] + [column(out, T.StringType())])
     kept = schema.names[:-1]
 
