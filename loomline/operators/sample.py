@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import math
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,21 +85,31 @@ def stratified(segs: DataFrame, totals: dict[str, int], boundaries: list[int], q
     overflows = {k: sum(max(0, n - quotas[k]) for (kind, _), n in counts.items() if kind == k) for k in totals}
     spread = max(overflows.values(), default=0) > reservoir
 
-    first = _up_to(inside, spots, {at: quotas[at[0]] for at in counts}, counts, nulls)
     by_bucket = Window.partitionBy("segment_type", "length_bucket_id").orderBy("doc_ord", "segment_index", "tie")
-    heads = first.withColumn("rank", F.row_number().over(by_bucket)).filter((F.col("rank") <= widest) & (F.col("rank") <= quota_by))
-    heads = heads.withColumn("spill", F.lit(0)).withColumn("place", F.col("length_bucket_id").cast("long"))
-
-    reach = widest * buckets + (min(most, reservoir) if spread else most)
+    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index", "tie")
     if spread:
-        placed = inside.withColumn("place", F.xxhash64(F.lit(seed), *key, "tie"))
-        all_of = {k: sum(n for (kind, _), n in counts.items() if kind == k) for k in totals}
-        # Hashes are uniform, so a share of them holds about that share of the rows: twice what is needed, or all.
-        shares = {k: min(1.0, 2 * reach / max(1, n) + 1e-6) for k, n in all_of.items()}
-        early = placed.filter(F.pmod("place", F.lit(1 << 40)) < by_kind({k: int(v * (1 << 40)) for k, v in shares.items()})) if min(shares.values()) < 0.5 else placed
-        early = early.withColumn("place", F.pmod("place", F.lit(1 << 40)))
-    else:
-        early = _up_to(inside, spots, {at: reach for at in counts}, counts, nulls).withColumn("place", F.lit(0).cast("long"))
+        both = _with_reservoir(inside, quotas, quota_by, by_bucket, by_kind, (counts, spots, nulls), widest * buckets + min(most, reservoir), reservoir, seed)
+    else:  # a bucket gives its quota and the whole of a type's total at most
+        first = _up_to(inside, spots, {at: quotas[at[0]] + totals[at[0]] for at in counts}, counts, nulls)
+        ranked = first.withColumn("rank", F.row_number().over(by_bucket)).filter(F.col("rank") <= widest + most)
+        spill = F.col("rank") > quota_by
+        both = ranked.withColumn("spill", spill.cast("int")).withColumn("place", F.when(spill, 0).otherwise(F.col("length_bucket_id")).cast("long"))
+    return both.withColumn("sample_rank", F.row_number().over(final)).filter((F.col("sample_rank") <= most) & (F.col("sample_rank") <= total_of)).drop("rank", "spill", "place", "tie")
+
+
+def _with_reservoir(inside: DataFrame, quotas: dict, quota_by: Column, by_bucket: WindowSpec, by_kind: Callable[[dict], Column], arrivals: tuple[dict, dict, dict], reach: int, reservoir: int, seed: int) -> DataFrame:
+    """Heads of the buckets, and of all other rows a uniform sample by hash, as many as the reservoir holds."""
+    counts, spots, nulls = arrivals
+    key = ["doc_ord", "segment_type", "segment_index"]
+    first = _up_to(inside, spots, {at: quotas[at[0]] for at in counts}, counts, nulls)
+    heads = first.withColumn("rank", F.row_number().over(by_bucket)).filter((F.col("rank") <= max(quotas.values())) & (F.col("rank") <= quota_by))
+    heads = heads.withColumn("spill", F.lit(0)).withColumn("place", F.col("length_bucket_id").cast("long"))
+    all_of = {k: sum(n for (kind, _), n in counts.items() if kind == k) for k in quotas}
+    # Hashes are uniform, so a share of them holds about that share of the rows: twice what is needed, or all.
+    shares = {k: min(1.0, 2 * reach / max(1, n) + 1e-6) for k, n in all_of.items()}
+    placed = inside.withColumn("place", F.xxhash64(F.lit(seed), *key, "tie"))
+    early = placed.filter(F.pmod("place", F.lit(1 << 40)) < by_kind({k: int(v * (1 << 40)) for k, v in shares.items()})) if min(shares.values()) < 0.5 else placed
+    early = early.withColumn("place", F.pmod("place", F.lit(1 << 40)))
     by_type = Window.partitionBy("segment_type").orderBy("place", "doc_ord", "segment_index", "tie")
     early = early.withColumn("rank", F.row_number().over(by_type)).filter(F.col("rank") <= reach)
     # Null ids are equal here, and of equal rows as many go as are heads.
@@ -108,11 +118,8 @@ def stratified(segs: DataFrame, totals: dict[str, int], boundaries: list[int], q
     same = [early[c].eqNullSafe(taken[c]) for c in taken.columns]
     overflow = early.join(taken, same, "left_anti").withColumn("spill", F.lit(1)).select(*heads.columns)
     both = heads.unionByName(overflow)
-    if spread:  # of the overflow no more than the reservoir holds
-        spilled = Window.partitionBy("segment_type", "spill").orderBy("place", "doc_ord", "segment_index", "tie")
-        both = both.withColumn("rank", F.row_number().over(spilled)).filter((F.col("spill") == 0) | (F.col("rank") <= reservoir))
-    final = Window.partitionBy("segment_type").orderBy("spill", "place", "doc_ord", "segment_index", "tie")
-    return both.withColumn("sample_rank", F.row_number().over(final)).filter((F.col("sample_rank") <= most) & (F.col("sample_rank") <= total_of)).drop("rank", "spill", "place", "tie")
+    spilled = Window.partitionBy("segment_type", "spill").orderBy("place", "doc_ord", "segment_index", "tie")
+    return both.withColumn("rank", F.row_number().over(spilled)).filter((F.col("spill") == 0) | (F.col("rank") <= reservoir))
 
 
 #: Quantiles of arrival that are taken of each bucket, and their accuracy.

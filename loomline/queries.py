@@ -293,11 +293,7 @@ def _score_pairs(spark, sf_dir) -> DataFrame:
 
 def score_cache_join(spark, sf_dir):
     pairs = _score_pairs(spark, sf_dir)
-    known, missing = score.split_known(pairs, _cache(pairs), "dummy")
-    new = missing.select("key", score.dummy(F.col("source"), F.col("hypothesis")).alias("score"))
-    keyed = score.with_key(pairs).select("source_id", "key")
-    found = known.select("source_id", "score").unionByName(keyed.join(new, "key").select("source_id", "score"))
-    return found
+    return score.scored_with_cache(pairs, _cache(pairs), score.dummy, "dummy")[0].select("source_id", "score")
 
 
 def cache_upsert(spark, sf_dir):
