@@ -19,6 +19,9 @@ doc_id are no earlier; a text of any length is read whole in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -106,7 +109,8 @@ def matching(reference: list[tuple[int, list[int]]], streamed: list[tuple[int, l
 
 
 def resolver(window: int, reference_words: int):
-    def resolve(anchors: np.ndarray, docs: np.ndarray, starts: np.ndarray, texts: list[bytes]) -> list[np.ndarray]:
+    @contextmanager
+    def resolve(anchors: np.ndarray, docs: np.ndarray, starts: np.ndarray, texts: Sequence, keys: np.ndarray) -> Iterator[list[np.ndarray]]:
         out: list[np.ndarray] = []
         bounds = np.concatenate(([0], np.flatnonzero(np.diff(anchors)) + 1, [len(texts)])).tolist() if texts else []
         block: list[int] = []
@@ -115,9 +119,9 @@ def resolver(window: int, reference_words: int):
         def settle() -> None:
             ids: dict[bytes, int] = {}
             own: dict[bytes, int] = {}  # the first place of each distinct text
-            rows = sorted(block, key=lambda i: int(docs[i]))
-            for i in rows:
-                own.setdefault(texts[i], i)
+            read = {i: texts[i] for i in block}
+            for i in sorted(block, key=lambda i: int(docs[i])):
+                own.setdefault(read[i], i)
             pairs = [(int(docs[i]), [ids.setdefault(w, len(ids)) for w in t.split()]) for t, i in own.items()]
             least = None
             part: list[tuple[int, list[int]]] = []
@@ -130,7 +134,7 @@ def resolver(window: int, reference_words: int):
                     least = found if least is None else [np.minimum(a, b) for a, b in zip(least, found)]
                     part, size = [], 0
             of_text = dict(zip(own, least))
-            out.extend(of_text[texts[i]] < docs[i] for i in block)
+            out.extend(of_text[read[i]] < docs[i] for i in block)
 
         for a, b in zip(bounds, bounds[1:]):
             block += range(a, b)
@@ -140,7 +144,7 @@ def resolver(window: int, reference_words: int):
                 block, held = [], 0
         if block:
             settle()
-        return out
+        yield out
 
     return resolve
 

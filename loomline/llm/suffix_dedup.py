@@ -18,6 +18,8 @@ the corpus stays; a text of any length is read whole in one task.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -50,35 +52,51 @@ class Bytes(Units):
         return units[start:end]
 
 
+class Found(Sequence):
+    """For each piece a boolean array over its windows: those of its text's first place, or all if it stands elsewhere, where every window has come before. Rows of one place are one."""
+
+    def __init__(self, later: np.ndarray, keys: np.ndarray, first: np.ndarray, begins: np.ndarray, ends: np.ndarray, window: int):
+        self.later, self.keys, self.first, self.begins, self.ends, self.window = later, keys, first, begins, ends, window
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def __getitem__(self, i):
+        at, place = self.first[i]
+        a, b = int(self.begins[at]), int(self.ends[at]) - self.window
+        return np.array(self.later[a:b]) if self.keys[i] == self.keys[place] else np.ones(b - a, bool)
+
+
 def resolver(window: int, held_bytes: int):
-    def resolve(anchors: np.ndarray, docs: np.ndarray, starts: np.ndarray, texts: list[bytes]) -> list[np.ndarray]:
-        if not texts:
-            return []
+    @contextmanager
+    def resolve(anchors: np.ndarray, docs: np.ndarray, starts: np.ndarray, texts: Sequence, keys: np.ndarray) -> Iterator[Sequence]:
+        if not len(texts):
+            yield []
+            return
         _, doc_rank = np.unique(docs, return_inverse=True)
-        sizes = np.array([len(t) for t in texts], np.int64)
+        sizes = texts.sizes
         stride = int((starts + sizes).max()) + 1
-        keys = doc_rank.astype(np.int64) * stride + starts  # the order of places in the corpus
-        by_text: dict[bytes, int] = {}
-        for i in np.argsort(keys, kind="stable").tolist():
-            by_text.setdefault(texts[i], i)
-        first = np.fromiter((by_text[t] for t in texts), np.int64, len(texts))
-        own = np.fromiter(by_text.values(), np.int64, len(by_text))
+        places = doc_rank.astype(np.int64) * stride + starts  # the order of places in the corpus
+        by_place = np.argsort(places, kind="stable")
+        # Equal texts by their keys: each one's first piece, and its number among the distinct ones.
+        _, at, number = np.unique(keys[by_place], return_index=True, return_inverse=True)
+        own = by_place[at]
+        first = np.empty((len(keys), 2), np.int64)
+        first[by_place, 0], first[by_place, 1] = number, own[number]
         ends = np.cumsum(sizes[own] + 1)
         begins = ends - sizes[own] - 1
         with tempfile.TemporaryDirectory() as folder:
             path = Path(folder, "text")
             with path.open("wb") as f:
                 shift = bytes(min(b + 1, 255) for b in range(256))  # UTF-8 has no byte above 0xF4
-                for t in by_text:
-                    f.write(t.translate(shift) + b"\0")
+                for i in own.tolist():
+                    f.write(texts[i].translate(shift) + b"\0")
             size = int(ends[-1])
             text = np.fromfile(path, np.uint8) if size <= held_bytes else np.memmap(path, np.uint8, "r")
             later = np.zeros(size, bool) if size <= held_bytes else np.memmap(Path(folder, "later"), bool, "w+", shape=(size,))
-            _mark(SuffixSorter(text, window, Path(folder)), window, begins, ends, keys[own], later)
-            found = {int(i): np.array(later[a : b - window]) for i, a, b in zip(own.tolist(), begins.tolist(), ends.tolist())}
+            _mark(SuffixSorter(text, window, Path(folder)), window, begins, ends, places[own], later)
+            yield Found(later, places, first, begins, ends, window)
             del text, later
-        # An equal text elsewhere that isn't the first: every window of it has come before. Rows of one place are one.
-        return [found[int(f)] if keys[i] == keys[f] else np.ones(len(found[int(f)]), bool) for i, f in enumerate(first.tolist())]
 
     return resolve
 

@@ -25,15 +25,17 @@ import numpy as np
 
 #: Entries that are handled at a time.
 CHUNK = 1 << 19
+#: Rows that a spool holds before they go to its files.
+HELD = 1 << 16
 PAD = 0xFF
 
 
 class Spool:
     """Rows of a few columns, appended and read in order; past a bounded buffer they lie in a file a column."""
 
-    def __init__(self, folder: Path, name: str, kinds: tuple, held: int = 1 << 16):
+    def __init__(self, folder: Path, name: str, kinds: tuple, held: int | None = None):
         self.paths = [folder / f"{name}.{i}" for i in range(len(kinds))]
-        self.kinds, self.held = [np.dtype(k) for k in kinds], held
+        self.kinds, self.held = [np.dtype(k) for k in kinds], HELD if held is None else held
         self.parts: list[tuple] = []
         self.waiting = self.written = self.taken = 0
 
@@ -100,10 +102,10 @@ def merged_sort(folder: Path, name: str, chunks: Iterator[tuple[np.ndarray, np.n
         run = Spool(folder, f"{name}{len(runs)}", (np.uint64, np.int64), CHUNK)
         run.append(key[order], value[order])
         runs.append(run)
-    if len(runs) > 1:
-        for run in runs:
+        if len(runs) > 1:  # a single run stays in memory
+            runs[-2].flush()
             run.flush()
-    block = max(1024, CHUNK // max(1, len(runs)))
+    block = max(256, CHUNK // max(1, len(runs)))
     places = [0] * len(runs)
     heads: list = [None] * len(runs)
     while True:

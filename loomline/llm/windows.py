@@ -14,13 +14,17 @@ travels as one piece of text. Five steps:
 A passage that very many documents share is sent once by each bucket, so a hot group
 costs a shard the number of buckets, not of its copies. Buckets and shards are as many
 as the session's shuffle partitions, or as it takes for each to have GROUP_BYTES of text;
-nothing is collected by the driver. A shard has its pieces in memory, so what differs
-around one anchor, and a single text, must fit there.
+nothing is collected by the driver. A shard's pieces come to its task one bucket's at a
+time; their texts go to a file of the task's past HELD_BYTES, and numbers of some fifty
+bytes a piece stay in memory. A bucket and a single text must fit there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import tempfile
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import AbstractContextManager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ from loomline.llm.minhash import mix
 
 #: Anchors that a scanning task holds before it sends them.
 HELD_ANCHORS = 500_000
+#: Text of a shard's pieces that is held in memory.
+HELD_BYTES = 64_000_000
 #: Text of a bucket, on average at most.
 GROUP_BYTES = 16_000_000
 #: The place of a null doc_id in the order: before all others.
@@ -229,35 +235,94 @@ def _pieces(units: Units, shards: int, owner: str) -> Callable[[pa.Table, pa.Tab
     return run
 
 
-#: What an operator's index gets and gives: for pieces sorted by (anchor, doc, start), a boolean array over each one's windows.
-Resolver = Callable[[np.ndarray, np.ndarray, np.ndarray, list[bytes]], list[np.ndarray]]
-
-
-def _resolve(resolver: Resolver) -> Callable[[pa.Table], pa.Table]:
-    def run(table: pa.Table) -> pa.Table:
-        counts = [len(x) // 8 for x in table["anchors"].to_pylist()]
-        bucket = np.repeat(np.asarray(table["bucket"]), counts)
-        anchors, docs = _joined(table["anchors"], np.uint64), _joined(table["docs"], np.int64)
-        starts, sizes = _joined(table["starts"], np.int64), _joined(table["sizes"], np.int64)
-        blob = b"".join(table["texts"].to_pylist())
-        ends = np.cumsum(sizes)
-        order = np.lexsort((starts, docs, anchors))
-        texts = [blob[e - n : e] for e, n in zip(ends[order].tolist(), sizes[order].tolist())]
-        del blob
-        found = resolver(anchors[order], docs[order], starts[order], texts)
-        keys = _joined(table["keys"], np.uint64)[order]
-        bucket = bucket[order]
-        out = {"bucket": [], "keys": [], "sizes": [], "bits": []}
-        by = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[by])) + 1
-        for part in np.split(by, cuts) if len(by) else []:
-            some = [i for i in part.tolist() if found[i].any()]
-            out["bucket"].append(int(bucket[part[0]]))
-            out["keys"].append(keys[some].tobytes())
-            out["sizes"].append(np.array([len(found[i]) for i in some], np.int64).tobytes())
-            out["bits"].append(np.packbits(np.concatenate([found[i] for i in some])).tobytes() if some else b"")
-        kinds = {"bucket": pa.int32(), "keys": pa.binary(), "sizes": pa.binary(), "bits": pa.binary()}
-        return pa.table({k: pa.array(v, kinds[k]) for k, v in out.items()})
+class Texts(Sequence):
+    """Pieces of text that lie behind each other in a buffer, in an order of their own; each is read when it is asked for."""
+
+    def __init__(self, buffer: bytes | np.ndarray, begins: np.ndarray, sizes: np.ndarray):
+        self.buffer, self.begins, self.sizes = buffer, begins, sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, i):
+        if isinstance(i, slice):
+            return [self[k] for k in range(*i.indices(len(self)))]
+        at = int(self.begins[i])
+        return bytes(self.buffer[at : at + int(self.sizes[i])])
+
+
+#: What an operator's index gets and gives while it is open: of pieces sorted by (anchor, doc, start) their anchors, docs,
+#: starts, texts and keys; and for each a boolean array over its windows, by number.
+Resolver = Callable[[np.ndarray, np.ndarray, np.ndarray, Sequence, np.ndarray], AbstractContextManager[Sequence]]
+
+
+class Shard:
+    """A shard's pieces: some fifty bytes of numbers each in memory, and their texts in memory or, beyond HELD_BYTES, in a file of the task's own."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.blob = bytearray()
+        self.folder: tempfile.TemporaryDirectory | None = None
+
+    @property
+    def path(self) -> Path:
+        return Path(self.folder.name, "pieces")
+
+    def add(self, bucket: int, anchors: bytes, keys: bytes, docs: bytes, starts: bytes, sizes: bytes, texts: bytes) -> None:
+        n = len(anchors) // 8
+        self.parts.append((np.full(n, bucket, np.int32), *(np.frombuffer(x, k) for x, k in ((anchors, np.uint64), (keys, np.uint64), (docs, np.int64), (starts, np.int64), (sizes, np.int64)))))
+        self.blob += texts
+        if len(self.blob) > HELD_BYTES:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.folder is None:
+            self.folder = tempfile.TemporaryDirectory()
+        with self.path.open("ab") as f:
+            f.write(self.blob)
+        self.blob = bytearray()
+
+    def settled(self, resolver: Resolver) -> Iterator[pa.RecordBatch]:
+        """(bucket, keys, sizes, bits): of each bucket's pieces with windows to cut, which ones."""
+        try:
+            bucket, anchors, keys, docs, starts, sizes = (np.concatenate(x) for x in zip(*self.parts))
+            self.parts = []
+            order = np.lexsort((starts, docs, anchors))
+            begins = (np.cumsum(sizes) - sizes)[order]
+            bucket, anchors, keys, docs, starts, sizes = (x[order] for x in (bucket, anchors, keys, docs, starts, sizes))
+            if self.folder is not None:
+                self.flush()
+            buffer = self.blob if self.folder is None else np.memmap(self.path, np.uint8, "r")
+            with resolver(anchors, docs, starts, Texts(buffer, begins, sizes), keys) as found:
+                by = np.argsort(bucket, kind="stable")
+                for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
+                    some, bits = [], []
+                    for i in part.tolist():
+                        if (windows := found[i]).any():
+                            some.append(i)
+                            bits.append(windows)
+                    row = (int(bucket[part[0]]), keys[some].tobytes(), np.array([len(x) for x in bits], np.int64).tobytes(), np.packbits(np.concatenate(bits)).tobytes() if some else b"")
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "keys", "sizes", "bits"])
+        finally:
+            if self.folder is not None:
+                self.folder.cleanup()
+
+
+def _resolve(resolver: Resolver) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of PIECES, a shard's together, one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, Shard()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard, bucket, anchors, keys, docs, starts, sizes, texts = (batch.column(k)[i].as_py() for k in range(8))
+                if shard != at:
+                    if at is not None:
+                        yield from held.settled(resolver)
+                    at, held = shard, Shard()
+                held.add(bucket, anchors, keys, docs, starts, sizes, texts)
+        if at is not None:
+            yield from held.settled(resolver)
 
     return run
 
@@ -322,7 +387,7 @@ def cut_repeats(docs: DataFrame, units: Units, resolver: Resolver, finish: Finis
     repeated = anchors.groupBy("shard").applyInArrow(_repeated, "bucket int, anchors binary")
     by_bucket = named.groupBy(owner)
     pieces = by_bucket.cogroup(repeated.groupBy("bucket")).applyInArrow(_pieces(units, parts, owner), PIECES)
-    found = pieces.groupBy("shard").applyInArrow(_resolve(resolver), "bucket int, keys binary, sizes binary, bits binary")
+    found = pieces.repartition("shard").sortWithinPartitions("shard", "bucket").mapInArrow(_resolve(resolver), "bucket int, keys binary, sizes binary, bits binary")
     none = F.lit(None).cast("binary")
     told = repeated.select("bucket", "anchors", none.alias("keys"), none.alias("sizes"), none.alias("bits")).unionByName(found.select("bucket", none.alias("anchors"), "keys", "sizes", "bits"))
     schema = T.StructType([named.schema[c] for c in ("doc_id", "text", *kept)] + fields)
