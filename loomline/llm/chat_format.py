@@ -17,7 +17,9 @@ undoes escapes, and the comparison is what decides whether any were needed.
 
 Defined cases: a null text or role is empty; turns are ordered by (turn, role, text)
 so ties have one order, null turns first; repeated rows are turns of their own; a
-null conv_id is a conversation; an empty table gives no rows.
+null conv_id is a conversation; only conv_id, turn, role and text are read, so other
+columns can't clash, whatever their names; a text of any length is one row's, and a
+conversation has to fit in a task; an empty table gives no rows.
 """
 
 from __future__ import annotations
