@@ -19,8 +19,8 @@ notice, advert, comment section or the like and no content beside it. A <header>
 <article>, <main> or <section> is text.
 
 Defined cases: null or empty html gives an empty text; a page without a container
-uses its whole body; a page of nothing but link items has no vote; ties of votes go to the smaller path; null or odd urls share
-the host ""; repeated rows vote each and give equal rows; an empty table gives no
+uses its whole body; a page of nothing but link items has no vote; ties of votes go to
+the smaller path; null or odd urls share the host ""; repeated rows vote each and give equal rows; an empty table gives no
 rows; input columns named like a result column are replaced; a page of any length or
 depth of nesting is parsed whole, at a cost in proportion to its length.
 """

@@ -1,27 +1,28 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A word's input is the sum of the embeddings of itself and its starts, as far as they are known,
-beside what a bidirectional GRU with attention pooling makes of its bytes; a second GRU reads the words. Every text is scored in all
-windows of WINDOW words, one from each word on: attention pools the states of a
-window's words, and overlapping windows share the states, which are made once for
-each span of SPAN words. Sums along a span give every window's pooled value, so a
-window costs a few additions. A logistic regression on the three highest windows at
-least GAP words apart, the mean of all and their number gives the text's score.
+beside what a bidirectional GRU with attention pooling makes of its bytes; a second such
+network reads the words. Every text is scored in all windows of WINDOW words, one from
+each word on: attention pools the states of a window's words, and overlapping windows
+share the states, which are made once for each span of SPAN words. Sums along a span
+give every window's pooled value, so a window costs a few additions. A logistic
+regression on the three highest windows at least GAP words apart, the mean of all and
+their number gives the text's score.
 
 Training takes a bounded sample of labelled documents, at most SAMPLE of each label,
 the least by hash. A label belongs to a document, so training picks windows, read with
-up to CONTEXT words on either side: of toxic
-documents those with the words or word starts that toxic documents have most over
-others, later the ones that score highest, of other documents the hardest and some
-at random, and repeats that for some rounds. Toxic documents without a telling word
-are left out as mislabelled until one of their windows scores a half. Documents whose crc32 leaves HELD_OUT are
-never learnt from.
+up to CONTEXT words on either side: of toxic documents those with the words or word
+starts that toxic documents have most over others, later the ones that score highest,
+of other documents the hardest and some at random, and repeats that for some rounds.
+Toxic documents without a telling word are left out as mislabelled until one of their
+windows scores a half. Documents whose crc32 leaves HELD_OUT are never learnt from.
 
 Defined cases: null and empty texts score 0; labels that are null, or whose document
 is missing or null, teach nothing; without both labels every text scores 0;
 repeated rows score alike; a null doc_id isn't held out; an empty table gives no
-rows; input columns named like a result column are replaced. Words over 16 bytes
-count as several.
+rows; input columns named like a result column are replaced; a score on the threshold
+is toxic, and of windows that tie the first counts; a text of any length is scored
+whole, in memory in proportion to it. Words over 16 bytes count as several.
 """
 
 from __future__ import annotations

@@ -108,3 +108,31 @@ def test_encode_and_decode(spark):
         assert (r["piece_ids"] is None) == (r["text"] is None)
     assert next(r for r in out if r["doc_id"] == 3)["piece_ids"] == []
     assert pieces.encode(docs.limit(0)).count() == 0
+
+
+def test_registered_query(spark, vocabulary):
+    """Best and last scores of the query's rows equal those of plain dynamic programming over whole texts, which keeps the n best up to each place."""
+    import hashlib
+
+    from loomline.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op7_sentencepiece_nbest"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    encoded = {r["doc_id"]: r["piece_ids"] for r in pieces.encode(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")).collect()}
+    worth = {i: s for i, s in vocabulary.pieces.values()}
+    for r in rows:
+        text = texts[r["doc_id"]]
+        ids = encoded[r["doc_id"]]
+        assert r["decoded_same"] and vocabulary.decode(ids).decode() == text and r["n_pieces"] == len(ids)
+        assert r["pieces_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        if len(text) > 4000:  # the plain way takes too long; the score of the ids still has to be the best one's
+            continue
+        line = pieces.MARK + text.replace(" ", pieces.MARK) if text else ""
+        best = [[0.0]] + [[]] * len(line)
+        for end in range(1, len(line) + 1):
+            best[end] = sorted((s + score for start, _, score in vocabulary.into(line, end) for s in best[start]), reverse=True)[: pieces.BEST]
+        assert r["score"] == best[-1][0] and r["last_score"] == best[-1][-1] and r["n_segmentations"] == len(best[-1])
+        if all(i in worth for i in ids):
+            assert sum(worth[i] for i in ids) == r["score"]
