@@ -7,14 +7,14 @@ import argparse
 from pyspark.sql import SparkSession
 
 from loomline import config
-from loomline.plans.stages import STAGES, Options, run_stage
+from loomline.plans.stages import GROUPS, STAGES, Options, run_stage
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="loomline")
     run = top.add_subparsers(dest="command", required=True).add_parser("run")
     run.add_argument("--config", required=True)
-    run.add_argument("--stage", required=True, help=f"all, or of {', '.join(STAGES)}; several split by commas")
+    run.add_argument("--stage", required=True, help=f"of {', '.join([*GROUPS, *STAGES])}; several split by commas")
     run.add_argument("--limit", type=int)
     run.add_argument("--shard-id", type=int, default=0)
     run.add_argument("--num-shards", type=int, default=1)

@@ -172,7 +172,10 @@ def sample_sources(run: Run) -> str:
     docs = corpus.corpus_documents(corpus.read_corpus(run.spark, data["path"] or data["madlad_dataset"], lang, data["madlad_split"], data["reader_options"]))
     segs = segment.limited(segment.segments(docs, run.cfg, run.cfg["final_generation"]["blob"]["enabled"]), run.options.limit)
     blob = run.cfg["final_generation"]["blob"]
-    return run.keep("sample_sources", path, sample.sampled_sources(segs, run.cfg, lang), sample.targets(data["sample_pool_size"], blob["blob_ratio"], blob["enabled"]))
+    seen = Observation("seen")
+    sampled = sample.sampled_sources(segs.observe(seen, F.count("*").alias("segments")), run.cfg, lang)  # arrivals are counted here
+    targets = sample.targets(data["sample_pool_size"], blob["blob_ratio"], blob["enabled"])
+    return run.keep("sample_sources", path, sampled, {"seen": seen.get["segments"], **{f"{kind}_target": n for kind, n in targets.items()}})
 
 
 def prefiltered(sources: DataFrame, cfg: dict, texts: DataFrame, scores: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -276,12 +279,20 @@ STAGES: dict[str, Callable[[Run], str]] = {
 }
 
 
+#: Stages by what they need, so that a run can be split over two clusters.
+GROUPS = {
+    "all": tuple(STAGES),
+    "cpu": ("sample_sources", "select_sources", "format_filter", "export"),
+    "gpu": ("prefilter_score", "generate_128", "score_select_best"),
+}
+
+
 def run_stage(spark: SparkSession, cfg: dict, stage: str, options: Options | None = None) -> str | list[str]:
-    """One stage, several split by commas, or all."""
+    """One stage, several split by commas, or a group of GROUPS."""
     run = Run(spark, cfg, options)
-    names = list(STAGES) if stage == "all" else stage.split(",")
+    names = [s for name in stage.split(",") for s in GROUPS.get(name, (name,))]
     unknown = [n for n in names if n not in STAGES]
     if unknown:
-        raise ValueError(f"unknown stage: {', '.join(unknown)}; stages: {', '.join(STAGES)}")
+        raise ValueError(f"unknown stage: {', '.join(unknown)}; stages: {', '.join([*STAGES, *GROUPS])}")
     made = [STAGES[n](run) for n in names]
     return made[0] if len(made) == 1 else made

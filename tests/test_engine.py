@@ -228,7 +228,8 @@ def test_whole_run(spark, run_cfg, tmp_path, client):
     after = spark.read.schema(schemas.PREFILTERED).json(f"{run_cfg['run']['out_dir']}/prefilter_candidates.jsonl").count()
     assert before == after == 32  # 20 sentences, and all 12 blobs
     stats = spark.read.text(f"{run_cfg['run']['out_dir']}/stats/sample_sources.shard00").first()[0]
-    assert json.loads(stats)["sample_sources"]["rows"] == 32
+    told = json.loads(stats)["sample_sources"]
+    assert told["rows"] == 32 and told["seen"] == 84 and told["sentence_target"] == told["blob_target"] == 20
 
 
 def test_shards_limits_and_formats(spark, run_cfg):
@@ -242,6 +243,7 @@ def test_shards_limits_and_formats(spark, run_cfg):
     assert spark.read.parquet(run_stage(spark, cfg, "export")).count() <= 5
     with pytest.raises(ValueError):
         run_stage(spark, cfg, "no_such_stage")
+    assert [p.rsplit("/", 1)[1] for p in run_stage(spark, cfg, "gpu,export", Options(overwrite=True, client="stub"))] == ["prefilter_candidates.jsonl", "candidates_128.jsonl", "selected_best.jsonl", "final.parquet"]
 
 
 def test_cli_arguments():
