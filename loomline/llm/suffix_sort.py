@@ -214,10 +214,10 @@ class SuffixSorter:
         """Indexes of starred suffixes in sorted order, in chunks."""
         m = len(starred)
 
-        def size(who: np.ndarray) -> np.ndarray:
-            """Symbols to the next starred one, which is included."""
-            return np.where(who + 1 < m, starred[np.minimum(who + 1, m - 1)], self.n) - starred[who] + 1
-
+        sizes = self._array("sizes", m, np.int64)  # to the next one, which is included
+        for i in range(0, m, CHUNK):
+            part = starred[i : i + CHUNK + 1]
+            sizes[i : i + CHUNK] = (np.diff(part) if len(part) > CHUNK else np.diff(np.append(part, self.n))) + 1
         rank = self._array("rank", m + 1, np.int64)
         active = self._spool(np.arange(i, min(i + CHUNK, m)) for i in range(0, m, CHUNK))
         at = 0
@@ -225,9 +225,9 @@ class SuffixSorter:
 
             def letters(who: np.ndarray) -> np.ndarray:
                 out = np.zeros(len(who), np.uint64)
-                place, sizes = starred[who] + at, size(who)
+                place, size = starred[who] + at, sizes[who]
                 for j in range(4):
-                    inside = at + j < sizes
+                    inside = at + j < size
                     c = np.where(inside, self.t[np.minimum(place + j, self.n - 1)], PAD)
                     c[inside & (place + j >= self.n)] = 0
                     out = out << np.uint64(8) | c.astype(np.uint64)
@@ -235,7 +235,7 @@ class SuffixSorter:
 
             same = self._refine(rank, active, letters)
             at += 4
-            active = self._spool(a[size(a) >= at] for (a,) in same.forward())
+            active = self._spool(a[sizes[a] >= at] for (a,) in same.forward())
             same.drop()
         # Groups of equal names, from the ranks alone.
         active = self._groups(rank, m)
