@@ -148,6 +148,8 @@ def test_chat_end_alone(spark):
 
 def test_quality_counts(spark):
     docs = spark.createDataFrame(corpus(), DOCS)
+    twice = quality.quality(docs.unionByName(docs.limit(9))).collect()
+    assert len(twice) == len(corpus()) + 9 and len(set(map(str, twice))) == len(corpus())
     out = by_id(quality.quality(docs))
     for i, text, *_ in corpus():
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")

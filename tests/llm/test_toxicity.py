@@ -47,10 +47,14 @@ def corpus(n: int = 700):
 
 def test_held_out_accuracy(spark):
     rows, labels = corpus()
-    docs = spark.createDataFrame([*rows, (5000, None), (5001, "")], "doc_id long, text string").selectExpr("*", "'clash' as score")
+    more = [*rows[:5], (5000, None), (5001, ""), (5002, " ".join(t for _, t in rows)), (None, rows[0][1])]  # repeated rows, nulls, a long text
+    docs = spark.createDataFrame([*rows, *more], "doc_id long, text string").selectExpr("*", "'clash' as score")
     known = spark.createDataFrame([*labels, (6000, 1), (None, 1), (3, None)], "doc_id long, toxic int")
     scored = toxicity.toxicity(docs, known).withColumn("held_out", toxicity.held_out("doc_id")).collect()
-    assert all(r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in scored)
+    assert len(scored) == len(rows) + len(more)
+    assert all(r["held_out"] == (r["doc_id"] is not None and crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in scored)
+    of_text = {}
+    assert all(abs(of_text.setdefault(r["text"], r["score"]) - r["score"]) < 1e-6 for r in scored)
     out = {r["doc_id"]: r for r in scored}
     assert out[5000]["score"] == out[5001]["score"] == 0.0
     apart = [(out[i]["predicted"], y) for i, y in labels if out[i]["held_out"]]
