@@ -9,8 +9,8 @@ give every window's pooled value, so a window costs a few additions. A logistic
 regression on the three highest windows at least GAP words apart, the mean of all and
 their number gives the text's score.
 
-Training takes a bounded sample of labelled documents, at most SAMPLE of each label,
-the least by hash. A label belongs to a document, so training picks windows, read with
+Training takes a bounded sample of labelled documents, at most SAMPLE of each label and
+SAMPLE_BYTES of their text, the least by hash. A label belongs to a document, so training picks windows, read with
 up to CONTEXT words on either side: of toxic documents those with the words or word
 starts that toxic documents have most over others, later the ones that score highest,
 of other documents the hardest and some at random, and repeats that for some rounds.
@@ -30,7 +30,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,8 @@ EVIDENT, DOUBTED = 3.0, 0.25
 DROPPED = 0.3
 #: Labelled documents of each label that training takes at most: toxic, other.
 SAMPLE = (800, 1500)
+#: Text of either label at which training takes no further documents: what the driver gets is bounded, however long they are.
+SAMPLE_BYTES = 32_000_000
 #: Part of the sample that the network doesn't learn from: it fits how windows make up a document's score.
 APART = 0.25
 ROUNDS = 8
@@ -481,7 +483,9 @@ def labelled(docs: DataFrame, labels: DataFrame, doc: str, text: str, label: str
     order = [F.xxhash64("__id"), "__id", "y"]
     chosen = usable.filter("y = 1").orderBy(*order).limit(sample[0]).unionByName(usable.filter("y = 0").orderBy(*order).limit(sample[1]))
     joined = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("doc") == F.col("__id"))
-    return [(r["text"], r["y"]) for r in joined.filter("text is not null").orderBy(*order, "text").select("text", "y").collect()]
+    before = F.sum(F.octet_length("text")).over(Window.partitionBy("y").orderBy(*order, "text")) - F.octet_length("text")
+    bounded = joined.filter("text is not null").withColumn("before", before).filter(F.col("before") < SAMPLE_BYTES)
+    return [(r["text"], r["y"]) for r in bounded.orderBy(*order, "text").select("text", "y").collect()]
 
 
 OUT = [column("score", T.DoubleType()), column("predicted", T.IntegerType())]

@@ -63,6 +63,18 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in scored)
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    rows, labels = corpus(200)
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole = toxicity.labelled(docs, known, "doc_id", "text", "toxic", (15, 40))
+    assert sum(y for _, y in whole) == 15 and len(whole) == 55
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 2000)
+    part = toxicity.labelled(docs, known, "doc_id", "text", "toxic", (15, 40))
+    for y in (0, 1):
+        own, all_of = ([t for t, label in found if label == y] for found in (part, whole))
+        assert own == all_of[: len(own)] and sum(map(len, own[:-1])) < 2000 <= sum(map(len, own))
+
+
 def test_without_both_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
