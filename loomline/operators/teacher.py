@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +74,8 @@ class HttpClient:
     use_proxies: bool = False
     send: Callable[[dict, dict], dict] | None = None
     sleep: Callable[[float], None] = time.sleep
+    #: Requests that were made again.
+    retries: int = 0
 
     def valid(self, text: str | None) -> bool:
         if text is None or len(text.strip()) < self.min_chars:
@@ -104,6 +107,7 @@ class HttpClient:
                     raise TemplateMissing("the model server has no chat template; start it with one") from e
                 if attempt == len(delays):
                     raise
+                self.retries += 1
                 self.sleep(delays[attempt])
         raise AssertionError
 
@@ -140,26 +144,33 @@ Ask = Callable[[Client, list[dict], str], dict]
 ROWS_A_THREAD = 4
 
 
-def call_model(rows: DataFrame, make: ClientFactory, asks: list[Ask], schema: str, concurrency: int) -> DataFrame:
-    """What all asks say to each row (source_id, messages), as rows of schema with source_id first. A row's asks run beside each other."""
+def call_model(rows: DataFrame, make: ClientFactory, asks: list[Ask], schema: str, concurrency: int, retries: Accumulator | None = None) -> DataFrame:
+    """What all asks say to each row (source_id, messages), as rows of schema with source_id first.
+
+    A row's asks run beside each other. retries gets the number of requests that clients made again.
+    """
     tasks = max(1, min(concurrency, rows.sparkSession.sparkContext.defaultParallelism))
     threads = max(1, concurrency // tasks)
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
+        counted = 0
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
                 for at in range(0, len(batch), threads * ROWS_A_THREAD):
                     part = batch.iloc[at : at + threads * ROWS_A_THREAD]
                     said = [[pool.submit(ask, client, [{"role": m["role"], "content": m["content"]} for m in ms], i) for ask in asks] for i, ms in zip(part["source_id"], part["messages"])]
                     got = [{"source_id": i, **{k: v for one in own for k, v in one.result().items()}} for i, own in zip(part["source_id"], said)]
+                    if retries is not None and (again := getattr(client, "retries", 0)) > counted:
+                        retries.add(again - counted)
+                        counted = again
                     yield pd.DataFrame(got, columns=names)
 
     return rows.select("source_id", "messages").repartition(tasks).mapInPandas(run, schema)
 
 
-def two_translations(sources: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame:
+def two_translations(sources: DataFrame, cfg: dict, make: ClientFactory, retries: Accumulator | None = None) -> DataFrame:
     """(source_id, greedy_text, sample_text)."""
     g, (src, tgt) = cfg["teacher"]["generation"], (cfg["data"]["src_lang"], cfg["data"]["tgt_lang"])
 
@@ -168,10 +179,10 @@ def two_translations(sources: DataFrame, cfg: dict, make: ClientFactory) -> Data
 
     rows = sources.select("source_id", F.expr(prompts.translation_messages("source_text", src, tgt)).alias("messages"))
     asks = [one(g["greedy_temperature"], "greedy"), one(g["sample_temperature"], "sample")]
-    return call_model(rows, make, asks, "source_id string, greedy_text string, sample_text string", cfg["teacher"]["max_concurrency"])
+    return call_model(rows, make, asks, "source_id string, greedy_text string, sample_text string", cfg["teacher"]["max_concurrency"], retries)
 
 
-def many_candidates(sources: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame:
+def many_candidates(sources: DataFrame, cfg: dict, make: ClientFactory, retries: Accumulator | None = None) -> DataFrame:
     """(source_id, translations)."""
     g, final, (src, tgt) = cfg["teacher"]["generation"], cfg["final_generation"], (cfg["data"]["src_lang"], cfg["data"]["tgt_lang"])
     params = Generation(g["final_temperature"], g["top_p"], g["max_tokens"], 1, g["seed"])
@@ -180,10 +191,10 @@ def many_candidates(sources: DataFrame, cfg: dict, make: ClientFactory) -> DataF
         return {"translations": candidates_of(client, messages, final["num_candidates"], params, final["strategy"], source_id, g.get("seed_step", 0))}
 
     rows = sources.select("source_id", F.expr(prompts.translation_messages("source_text", src, tgt)).alias("messages"))
-    return call_model(rows, make, [ask], "source_id string, translations array<string>", max(1, cfg["teacher"]["max_concurrency"] // 4))
+    return call_model(rows, make, [ask], "source_id string, translations array<string>", max(1, cfg["teacher"]["max_concurrency"] // 4), retries)
 
 
-def judge_replies(pairs: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame:
+def judge_replies(pairs: DataFrame, cfg: dict, make: ClientFactory, retries: Accumulator | None = None) -> DataFrame:
     """(source_id, reply); a call that fails for good gives a null reply."""
     j, (src, tgt) = cfg["filters"]["llm_judge"], (cfg["data"]["src_lang"], cfg["data"]["tgt_lang"])
 
@@ -194,7 +205,7 @@ def judge_replies(pairs: DataFrame, cfg: dict, make: ClientFactory) -> DataFrame
             return {"reply": None}
 
     rows = pairs.select("source_id", F.expr(prompts.judge_messages("source_text", "target_text", src, tgt)).alias("messages"))
-    return call_model(rows, make, [ask], "source_id string, reply string", cfg["teacher"]["max_concurrency"])
+    return call_model(rows, make, [ask], "source_id string, reply string", cfg["teacher"]["max_concurrency"], retries)
 
 
 # The stub is a stand-in without a model: its translations are expressions, so a whole run is one plan.

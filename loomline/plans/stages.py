@@ -35,6 +35,8 @@ class Run:
         self.spark, self.cfg, self.options = spark, cfg, options or Options()
         self.folder = cfg["run"]["out_dir"].rstrip("/")
         self.log = logger(cfg["run"]["log_level"], cfg["run"]["log_file"])
+        #: Requests that clients made again in the stage that runs; a task that is run again counts again.
+        self.retries = spark.sparkContext.accumulator(0)
 
     def path(self, name: str, sharded: bool = False) -> str:
         path = f"{self.folder}/{name}.jsonl"
@@ -115,8 +117,9 @@ class Run:
             if done - logged >= every or part == parts - 1:
                 self.log.info("%s: about %d of %d sources", stage, done, total)
                 logged = done
-        made = list(counts.values())
-        self.stats(stage, {"processed": total, "rows": made[-1], **({"rejected": made[0]} if len(made) > 1 else {}), "parts": parts, **_pace(total, start)})
+        made, again = list(counts.values()), self.retries.value
+        self.retries = self.spark.sparkContext.accumulator(0)
+        self.stats(stage, {"processed": total, "retries": again, "rows": made[-1], **({"rejected": made[0]} if len(made) > 1 else {}), "parts": parts, **_pace(total, start)})
 
     def work(self, name: str, rows: DataFrame) -> DataFrame:
         """rows written and read back: what a model says is asked for once, whatever reads it and whoever is lost."""
@@ -196,7 +199,7 @@ def prefilter_score(run: Run) -> str:
         if run.stub:
             texts = todo.select("source_id", F.expr(teacher.stub_greedy("source_text")).alias("greedy_text"), F.expr(teacher.stub_sample("source_text", "source_id")).alias("sample_text"))
         else:
-            texts = run.work("translations", teacher.two_translations(todo, run.cfg, run.client()))
+            texts = run.work("translations", teacher.two_translations(todo, run.cfg, run.client(), run.retries))
         return {path: prefiltered(todo, run.cfg, texts, run.scores)}
 
     run.added("prefilter_score", run.todo(run.read("sampled_sources", schemas.SAMPLED), schemas.PREFILTERED, path), make)
@@ -218,7 +221,7 @@ def generate_candidates(run: Run) -> str:
     def make(todo: DataFrame) -> dict[str, DataFrame]:
         if run.stub:
             return {path: todo.select("source_id", F.expr(teacher.stub_candidates("source_text", n)).alias("translations"))}
-        return {path: teacher.many_candidates(todo, run.cfg, run.client())}
+        return {path: teacher.many_candidates(todo, run.cfg, run.client(), run.retries)}
 
     run.added("generate_128", run.todo(run.read("selected_sources", schemas.PREFILTERED), schemas.CANDIDATES, path), make)
     return path
@@ -250,7 +253,7 @@ def format_filter(run: Run) -> str:
     def make(pairs: DataFrame) -> dict[str, DataFrame]:
         passed, rejected = filters.split_rejected(filters.with_rule_reason(pairs, run.cfg))
         if judge["enabled"]:  # only pairs that the rules pass reach the model
-            replies = passed.select("source_id", F.expr(teacher.stub_reply("source_id")).alias("reply")) if run.stub else run.work("judge_replies", teacher.judge_replies(passed, run.cfg, run.client(judge["model"])))
+            replies = passed.select("source_id", F.expr(teacher.stub_reply("source_id")).alias("reply")) if run.stub else run.work("judge_replies", teacher.judge_replies(passed, run.cfg, run.client(judge["model"]), run.retries))
             passed, also = filters.split_rejected(filters.with_judgement(passed, replies, judge["fail_policy"]))
             rejected = rejected.unionByName(also)
         return {out: rejected, kept: passed}

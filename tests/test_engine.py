@@ -426,3 +426,16 @@ def test_ordinals_over_partitions(spark):
     rows = spark.createDataFrame([(f"t{i}",) for i in range(100)], "text string").repartition(7)
     got = corpus.with_ordinal(rows).collect()
     assert sorted(r["ordinal"] for r in got) == list(range(100)) and [r["text"] for r in sorted(got, key=lambda r: r["ordinal"])] == [r["text"] for r in rows.collect()]
+
+
+def test_retries_are_counted(spark, run_cfg):
+    from loomline.queries import Flaky
+
+    run_stage(spark, run_cfg, "sample_sources", Options(limit=16))
+    make = lambda: teacher.HttpClient("http://none", "m", max_attempts=4, backoff_s=[0.0], send=Flaky(), sleep=lambda s: None, error_substrings=("internal server error",))
+    cfg = config.merged(run_cfg, {"teacher": {"max_concurrency": 1}})
+    run_stage(spark, cfg, "prefilter_score", Options(client=make))
+    out = cfg["run"]["out_dir"]
+    texts = [r["source_text"] for r in spark.read.schema(schemas.SAMPLED).json(f"{out}/sampled_sources.jsonl").collect()]
+    told = json.loads(spark.read.text(f"{out}/stats/prefilter_score.shard00").first()[0])["prefilter_score"]
+    assert told["processed"] == len(texts) and told["retries"] == 2 * sum(len(t) % 4 for t in texts) > 0
