@@ -74,20 +74,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = cut(minhash.near_duplicates(docs).filter("n_shingles > 0").select("doc_id", "text_hash", "group_id"))
     first = found.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    judged = cut(found.join(first, "group_id").select("doc_id", "text_hash", own.alias("stays")))
-    removed = judged.filter("not stays").select("doc_id", "text_hash").distinct()
-    repeated = judged.filter("stays").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "text_hash")
-    marked = docs.withColumn(hashed, F.xxhash64("text"))
-
-    def among(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
-        some = cut(some.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")))
-        if some.limit(BROADCAST_REMOVED + 1).count() <= BROADCAST_REMOVED:
-            some = F.broadcast(some)
-        return rows.join(some, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col(hashed) == F.col("__hash")), how)
-
-    left = among(marked, removed, "left_anti")
-    if not repeated.isEmpty():
-        left = among(left, repeated, "left_anti").unionByName(among(left, repeated, "left_semi").dropDuplicates(["doc_id", hashed]))
+    judged = found.join(first, "group_id").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.bool_or(own).alias("stays")).filter("not stays or n > 1")
+    some = cut(judged.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("stays").alias("__stays")))
+    repeated = not some.filter("__stays").isEmpty()
+    if some.limit(BROADCAST_REMOVED + 1).count() <= BROADCAST_REMOVED:
+        some = F.broadcast(some)
+    joined = docs.withColumn(hashed, F.xxhash64("text")).join(some, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col(hashed) == F.col("__hash")), "left")
+    left = joined.filter("__stays is null")
+    if repeated:  # of equal rows one
+        left = left.unionByName(joined.filter("__stays").dropDuplicates(["doc_id", hashed]))
     return left.select(*[f"`{c}`" for c in docs.columns])
 
 
