@@ -41,9 +41,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Lineage cut by a reliable checkpoint."""
+    """Lineage cut by a reliable checkpoint.
+
+    Spark's cleaner deletes shuffle files when the driver's collector finds that no
+    plan needs them; it is asked to look, as a small heap would seldom do by itself.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    made = df.checkpoint()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return made
 
 
 def shuffle_parts(spark: SparkSession) -> int:
