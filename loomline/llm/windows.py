@@ -76,10 +76,12 @@ class Units:
         if n <= 0:
             none = np.empty(0, np.int64)
             return none, none, np.empty(0, np.uint64)
+        # Each doubling has a factor of its own, so every unit of a gram has; one mixing at the end makes their order random.
         grams, span = hashes, 1
         while span < self.gram:
-            grams = mix(grams[:-span] * np.uint64(0x9E3779B97F4A7C15) + grams[span:])
+            grams = grams[:-span] * np.uint64((0x9E3779B97F4A7C15 * (2 * span + 1) | 1) & 0xFFFFFFFFFFFFFFFF) + grams[span:]
             span *= 2
+        grams = mix(grams)
         width, least, have = self.window - self.gram + 1, grams, 1
         while 2 * have <= width:
             least = np.minimum(least[:-have], least[have:])
