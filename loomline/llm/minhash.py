@@ -11,12 +11,16 @@ Documents with one and the same set are one node. Candidates aren't all pairs of
 band: each node is compared with the band's least node first; components of the
 confirmed links follow. Only where a band's nodes still stand in different
 components, those outside the band's largest component are compared with all that
-the estimate allows, nearest first and no further once a link joins two components,
-in blocks of a bounded size. A band with many nodes outside is split first: two sets
-that reach the threshold share one of the first shingles of each, by rarity in the
-band, so only nodes that share such a shingle meet. So a group of near copies costs
-about its size, as does a band of nodes that don't link, and no link between
-components is lost within a band. Bands miss a pair at the threshold with probability
+the estimate allows, in blocks of a bounded size. A block's intersections are counted
+from what each set has other than most of the block's, so a pair of near copies costs
+some nanoseconds; links so found are confirmed on full sets. Bands with one and the
+same largest component, as near copies have them by the dozen, are put together
+where that makes fewer pairs. A band with many nodes outside is split where that
+makes fewer rows than blocks: two sets that reach the threshold share one of the
+first shingles of each, by rarity in the band, so only nodes that share such a
+shingle meet. No link between components is lost within a band; nodes outside a
+component of near copies still meet each of it, once and by the cheap count.
+Bands miss a pair at the threshold with probability
 under 1e-7 where both sets fill the registers. Registers of smaller sets are borrowed
 and their estimates wider, so such candidates are compared on full sets at once.
 
@@ -29,7 +33,7 @@ read, so none can clash; texts of any length are read whole; an empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +55,12 @@ MANTISSA = 10
 ERRORS = 5
 #: Nodes on either side of a task's block of comparisons.
 BLOCK = 500
-#: Nodes outside a band's largest component above which the band is split by rare shingles.
+#: Nodes outside a band's largest component above which the band may be split by rare shingles.
 SPLIT = 500
+#: Rows of single shingles that cost about as much as a row of a block, which holds a text.
+SHINGLES_A_ROW = 4
+#: Bytes of registers, or entries of sets, that are compared at once.
+AT_ONCE = 1 << 22
 #: Parts that the join of bands with their least nodes is dealt in beside the band itself.
 SALTS = 16
 #: Nodes whose ids are broadcast to fetch their texts at most (some 100 bytes each).
@@ -109,16 +117,16 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return registers
 
 
-def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Probability that registers of disjoint sets of n and m elements are equal."""
+def mass(n: np.ndarray) -> np.ndarray:
+    """Probabilities of a register's leading zeros in sets of n elements, along a new last axis."""
     at = np.arange(0, 40, dtype=np.float64)
-    a = np.maximum(1.0, np.asarray(n, np.float64) / REGISTERS)[..., None]
-    b = np.maximum(1.0, np.asarray(m, np.float64) / REGISTERS)[..., None]
+    x = np.maximum(1.0, np.asarray(n, np.float64) / REGISTERS)[..., None]
+    return (1 - 2.0 ** -(at + 1)) ** x - (1 - 2.0**-at) ** x
 
-    def mass(x: np.ndarray) -> np.ndarray:
-        return (1 - 2.0 ** -(at + 1)) ** x - (1 - 2.0**-at) ** x
 
-    return (mass(a) * mass(b)).sum(-1) / 2**MANTISSA
+def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Probability that registers of disjoint sets of n and m elements are equal."""
+    return (mass(n) * mass(m)).sum(-1) / 2**MANTISSA
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -230,57 +238,106 @@ def packed_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return found.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
 
 
+def shared_counts(sets: list[np.ndarray], rows: Iterable[int]) -> Iterator[np.ndarray]:
+    """For each of rows, the sizes of its set's intersections with all sets; each set's items are distinct.
+
+    Items that most sets have are counted where they lack, the others where they are.
+    The sizes of two sets' differences from the set of those items, and of what these
+    have in common, give the sizes of intersections.
+    """
+    m, size = len(sets), np.array([len(x) for x in sets])
+    _, item, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m, dtype=np.int32), size)
+    most = 2 * count > m
+    number = np.cumsum(most) - 1
+    held = most[item]
+    lacking = np.ones((int(most.sum()), m), bool)  # no more than twice the entries, as each has a row for half the sets
+    lacking[number[item[held]], owner[held]] = False
+    differs = lacking.sum(0) + np.bincount(owner[~held], minlength=m)
+    lacked, lacker = np.nonzero(lacking)
+    met = ~held & (count[item] > 1)
+    items = np.concatenate([item[met], np.flatnonzero(most)[lacked]])
+    owners = np.concatenate([owner[met], lacker.astype(np.int32)])
+    by_item, by_owner = owners[np.argsort(items, kind="stable")], items[np.argsort(owners, kind="stable")]
+    length = np.bincount(items, minlength=len(count))
+    start, own = np.cumsum(length) - length, np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=m))])
+    for i in rows:
+        mine, common = by_owner[own[i] : own[i + 1]], np.zeros(m, np.int64)
+        for some in np.array_split(mine, 1 + int(length[mine].sum()) // AT_ONCE):
+            n = length[some]
+            places = np.repeat(start[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            common += np.bincount(by_item[places], minlength=m)
+        common[i] = differs[i]
+        yield (size + size[i] - (differs + differs[i] - 2 * common)) // 2
+
+
 def settled_links(rows: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """Confirmed links between components of one block of a band, as many as join them.
 
     rows: (band, number, block, outside, node, root, sketch, n_shingles, packed), blocks
     together and sorted. Each node outside the band's largest component meets the
-    nodes of other components that the estimate allows, the most alike first, on full
-    sets, until one joins them; then the rest of that component needs no comparison.
+    nodes of other components that the estimate allows. Their intersections are counted
+    by hashes of shingles; one link to a component, confirmed on full sets, is enough.
     Two nodes are compared only in the first band that they share.
     """
     least = least_estimate(similarity)
-    width = REGISTERS // BAND
+
+    def candidates(number: int, regs: np.ndarray, sizes: np.ndarray, comp: np.ndarray, outside: np.ndarray, across: np.ndarray) -> np.ndarray:
+        """Whether each node outside (a row) is to be compared with each node (a column)."""
+        whole, by_zeros = regs.view(np.uint64)[:, :number], mass(sizes)  # the bands before this one, a band in eight bytes
+        found = np.zeros((len(outside), len(sizes)), bool)
+        step = max(1, AT_ONCE // (2 * REGISTERS * len(sizes)))
+        for k in range(0, len(outside), step):
+            some = outside[k : k + step]
+            smaller = np.minimum.outer(sizes[some], sizes)
+            able = (comp[some][:, None] != comp) & across & (100 * smaller >= similarity * np.maximum.outer(sizes[some], sizes))
+            x, y = np.nonzero(able)
+            if number and len(x):
+                new = ~(whole[some[x]] == whole[y]).any(1)
+                x, y = x[new], y[new]
+            by_chance = (by_zeros[some] @ by_zeros.T)[x, y] / 2**MANTISSA
+            est = ((regs[some[x]] == regs[y]).mean(1) - by_chance) / (1 - by_chance)
+            near = (est >= least) | (smaller[x, y] < REGISTERS)
+            found[k + x[near], y[near]] = True
+        return found
 
     def compare(number: int, block: int, group: list[tuple]) -> Iterator[pa.RecordBatch]:
-        outside = [i for i, r in enumerate(group) if r[0]]
-        if not outside or len(group) < 2:
+        outside = np.flatnonzero([bool(r[0]) for r in group])
+        if not len(outside) or len(group) < 2:
             return
         regs = np.stack([np.frombuffer(r[3], np.uint16) for r in group])
-        whole = regs.reshape(len(group), width, BAND)[:, :number]  # the bands before this one
         sizes = np.array([r[4] for r in group])
         _, comp = np.unique([r[2] for r in group], return_inverse=True)
         # In a block of kind 2 the nodes outside have met each other elsewhere.
         across = ~np.array([bool(r[0]) for r in group]) if block >> 60 == 2 else np.ones(len(group), bool)
-        unpack = zstandard.ZstdDecompressor().decompress
-        sets: dict[int, set] = {}
+        able = candidates(number, regs, sizes, comp, outside, across)
+        meets = able.any(1)
+        outside, able = outside[meets], able[meets]
+        if not len(outside):
+            return
+        unpack, hashes = zstandard.ZstdDecompressor().decompress, WordHashes()
 
         def shingles(i: int) -> set:
-            if i not in sets:
-                w = words_of(unpack(group[i][5]))
-                sets[i] = set(zip(*(w[k:] for k in range(shingle)))) if len(w) >= shingle else {tuple(w)}
-            return sets[i]
+            w = words_of(unpack(group[i][5]))
+            return set(zip(*(w[k:] for k in range(shingle)))) if len(w) >= shingle else {tuple(w)}
 
+        used = np.union1d(outside, np.flatnonzero(able.any(0)))
+        able, sizes, comp = able[:, used], sizes[used], comp[used]
+        sets = [shingle_hashes(words_of(unpack(group[i][5])), shingle, hashes) for i in used.tolist()]
+        places = np.searchsorted(used, outside).tolist()
         a, b = [], []
-        for i in outside:
-            ahead = np.flatnonzero((comp != comp[i]) & across & (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])))
-            if number and len(ahead):
-                ahead = ahead[~(whole[ahead] == whole[i]).all(2).any(1)]
-            if not len(ahead):
-                continue
-            est = estimate(regs[ahead], regs[i], sizes[ahead], sizes[i])
-            near = np.flatnonzero((est >= least) | (np.minimum(sizes[ahead], sizes[i]) < REGISTERS))
+        for i, can, both in zip(places, able, shared_counts(sets, places)):
             x = None
-            for j in ahead[near[np.argsort(-est[near], kind="stable")]].tolist():
+            for j in np.flatnonzero(can & (100 * both >= similarity * (sizes + sizes[i] - both))).tolist():
                 if comp[j] == comp[i]:
                     continue
-                x = shingles(i) if x is None else x
-                y = shingles(j)
+                x = shingles(used[i]) if x is None else x
+                y = shingles(used[j])
                 both = len(x & y)
                 if 100 * both >= similarity * (len(x) + len(y) - both):
                     comp[comp == comp[j]] = comp[i]
-                    a.append(group[i][1])
-                    b.append(group[j][1])
+                    a.append(group[used[i]][1])
+                    b.append(group[used[j]][1])
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -306,6 +363,26 @@ def _mixed(rooted: DataFrame) -> DataFrame:
     return held.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots")).filter("roots > 1 and all > 2")
 
 
+def _gathered(rooted: DataFrame, mixed: DataFrame) -> DataFrame:
+    """rooted's mixed bands, those with one largest component put together as a band 0 where that makes fewer pairs."""
+    at = rooted.join(mixed.select("band", F.col("top.root").alias("largest")), "band")
+    apart = mixed.groupBy(F.col("top.root").alias("largest")).agg(F.sum(F.expr("(all - top.n) * all")).alias("pairs"))
+    members = cut(at.select("largest", "node", "root").distinct())
+    whole = members.groupBy("largest").agg(F.count("*").alias("n"), F.count_if(F.col("root") != F.col("largest")).alias("outside"))
+    chosen = cut(whole.join(apart, "largest").filter("outside * n < pairs").select("largest"))
+    together = members.join(chosen, "largest").select(F.xxhash64("largest", F.lit("largest")).alias("band"), F.lit(0).alias("number"), "node", "root")
+    return at.join(chosen, "largest", "left_anti").select("band", "number", "node", "root").unionByName(together)
+
+
+def _crowds(rooted: DataFrame, mixed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Bands with many nodes outside whose shingles are fewer rows, by their cost, than their blocks."""
+    outer, inner = f"ceil((all - top.n) / {BLOCK})", f"ceil(top.n / {BLOCK})"
+    rows = F.expr(f"(all - top.n) * ({outer} + {inner}) + top.n * {outer}")
+    many = mixed.filter(f"all - top.n > {SPLIT}").select("band", rows.alias("rows"))
+    shingles = rooted.join(many, "band").join(nodes.select("node", "n_shingles"), "node").groupBy("band").agg(F.sum("n_shingles").alias("shingles"), F.first("rows").alias("rows"))
+    return shingles.filter(F.col("shingles") < SHINGLES_A_ROW * F.col("rows")).select("band")
+
+
 def _dealt(rooted: DataFrame, mixed: DataFrame) -> DataFrame:
     """(band, number, node, root, outside, block): each node outside the largest component meets every other node of the band in one block.
 
@@ -358,12 +435,12 @@ def _split(rooted: DataFrame, texts: DataFrame, shingle: int, similarity: int) -
 def _blocks(banded: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """Bands that still hold several components, as settled_links takes them."""
     rooted = cut(banded.join(links, "node", "left").select("band", "number", "node", F.coalesce("root", "node").alias("root")))
+    rooted = cut(_gathered(rooted, cut(_mixed(rooted))))
     mixed = cut(_mixed(rooted))
-    many = mixed.filter(f"all - top.n > {SPLIT}").select("band")
-    dealt = _dealt(rooted, mixed.filter(f"all - top.n <= {SPLIT}"))
-    if not many.isEmpty():
-        finer = cut(_split(rooted.join(many, "band", "left_semi"), texts, shingle, similarity))
-        dealt = dealt.unionByName(_dealt(finer, _mixed(finer)))
+    dealt = _dealt(rooted, mixed)
+    if not mixed.filter(f"all - top.n > {SPLIT}").isEmpty() and not (crowds := cut(_crowds(rooted, mixed, nodes))).isEmpty():
+        finer = cut(_split(rooted.join(crowds, "band", "left_semi"), texts, shingle, similarity))
+        dealt = _dealt(rooted, mixed.join(crowds, "band", "left_anti")).unionByName(_dealt(finer, _mixed(finer)))
     full = dealt.join(nodes.select("node", "sketch", "n_shingles"), "node").join(texts, "node")
     wanted = full.select("band", "number", "block", "outside", "node", "root", "sketch", "n_shingles", "packed")
     return wanted.repartition("band", "block").sortWithinPartitions("band", "number", "block", "node")

@@ -275,6 +275,37 @@ def test_a_hot_band_costs_its_size(spark, monkeypatch):
     assert made[-1].count() < 8 * n  # blocks of 100 without the split would get each of some thousand nodes dozens of times
 
 
+def test_a_group_of_near_copies_costs_its_size(spark, monkeypatch):
+    """Copies that differ too much from their group meet it once, not in each band nor by each of their rare shingles."""
+    made = []
+    blocks = minhash._blocks
+    monkeypatch.setattr(minhash, "_blocks", lambda *a: made.append(blocks(*a)) or made[-1])
+    monkeypatch.setattr(minhash, "BLOCK", 50)
+    monkeypatch.setattr(minhash, "SPLIT", 10)
+    rng = random.Random(17)
+    base, rows = [f"b{i}" for i in range(120)], []
+    for i in range(300):
+        text = list(base)
+        for at in rng.sample(range(120), rng.randrange(1, 5) if i % 3 else rng.randrange(11, 16)):
+            text[at] = f"v{rng.randrange(40)}"
+        rows.append((i, " ".join(text)))
+    out = by_id(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2))
+    for i, (n, component) in plain_components(rows, 2, 80).items():
+        assert (out[i]["n_shingles"], out[i]["component_id"]) == (n, component), i
+    assert made[-1].count() < 10 * len(rows)
+
+
+def test_shared_counts(monkeypatch):
+    rng = np.random.default_rng(8)
+    for at_once in (1 << 22, 3):
+        monkeypatch.setattr(minhash, "AT_ONCE", at_once)
+        for most in (0, 30):  # items that most sets have
+            sets = [np.unique(np.concatenate([rng.choice(most, most * 9 // 10, replace=False), rng.integers(most, 90, rng.integers(1, 20))])).astype(np.uint64) for _ in range(25)]
+            rows = [0, 3, 24]
+            for i, counts in zip(rows, minhash.shared_counts(sets, rows), strict=True):
+                assert counts.tolist() == [len(np.intersect1d(sets[i], x)) for x in sets]
+
+
 def test_blocks_of_a_band(monkeypatch, spark):
     """Small blocks and an early split give the same components."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
