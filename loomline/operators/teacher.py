@@ -15,6 +15,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any, Protocol
 
 import pandas as pd
@@ -95,9 +96,10 @@ class HttpClient:
         if params.seed is not None:
             payload["seed"] = params.seed
         delays = backoff_schedule(self.backoff_s, self.max_attempts)
+        headers = {"Idempotency-Key": idempotency_key(payload, request_id)}  # of all attempts
         for attempt in range(len(delays) + 1):
             try:
-                answer = (self.send or self._post)(payload, {"Idempotency-Key": idempotency_key(payload, request_id)})
+                answer = (self.send or self._post)(payload, dict(headers))
                 texts = [c["message"]["content"] for c in answer["choices"]]
                 if not texts or not all(map(self.valid, texts)):
                     raise RuntimeError("the model's answer is empty or invalid")
@@ -140,8 +142,8 @@ def candidates_of(client: Client, messages: list[dict], n: int, params: Generati
 
 #: A model's answer to a row, as some of its values.
 Ask = Callable[[Client, list[dict], str], dict]
-#: Rows that a thread has at a time: what a task holds, and loses if its executor is lost.
-ROWS_A_THREAD = 4
+#: Rows that a thread has at a time, and answered rows that a task holds at least before it hands them on: a table of few rows costs more than most answers.
+ROWS_A_THREAD, ROWS_A_TABLE = 4, 128
 
 
 def call_model(rows: DataFrame, make: ClientFactory, asks: list[Ask], schema: str, concurrency: int, retries: Accumulator | None = None) -> DataFrame:
@@ -157,15 +159,19 @@ def call_model(rows: DataFrame, make: ClientFactory, asks: list[Ask], schema: st
         client = make()
         counted = 0
         with ThreadPoolExecutor(threads) as pool:
+            said_by = (lambda *x: pool.submit(*x).result) if threads > 1 else (lambda ask, *x: partial(ask, *x))  # one thread is the task's own
             for batch in batches:
-                for at in range(0, len(batch), threads * ROWS_A_THREAD):
-                    part = batch.iloc[at : at + threads * ROWS_A_THREAD]
-                    said = [[pool.submit(ask, client, [{"role": m["role"], "content": m["content"]} for m in ms], i) for ask in asks] for i, ms in zip(part["source_id"], part["messages"])]
-                    got = [{"source_id": i, **{k: v for one in own for k, v in one.result().items()}} for i, own in zip(part["source_id"], said)]
+                ids, asked, got = batch["source_id"].tolist(), batch["messages"].tolist(), []
+                for at in range(0, len(ids), threads * ROWS_A_THREAD):
+                    part = slice(at, at + threads * ROWS_A_THREAD)
+                    said = [[said_by(ask, client, [{"role": m["role"], "content": m["content"]} for m in ms], i) for ask in asks] for i, ms in zip(ids[part], asked[part])]
+                    got += [{"source_id": i, **{k: v for one in own for k, v in one().items()}} for i, own in zip(ids[part], said)]
                     if retries is not None and (again := getattr(client, "retries", 0)) > counted:
                         retries.add(again - counted)
                         counted = again
-                    yield pd.DataFrame(got, columns=names)
+                    if len(got) >= ROWS_A_TABLE or part.stop >= len(ids):
+                        yield pd.DataFrame(got, columns=names)
+                        got = []
 
     return rows.select("source_id", "messages").repartition(tasks).mapInPandas(run, schema)
 

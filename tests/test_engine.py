@@ -439,3 +439,16 @@ def test_retries_are_counted(spark, run_cfg):
     texts = [r["source_text"] for r in spark.read.schema(schemas.SAMPLED).json(f"{out}/sampled_sources.jsonl").collect()]
     told = json.loads(spark.read.text(f"{out}/stats/prefilter_score.shard00").first()[0])["prefilter_score"]
     assert told["processed"] == len(texts) and told["retries"] == 2 * sum(len(t) % 4 for t in texts) > 0
+
+
+def test_retried_requests_are_dealt_over_all_tasks(spark):
+    """client_retries has a client a task, and tasks hand on tables of many answers, each row once."""
+    from loomline.queries import QUERIES
+
+    made = QUERIES["client_retries"](spark, "/root/testdata/sf0.001")
+    assert made.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("source_id"), F.expr("array(named_struct('role', 'user', 'content', 'x'))").alias("messages"))
+    for concurrency in (1, 3, 9):
+        asks = [lambda c, ms, i: {"a": f"{ms[0]['content']}{i}"}, lambda c, ms, i: {"b": i}]
+        got = teacher.call_model(rows, lambda: None, asks, "source_id string, a string, b string", concurrency).collect()
+        assert sorted((r["source_id"], r["a"], r["b"]) for r in got) == sorted((str(i), f"x{i}", str(i)) for i in range(1000))
