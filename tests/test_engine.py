@@ -81,6 +81,39 @@ def test_null_ids_are_sampled_alike(spark, monkeypatch, nulls):
     assert sum(n < nulls for n in pruned) == min(nulls, 300) or nulls == 39_000 and sum(n < nulls for n in pruned[:120]) == 120
 
 
+def _kinds(spark):
+    return spark.range(40_000).select(
+        ((F.col("id") * 7919) % 40_000).alias("doc_ord"), F.expr("if(id % 4 = 0, 'blob', 'sentence')").alias("segment_type"), F.lit(0).alias("segment_index"), F.expr("case when id % 5 = 0 then 1 when id < 40 then 2 else 0 end").alias("length_bucket_id")
+    )
+
+
+def test_documents_behind_the_last_place_are_not_cut_again(spark):
+    """With a rare bucket, whose few rows are all heads or nearly: the second pass reads documents up to the last that has a place."""
+    rows = spark.range(40_000).select(F.col("id").alias("doc_ord"), F.lit("sentence").alias("segment_type"), F.lit(0).alias("segment_index"), F.expr("cast(id % 400 = 0 as int)").alias("length_bucket_id"))
+    got = sample.stratified(rows, {"sentence": 40}, [0, 5, 10], 20)
+    assert [r["doc_ord"] for r in got.orderBy("sample_rank").collect()] == [x for x in range(21) if x][:20] + [400 * i for i in range(20)]
+    lacks, counts = {"sentence": 0}, {("sentence", 0): 39_900, ("sentence", 1): 100}
+    spots = {at: [(i + 1) * 200 for i in range(sample.QUANTILES)] for at in counts}
+    ends = sample._ends({"sentence": 40}, {"sentence": 20}, lacks, (counts, spots, dict.fromkeys(counts, 0)))
+    assert ends["sentence", 0] <= 1000 and ends["sentence", 1] <= 200 * 45
+    assert sample._ends({"sentence": 20}, {"sentence": 20}, lacks, (counts, spots, dict.fromkeys(counts, 0)))["sentence", 1] == sample.NONE
+
+
+@pytest.mark.parametrize("reservoir, blobs", [(None, 150), (10_000, 150), (100, 100)])
+def test_overflow_comes_by_arrival_up_to_the_reservoir(spark, reservoir, blobs):
+    """Each type has a reservoir of its own; without one, or where heads fill the total, overflow is never drawn by hash."""
+    got, rows = sample.stratified(_kinds(spark), {"sentence": 300, "blob": blobs}, [0, 5, 10, 15], 60, reservoir).toPandas(), _kinds(spark).toPandas().sort_values("doc_ord")
+    for kind, total in (("sentence", 300), ("blob", blobs)):
+        own = rows[rows.segment_type == kind]
+        heads = [d for b in (0, 1, 2) for d in own[own.length_bucket_id == b].doc_ord.head(60)]
+        rest = [d for d in own.doc_ord if d not in set(heads)]
+        found = got[got.segment_type == kind].sort_values("sample_rank").doc_ord.tolist()
+        if kind == "blob" or reservoir is None:
+            assert found == (heads + rest)[:total]
+        else:
+            assert found[: len(heads)] == heads and found != (heads + rest)[:total] and len(set(found)) == min(total, len(heads) + reservoir)
+
+
 def test_top_sources_ties(spark):
     rows = [(f"s{i}", float(i % 3), i % 2) for i in range(9)]
     scored = spark.createDataFrame(rows, "source_id string, improvement double, length_bucket_id int")
