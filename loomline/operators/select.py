@@ -36,8 +36,13 @@ def best_candidates(sources: DataFrame, candidates: DataFrame, score: str, top_k
 
 
 def best_of(rows: DataFrame, score: str, top_k: int = 1) -> DataFrame:
-    """The same of rows that have source_text and translations already; their other columns stay."""
-    ranked = rows.filter(F.size("translations") > 0).withColumn("ranked", F.expr(f"array_sort(transform(translations, (t, i) -> named_struct('score', {score}, 'i', i, 'translation', t)))"))
+    """The same of rows that have source_text and translations already; their other columns stay.
+
+    Ranks come out of a generator of one row: a filter on the best translation would else be
+    pushed below them, with the ranking of all in each place that it names one.
+    """
+    made = f"array_sort(transform(translations, (t, i) -> named_struct('score', {score}, 'i', i, 'translation', t)))"
+    ranked = rows.select("*", F.expr(f"inline(array(named_struct('ranked', {made})))")).filter(F.size("ranked") > 0)
     return _best(ranked.drop("translations"), top_k)
 
 

@@ -128,6 +128,18 @@ def test_best_candidates(spark):
     assert len(got) == 1 and got[0]["target_text"] == "hi" and [k["translation"] for k in got[0]["top_k"]] == ["hi", "ho"]
 
 
+def test_export_cuts_documents_once(spark, tmp_path):
+    """export_final reads its sources from a table, ranks translations in one place, and has a row a source though an id comes twice."""
+    from loomline.queries import QUERIES
+
+    docs = spark.createDataFrame([(1, "A line that is long enough to be a segment."), (1, "A line that is long enough to be a segment."), (2, "Another line, which is as long as the first.")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    made = QUERIES["export_final"](spark, str(tmp_path))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents.parquet" not in " ".join(made.inputFiles()) and plan.count("array_sort") == 1
+    assert len({r["source_id"] for r in made.collect()}) == made.count() == 2
+
+
 def test_dummy_scores_and_cache(spark):
     pairs = spark.createDataFrame([("aaa", "aa"), ("bbbb", "bbbbbb"), ("aaa", "aa")], "source string, hypothesis string")
     none = spark.createDataFrame([], schemas.CACHE)
