@@ -176,7 +176,7 @@ def sample_sources(run: Run) -> str:
     segs = segment.limited(segment.segments(docs, run.cfg, run.cfg["final_generation"]["blob"]["enabled"]), run.options.limit)
     blob = run.cfg["final_generation"]["blob"]
     seen = Observation("seen")
-    sampled = sample.sampled_sources(segs.observe(seen, F.count("*").alias("segments")), run.cfg, lang)  # arrivals are counted here
+    sampled = sample.sampled_sources(segs, run.cfg, lang, seen)  # arrivals are counted here
     targets = sample.targets(data["sample_pool_size"], blob["blob_ratio"], blob["enabled"])
     return run.keep("sample_sources", path, sampled, {"seen": seen.get["segments"], **{f"{kind}_target": n for kind, n in targets.items()}})
 
