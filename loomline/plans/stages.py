@@ -173,7 +173,9 @@ def sample_sources(run: Run) -> str:
     _, lang = config.languages(run.cfg)
     data = run.cfg["data"]
     docs = corpus.corpus_documents(corpus.read_corpus(run.spark, data["path"] or data["madlad_dataset"], lang, data["madlad_split"], data["reader_options"]))
-    segs = segment.limited(segment.segments(docs, run.cfg, run.cfg["final_generation"]["blob"]["enabled"]), run.options.limit)
+    segs = segment.segments(docs, run.cfg, run.cfg["final_generation"]["blob"]["enabled"])
+    if run.options.limit:  # the sampler reads them twice, and they are found by a pass over the corpus
+        segs = run.work("limited_segments", segment.limited(segs, run.options.limit))
     blob = run.cfg["final_generation"]["blob"]
     seen = Observation("seen")
     sampled = sample.sampled_sources(segs, run.cfg, lang, seen)  # arrivals are counted here

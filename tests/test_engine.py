@@ -497,3 +497,13 @@ def test_retried_requests_are_dealt_over_all_tasks(spark):
         asks = [lambda c, ms, i: {"a": f"{ms[0]['content']}{i}"}, lambda c, ms, i: {"b": i}]
         got = teacher.call_model(rows, lambda: None, asks, "source_id string, a string, b string", concurrency).collect()
         assert sorted((r["source_id"], r["a"], r["b"]) for r in got) == sorted((str(i), f"x{i}", str(i)) for i in range(1000))
+
+
+def test_limited_segments_are_found_once(spark, run_cfg):
+    """The sampler reads the first segments from a table, and the stage still tells how many it saw."""
+    told = lambda: json.loads(spark.read.text(f"{run_cfg['run']['out_dir']}/stats/sample_sources.shard00").first()[0])["sample_sources"]
+    run_stage(spark, run_cfg, "sample_sources", Options(limit=3))
+    assert spark.read.parquet(f"{run_cfg['run']['out_dir']}/work/limited_segments.shard00").count() == told()["seen"] == 3
+    run_stage(spark, run_cfg, "sample_sources", Options(overwrite=True))
+    docs = corpus.corpus_documents(corpus.read_corpus(spark, run_cfg["data"]["path"], config.languages(run_cfg)[1]))
+    assert told()["seen"] == segment.segments(docs, run_cfg).count() > 3
